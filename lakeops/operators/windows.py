@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.numbers import units
 from .joins import HOT_ROWS, lookup_join
 
 
@@ -40,17 +41,22 @@ def entity_metrics(
     return lookup_join(df, grouped, keys, hot=hot, null_safe=True)
 
 
-def running_total(value: Column, order: str) -> Column:
+def _over(value: Column, window, scale: int | None) -> Column:
+    if scale is None:
+        return F.sum(value).over(window)
+    return F.sum(units(value, scale)).over(window) / F.lit(float(10**scale))
+
+
+def running_total(value: Column, order: str, scale: int | None = None) -> Column:
     """Total from the first row to the current one.
 
     Unpartitioned, hence one task: only for inputs already reduced to one row per month.
     """
-    return F.sum(value).over(
-        Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    window = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return _over(value, window, scale)
 
 
-def trailing_total(value: Column, order: str, rows: int = 3) -> Column:
+def trailing_total(value: Column, order: str, rows: int = 3, scale: int | None = None) -> Column:
     """Total of the current and the previous ``rows - 1`` rows. Rows, not calendar months:
-    a month without any row is not padded."""
-    return F.sum(value).over(Window.orderBy(order).rowsBetween(1 - rows, Window.currentRow))
+    a month without any row is not padded. One task, like ``running_total``."""
+    return _over(value, Window.orderBy(order).rowsBetween(1 - rows, Window.currentRow), scale)

@@ -21,6 +21,7 @@ from ..operators.aggregates import amount_stats, amount_where, monthly_rollup
 from ..operators.calendar import date_range, with_calendar
 from ..operators.filters import in_status, positive_and_dated
 from ..operators.joins import calendar_join, lookup_join
+from ..operators.reconcile import stack
 from ..operators.windows import per_entity, running_total, trailing_total
 from . import rules as R
 
@@ -336,7 +337,7 @@ def dash_expenses(
     out = lookup_join(fact, lookup, ["id_proveedor"], hot=hot, null_safe=True)
     out = lookup_join(out, of_case, ["id_caso"], hot="measure")
     return out.select(
-        *[c for c in fact.columns if c != "monto_log"],
+        *fact.columns,
         "nombre_proveedor",
         "categoria_proveedor",
         "proveedor_ciudad",
@@ -354,12 +355,39 @@ def dash_expenses(
         "monto_maximo_gasto",
         "monto_minimo_gasto",
         days_since(date, as_of).alias("recencia_gasto_dias"),
-        log_amount(amount).alias("monto_log"),
         bucket(amount, *amounts).alias("categoria_monto"),
         exceeds(amount, F.col("presupuesto_estimado")).alias("sobrepresupuesto"),
     )
 
 
+def finance_rows(
+    donations: DataFrame, expenses: DataFrame, cases: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """The columns of the two dashboards that the finance tables read, from cleaned tables.
+
+    A finance month needs ids, amounts and the budget flag but none of the per-donor and
+    per-supplier metrics, so it does not wait for the dashboards.
+    """
+    done = donations.filter(in_status("estado", R.DONATION_DONE)).select(
+        "id_donante",
+        "monto",
+        month_key(F.col("fecha_donacion")).alias("anio_mes"),
+        bucket(F.col("monto"), *R.DONATION_AMOUNT).alias("categoria_monto"),
+    )
+    paid = expenses.filter(in_status("estado", R.EXPENSE_DONE)).select(
+        "id_proveedor",
+        "id_caso",
+        "monto",
+        month_key(F.col("fecha_pago")).alias("anio_mes"),
+        bucket(F.col("monto"), *R.EXPENSE_AMOUNT).alias("categoria_monto"),
+    )
+    budgets = cases.select("id_caso", "presupuesto_estimado")
+    paid = lookup_join(paid, budgets, ["id_caso"], hot="measure").withColumn(
+        "sobrepresupuesto", exceeds(F.col("monto"), F.col("presupuesto_estimado"))
+    )
+    return done, paid
+
+
 def movements(donations: DataFrame, expenses: DataFrame) -> DataFrame:
     """Donations and expenses under one shape; one-sided columns are typed NULLs (SET-1)."""
     month = month_text_to_date(F.col("anio_mes")).alias("anio_mes")
@@ -388,11 +416,7 @@ def movements(donations: DataFrame, expenses: DataFrame) -> DataFrame:
 
 
 def month_totals(moves: DataFrame, scale: int | None = None) -> DataFrame:
-    """Money and distinct participants per month.
-
-    One row per month comes out, and each distinct count is first reduced to distinct
-    (month, id) pairs on the map side, so a busy month is not gathered anywhere.
-    """
+    """Money and distinct participants per month of the united movements."""
     amount = F.col("monto")
     return moves.groupBy("anio_mes").agg(
         amount_where(~F.col("es_gasto"), amount, scale).alias("total_donado"),
@@ -404,19 +428,48 @@ def month_totals(moves: DataFrame, scale: int | None = None) -> DataFrame:
     )
 
 
+def side_totals(donations: DataFrame, expenses: DataFrame, scale: int | None = None) -> DataFrame:
+    """Same result as ``month_totals(movements(...))``, with each side aggregated first.
+
+    Several distinct counts in one group-by copy every row once per count. Donors occur only
+    among donations, cases and suppliers only among expenses, so splitting the sides halves
+    those copies, and the union is left with two rows per month.
+    """
+    amount = F.col("monto")
+    month = month_text_to_date(F.col("anio_mes")).alias("anio_mes")
+    income = donations.groupBy(month).agg(
+        total(amount, scale).alias("total_donado"),
+        F.countDistinct("id_donante").alias("donantes_activos_mes"),
+    )
+    spend = expenses.groupBy(month).agg(
+        total(amount, scale).alias("total_gastado"),
+        amount_where(F.col("sobrepresupuesto"), amount, scale).alias("gastos_sobrepresupuesto"),
+        F.countDistinct("id_caso").alias("casos_activos_mes"),
+        F.countDistinct("id_proveedor").alias("proveedores_activos_mes"),
+    )
+    money = ["total_donado", "total_gastado", "gastos_sobrepresupuesto"]
+    people = ["casos_activos_mes", "donantes_activos_mes", "proveedores_activos_mes"]
+    zero = {c: F.lit(0.0) for c in money} | {c: F.lit(0).cast("long") for c in people}
+    padded = [
+        side.withColumns({c: z for c, z in zero.items() if c not in side.columns})
+        for side in (income, spend)
+    ]
+    return stack(padded).groupBy("anio_mes").agg(*[F.sum(c).alias(c) for c in money + people])
+
+
 def dash_finance(donations: DataFrame, expenses: DataFrame, scale: int | None = None) -> DataFrame:
     """Monthly balance, running balance, trailing quarters, budget share and runway.
 
     The windows run over one row per month; everything heavy happens before them.
     """
-    months = month_totals(movements(donations, expenses), scale)
+    months = side_totals(donations, expenses, scale)
     income, spend = F.col("total_donado"), F.col("total_gastado")
     out = months.withColumns(
         {
             "balance_neto": income - spend,
-            "balance_acumulado": running_total(income - spend, "anio_mes"),
-            "rolling_3m_ingresos": trailing_total(income, "anio_mes"),
-            "rolling_3m_gastos": trailing_total(spend, "anio_mes"),
+            "balance_acumulado": running_total(income - spend, "anio_mes", scale),
+            "rolling_3m_ingresos": trailing_total(income, "anio_mes", scale=scale),
+            "rolling_3m_gastos": trailing_total(spend, "anio_mes", scale=scale),
             "porcentaje_sobrepresupuesto": ratio(F.col("gastos_sobrepresupuesto"), spend),
         }
     )
