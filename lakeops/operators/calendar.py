@@ -15,6 +15,12 @@ def date_range(spark: SparkSession, first: dt.date, last: dt.date) -> DataFrame:
     )
 
 
+def calendar_span(df: DataFrame, column: str) -> DataFrame:
+    """One row per day between the first and the last date of a column."""
+    ends = df.agg(F.min(F.to_date(column)).alias("a"), F.max(F.to_date(column)).alias("b"))
+    return ends.select(F.explode(F.sequence("a", "b", F.expr("interval 1 day"))).alias("fecha"))
+
+
 def with_calendar(df: DataFrame) -> DataFrame:
     """Add the attributes of the calendar dimension to a column ``fecha``."""
     d = F.col("fecha")

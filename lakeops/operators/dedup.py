@@ -16,18 +16,15 @@ def latest_by_key(
 ) -> DataFrame:
     """Keep the newest row of every key, newest by ``order`` descending, NULLs last.
 
-    Ties are settled by ``tie_breakers`` (descending) and, without any, by a hash over the
-    whole row, so the same input always gives the same survivor. All NULL keys form one
-    group.
+    Ties are settled by ``tie_breakers`` (descending) and finally by a hash over the whole
+    row, so the same input always gives the same survivor. All NULL keys form one group.
 
     ``row_number() = 1`` makes the optimizer put a group limit in front of the shuffle: a
     map task sends at most one row per key, so a key that holds most of the table costs one
     row per map task on the reduce side.
     """
-    ties = [F.col(c) for c in tie_breakers] if tie_breakers else [F.xxhash64(*df.columns)]
-    window = Window.partitionBy(*keys).orderBy(
-        *[F.col(c).desc_nulls_last() for c in order], *[t.desc_nulls_last() for t in ties]
-    )
+    newest_first = [F.col(c).desc_nulls_last() for c in (*order, *(tie_breakers or ()))]
+    window = Window.partitionBy(*keys).orderBy(*newest_first, F.xxhash64(*df.columns).desc())
     return df.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 AS_OF = dt.date(2002, 1, 1)
 EVENTS_AS_OF = dt.date(2024, 2, 1)
 FIRST_DAY = dt.date(1996, 1, 1)
-CALENDAR = (dt.date(1994, 1, 1), dt.date(2002, 12, 31))
+CALENDAR = (dt.date(1994, 7, 1), dt.date(2002, 12, 31))
 CENTS = 2
 
 # Thresholds that fit the amounts of the test tables.
@@ -127,3 +127,14 @@ def homes(spark: SparkSession, sf_dir: str) -> DataFrame:
         """CASE WHEN n_nationkey = 23 THEN -1.0D WHEN n_nationkey <> 6 THEN
            n_regionkey * 1000.0D END AS tarifa_diaria""",
     )
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {
+        "donaciones": donations(spark, sf_dir),
+        "gastos": expenses(spark, sf_dir),
+        "donantes": donors(spark, sf_dir),
+        "casos": cases(spark, sf_dir),
+        "proveedores": suppliers(spark, sf_dir),
+        "hogar_de_paso": homes(spark, sf_dir),
+    }

@@ -97,7 +97,12 @@ def expenses(
         }
         | _audit(as_of, "raw_gastos")
     )
-    return latest_by_key(drop_partition_columns(clean), ["id_gasto"], ["last_modified_at"])
+    return latest_by_key(
+        drop_partition_columns(clean),
+        ["id_gasto"],
+        ["last_modified_at"],
+        ["created_at", "monto", "id_caso", "id_proveedor"],
+    )
 
 
 def donors(raw: DataFrame, as_of: AsOf = None) -> DataFrame:
