@@ -14,9 +14,6 @@ from ..plans import bindings as B
 from ..plans import gold as G
 from . import query
 
-_MONEY = "CAST({} AS DECIMAL(18,2))"
-
-
 def _sum(col):
     return f"CAST(sum(CAST({col} AS DECIMAL(18,2))) AS DOUBLE)"
 
@@ -57,8 +54,9 @@ def _(spark, sf):
     )
     supplier = B.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
     part = B.table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    hot_parts = J.hot_rows(facts, part, ["l_partkey"])
     out = J.lookup_join(facts, supplier, ["l_suppkey"], hot="measure")
-    return J.lookup_join(out, part, ["l_partkey"], hot="measure").drop("l_suppkey", "l_partkey")
+    return J.lookup_join(out, part, ["l_partkey"], hot=hot_parts).drop("l_suppkey", "l_partkey")
 
 
 @query(

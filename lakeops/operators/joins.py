@@ -43,6 +43,13 @@ def hottest_keys(fact: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS) ->
     )
 
 
+def hot_rows(fact: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Lookup rows of the fact's most frequent keys: at most ``HOT_ROWS``."""
+    key_cols, pairs = _renamed(fact, keys, "__f_")
+    frequent = F.broadcast(hottest_keys(fact, keys).select(*key_cols))
+    return lookup.join(frequent, _matching(pairs, True), "left_semi")
+
+
 def lookup_join(
     fact: DataFrame,
     lookup: DataFrame,
@@ -57,8 +64,8 @@ def lookup_join(
     * ``None`` - plain join; fine when the lookup is small enough for the optimizer to
       broadcast or the keys are known to be even.
     * ``"measure"`` - count the fact's keys first (reads only the key columns).
-    * a frame - at most ``HOT_ROWS`` lookup rows of the frequent keys, when the caller has
-      already counted them.
+    * a frame - the result of ``hot_rows`` or of another count the caller already has. In a
+      chain of lookups, measure on the bare fact, not on the joined one.
 
     Rows of a hot key find their partner in a broadcast of those few rows. They then go
     through the shuffled join under a salted key that matches nothing, which spreads them
@@ -72,9 +79,7 @@ def lookup_join(
     if isinstance(hot, str):
         if hot != "measure":
             raise ValueError(f"unknown hot-key mode {hot!r}")
-        key_cols, pairs = _renamed(fact, keys, "__f_")
-        frequent = F.broadcast(hottest_keys(fact, keys).select(*key_cols))
-        hot = lookup.join(frequent, _matching(pairs, True), "left_semi")
+        hot = hot_rows(fact, lookup, keys)
 
     key_cols, pairs = _renamed(hot, keys, "__hot_")
     hot_side = F.broadcast(
@@ -90,9 +95,12 @@ def lookup_join(
         .cast("int"),
     )
 
+    # Always 0, but not a literal: the optimizer would turn a literal into a plain condition
+    # on the fact and shuffle by the bare key again.
+    zero = F.coalesce(F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int"), F.lit(0))
     key_cols, pairs = _renamed(lookup, keys, "__cold_")
     cold = lookup.select(
-        *key_cols, *[F.col(v).alias(f"__cold_{v}") for v in values], F.lit(0).alias("__cold_salt")
+        *key_cols, *[F.col(v).alias(f"__cold_{v}") for v in values], zero.alias("__cold_salt")
     )
     joined = salted.join(
         cold, _matching(pairs, null_safe) & (F.col("__salt") == F.col("__cold_salt")), "left"
@@ -113,14 +121,14 @@ def calendar_join(
 ) -> DataFrame:
     """Attach calendar attributes of a date under role names such as ``anio_creacion``.
 
-    The calendar has one row per day of a fixed span (11 years are 4,018 rows), so it is
-    broadcast whatever the size of the fact.
+    The calendar has one row per day (11 years are 4,018 rows). It carries no hint: the
+    optimizer sees its size and broadcasts it.
     """
     role = calendar.select(
         F.col("fecha").alias("__day"),
         *[F.col(source).alias(f"{name}_{suffix}") for source, name in attributes],
     )
-    return df.join(F.broadcast(role), F.to_date(df[date_col]) == role["__day"], "left").drop("__day")
+    return df.join(role, F.to_date(df[date_col]) == role["__day"], "left").drop("__day")
 
 
 def missing_rows(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

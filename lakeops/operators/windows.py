@@ -16,10 +16,13 @@ def per_entity(
 ) -> tuple[DataFrame, DataFrame]:
     """One row per entity with its metrics, and the same rows for the most frequent ones.
 
-    Both frames come from one aggregation; the planner reuses its shuffle.
+    Both frames come from one aggregation and share its shuffle. The filter drops nothing; it
+    keeps the row count in both plans, which makes their aggregations identical.
     """
-    grouped = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__rows"), *[m.alias(name) for name, m in metrics.items()]
+    grouped = (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("__rows"), *[m.alias(name) for name, m in metrics.items()])
+        .filter("__rows > 0")
     )
     hot = grouped.orderBy(F.desc("__rows"), *keys).limit(HOT_ROWS).drop("__rows")
     return grouped.drop("__rows"), hot

@@ -38,7 +38,6 @@ class Settings:
     expense_amount: tuple = R.EXPENSE_AMOUNT
     month: str | None = None
     run_id: str = "manual"
-    files_per_partition: int = 1
     partitioned: bool = True
     keep_quarantine: bool = True
 
@@ -227,7 +226,7 @@ def _write(df: DataFrame, path: str, table: Table, s: Settings) -> None:
     if table.partition_date:
         df = S.month_partitioned(df, table.partition_date)
     if table.partitions and s.partitioned:
-        overwrite_all_partitions(df, path, table.partitions, s.files_per_partition)
+        overwrite_all_partitions(df, path, table.partitions)
     else:
         write_snapshot(df, path)
 

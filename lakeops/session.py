@@ -19,6 +19,7 @@ BASE_CONF = {
     # Above 2,000 reducers map statuses only keep an average block size, which hides a hot
     # key from the adaptive skew join. Blocks 5x above the median keep their true size.
     "spark.shuffle.accurateBlockSkewedFactor": "5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.autoBroadcastJoinThreshold": "20m",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.files.maxPartitionBytes": "256m",

@@ -2,19 +2,24 @@
 
 Layout below the table root::
 
-    data/v=<n>/<partition path>/part-*.parquet     files, written once, never changed
-    manifest/n=<n>/part-*.parquet                  which version holds which partition
+    data/table_version=<n>/<partition path>/*.parquet  files, written once, never changed
+    manifest/n=<n>/*.parquet                           which version holds which partition
 
 A commit writes the partitions it touches under a new version and then one manifest of a
 single file. Readers take the newest manifest, so a job that dies half-way leaves the table
 as it was, and a partition whose last row moved away is simply no longer listed. A manifest
-has one row per partition (a month each). One writer at a time is assumed.
+has one row per partition (a month each) and carries the table's schema, so nothing is ever
+inferred from data files. One writer at a time is assumed.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,54 +27,78 @@ from pyspark.sql import functions as F
 from ..operators.dedup import latest_by_key
 from .writers import gathered
 
+_VERSION = "table_version"
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+_MANIFEST = "partition string, version int, ddl string"
 
 
-def manifest(spark: SparkSession, root: str) -> tuple[int, dict[str, int]]:
-    """Newest version number and the version of every partition; (0, {}) for a new table."""
+@dataclass(frozen=True)
+class Manifest:
+    """State of a table: its newest version, schema, and the version of each partition."""
+
+    number: int = 0
+    ddl: str = ""
+    where: dict[str, int] = field(default_factory=dict)
+
+
+def manifest(spark: SparkSession, root: str) -> Manifest:
+    """Newest manifest; an empty one for a table that was never written."""
     try:
-        history = spark.read.parquet(f"{root}/manifest")
+        files = spark.read.schema(_MANIFEST).parquet(f"{root}/manifest").inputFiles()
     except AnalysisException as error:
-        if "PATH_NOT_FOUND" in (error.getCondition() or "") or "UNABLE_TO_INFER" in (
-            error.getCondition() or ""
-        ):
-            return 0, {}
-        raise
-    newest = history.agg(F.max("n")).first()[0]
-    rows = history.filter(F.col("n") == newest).select("partition", "version").collect()
-    return newest, {r["partition"]: r["version"] for r in rows if r["partition"] is not None}
-
-
-def _scan(spark: SparkSession, root: str, where: dict[str, int]) -> DataFrame:
-    paths = [f"{root}/data/v={v}/{p}".rstrip("/") for p, v in sorted(where.items())]
-    return (
-        spark.read.option("basePath", f"{root}/data")
-        .option("mergeSchema", "true")
-        .parquet(*paths)
-    )
+        if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
+            raise
+        files = []
+    if not files:
+        return Manifest()
+    newest = max(int(re.search(r"/n=(\d+)/", f)[1]) for f in files)
+    rows = spark.read.schema(_MANIFEST).parquet(f"{root}/manifest/n={newest}").collect()
+    where = {r["partition"]: r["version"] for r in rows if r["partition"] is not None}
+    return Manifest(newest, rows[0]["ddl"], where)
+
+
+def _scan(spark: SparkSession, root: str, ddl: str, where: dict[str, int]) -> DataFrame:
+    paths = [f"{root}/data/table_version={v}/{p}".rstrip("/") for p, v in sorted(where.items())]
+    return spark.read.schema(ddl).option("basePath", f"{root}/data").parquet(*paths)
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
     """The table as of its newest commit."""
-    _, where = manifest(spark, root)
-    if not where:
-        raise FileNotFoundError(f"no committed version at {root}")
-    return _scan(spark, root, where).drop("v")
+    state = manifest(spark, root)
+    if not state.where:
+        raise FileNotFoundError(f"no committed rows at {root}")
+    return _scan(spark, root, state.ddl, state.where).drop(_VERSION)
 
 
-def _path_of(columns: Sequence[str]) -> Column:
+def _path_of(columns: dict[str, Column]) -> Column:
     """Partition directory of a row, as the writer will name it."""
     return F.concat_ws(
         "/",
         *[
-            F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(_NO_VALUE)))
-            for c in columns
+            F.concat(F.lit(f"{n}="), F.coalesce(c.cast("string"), F.lit(_NO_VALUE)))
+            for n, c in columns.items()
         ],
     )
 
 
-def _file_partition() -> Column:
-    return F.regexp_extract(F.col("_metadata.file_path"), r"/v=\d+/(.*)/[^/]+$", 1)
+def _partition_of_file() -> Column:
+    return F.regexp_extract(F.col("_metadata.file_path"), r"/table_version=\d+/(.*)/[^/]+$", 1)
+
+
+def _touched(
+    old: DataFrame, batch: DataFrame, keys: Sequence[str], partitions: dict[str, Column]
+) -> set[str]:
+    """Partitions the batch writes to, and those that hold an older row of its keys.
+
+    Reads the key columns of the table only; returns at most one name per partition.
+    """
+    target = batch.select(_path_of(partitions).alias("p"))
+    holding = (
+        old.select(*keys, _partition_of_file().alias("p"))
+        .join(batch.select(*keys).distinct(), list(keys), "left_semi")
+        .select("p")
+    )
+    return {r["p"] for r in target.union(holding).distinct().collect()}
 
 
 def upsert(
@@ -80,56 +109,57 @@ def upsert(
     order: Sequence[str],
     partitions: dict[str, Column],
     tie_breakers: Sequence[str] | None = None,
-    files: int = 1,
 ) -> int:
     """Merge a batch by key and return the committed version.
 
     Partitions to rewrite are found by key, not only by the batch's own dates, so a row
-    whose date moved to another month leaves no copy behind. That search reads the key
-    columns of the table; rows are read in full only from the touched partitions. Applying
-    a batch twice gives the same table as applying it once.
+    whose date moved to another month leaves no copy behind. Rows are read in full only
+    from the touched partitions. Applying a batch twice gives the same table as applying it
+    once.
 
     ``partitions`` maps partition columns to expressions over the row.
     """
     names = list(partitions)
     batch = batch.drop(*names)
-    version, where = manifest(spark, root)
-    rows = batch
-    keep: dict[str, int] = {}
-    if where:
-        touched = {
-            r[0] for r in batch.select(*[e.alias(n) for n, e in partitions.items()])
-            .select(_path_of(names).alias("p")).distinct().toLocalIterator()
-        }
-        wanted = batch.select(*keys).distinct()
-        touched |= {
-            r[0] for r in _scan(spark, root, where)
-            .select(*keys, _file_partition().alias("p"))
-            .join(wanted, list(keys), "left_semi")
-            .select("p").distinct().toLocalIterator()
-        }
-        keep = {p: v for p, v in where.items() if p not in touched}
-        affected = {p: v for p, v in where.items() if p in touched}
+    state = manifest(spark, root)
+    if not state.where:
+        return _replace(spark, root, state, batch, {}, keys, order, partitions, tie_breakers)
+    batch = batch.persist(StorageLevel.DISK_ONLY)  # read three times below
+    try:
+        touched = _touched(_scan(spark, root, state.ddl, state.where), batch, keys, partitions)
+        keep = {p: v for p, v in state.where.items() if p not in touched}
+        affected = {p: v for p, v in state.where.items() if p in touched}
+        rows = batch
         if affected:
-            old = _scan(spark, root, affected).drop("v", *names)
+            old = _scan(spark, root, state.ddl, affected).drop(_VERSION, *names)
             rows = old.unionByName(batch, allowMissingColumns=True)
-    new = latest_by_key(rows, keys, order, tie_breakers).withColumns(partitions)
-    version += 1
-    target = f"{root}/data/v={version}"
-    gathered(new, names, files=files).write.mode("overwrite").partitionBy(*names).parquet(target)
-    written = spark.read.option("basePath", f"{root}/data").parquet(target)
-    present = {
-        r[0] for r in written.select(_file_partition().alias("p")).distinct().toLocalIterator()
-    }
-    _commit(spark, root, version, {**keep, **{p: version for p in present}})
-    return version
-
-
-def _commit(spark: SparkSession, root: str, version: int, where: dict[str, int]) -> None:
-    rows = sorted(where.items()) or [(None, version)]
+        return _replace(spark, root, state, rows, keep, keys, order, partitions, tie_breakers)
+    finally:
+        batch.unpersist()
+
+
+def _replace(spark, root, state, rows, keep, keys, order, partitions, tie_breakers) -> int:
+    """Write the newest rows as a new version and commit it beside the kept partitions."""
+    version = state.number + 1
+    target = f"{root}/data/table_version={version}"
+    new = latest_by_key(rows, keys, order, tie_breakers)
+    out = gathered(new.withColumns(partitions) if partitions else new, list(partitions))
+    out.write.mode("overwrite").partitionBy(*partitions).parquet(target)
+    ddl = new.schema.toDDL()
+    written = spark.read.schema(ddl).parquet(target).inputFiles()
+    present = {re.search(rf"/table_version={version}/(?:(.*)/)?[^/]+$", f)[1] or "" for f in written}
+    where = sorted({**keep, **{p: version for p in present}}.items()) or [(None, version)]
+    entries = pa.table(
+        {
+            "partition": pa.array([p for p, _ in where], pa.string()),
+            "version": pa.array([v for _, v in where], pa.int32()),
+            "ddl": pa.array([ddl] * len(where), pa.string()),
+        }
+    )
     (
-        spark.createDataFrame(rows, "partition string, version int")
+        spark.createDataFrame(entries)
         .coalesce(1)
         .write.mode("overwrite")
         .parquet(f"{root}/manifest/n={version}")
     )
+    return version

@@ -26,23 +26,14 @@ def with_partitions(df: DataFrame, date: str | Column, **names) -> DataFrame:
     return drop_partition_columns(df).withColumns(partition_columns(column, **names))
 
 
-def gathered(
-    df: DataFrame, columns: Sequence[str], date: str | None = None, files: int = 1
-) -> DataFrame:
+def gathered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Bring the rows of an output partition together before the write.
 
-    Without this every task writes a small file into every month it holds. A month is not
-    given to one task either: rows are spread over ``files`` writers per partition by a hash
-    of the row, which keeps a month with a large share of all rows parallel. ``date``
-    refines the spread to calendar days first, which keeps files narrow in time.
+    Without this every task writes a small file into every month it holds. The rebalance
+    leaves the task sizes to adaptive execution: small months share a task, and a month with
+    a large share of all rows is split over as many tasks as its size calls for.
     """
-    if not columns:
-        return df
-    if files <= 1 and date is None:
-        return df.repartition(*columns)
-    day = F.dayofmonth(date) if date else F.lit(0)
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(max(files, 1)))
-    return df.repartition(*columns, day, salt)
+    return df.hint("rebalance", *columns) if columns else df
 
 
 def write_snapshot(df: DataFrame, path: str) -> None:
@@ -51,15 +42,15 @@ def write_snapshot(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
-def append_partitions(df: DataFrame, path: str, columns: Sequence[str] = ("y", "m"), files: int = 1) -> None:
+def append_partitions(df: DataFrame, path: str, columns: Sequence[str] = ("y", "m")) -> None:
     """Add files to the months of the batch. Not idempotent; see ``versioned.upsert``."""
-    gathered(df, columns, files=files).write.mode("append").partitionBy(*columns).parquet(path)
+    gathered(df, columns).write.mode("append").partitionBy(*columns).parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, columns: Sequence[str] = ("y", "m"), files: int = 1) -> None:
+def overwrite_partitions(df: DataFrame, path: str, columns: Sequence[str] = ("y", "m")) -> None:
     """Replace only the partitions that occur in ``df``; the others keep their files."""
     (
-        gathered(df, columns, files=files)
+        gathered(df, columns)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*columns)
@@ -67,10 +58,10 @@ def overwrite_partitions(df: DataFrame, path: str, columns: Sequence[str] = ("y"
     )
 
 
-def overwrite_all_partitions(df: DataFrame, path: str, columns: Sequence[str] = ("y", "m"), files: int = 1) -> None:
+def overwrite_all_partitions(df: DataFrame, path: str, columns: Sequence[str] = ("y", "m")) -> None:
     """Replace a partitioned table as a whole, so that a month without rows disappears."""
     (
-        gathered(df, columns, files=files)
+        gathered(df, columns)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(*columns)
@@ -78,10 +69,10 @@ def overwrite_all_partitions(df: DataFrame, path: str, columns: Sequence[str] =
     )
 
 
-def write_layer(df: DataFrame, path: str, columns: Sequence[str] = ("anio", "mes"), files: int = 1) -> None:
+def write_layer(df: DataFrame, path: str, columns: Sequence[str] = ("anio", "mes")) -> None:
     """Generic cleaned-layer write: partitioned if the frame has the columns, flat if not."""
     if all(c in df.columns for c in columns):
-        overwrite_all_partitions(df, path, columns, files)
+        overwrite_all_partitions(df, path, columns)
     else:
         write_snapshot(df, path)
 
@@ -154,8 +145,8 @@ def month_export(df: DataFrame, month_column: str = "anio_mes") -> DataFrame:
     )
 
 
-def write_export(df: DataFrame, path: str, month_column: str = "anio_mes", files: int = 1) -> None:
-    overwrite_all_partitions(month_export(df, month_column), path, STALE_PARTITIONS, files)
+def write_export(df: DataFrame, path: str, month_column: str = "anio_mes") -> None:
+    overwrite_all_partitions(month_export(df, month_column), path, STALE_PARTITIONS)
 
 
 def register_external(spark: SparkSession, name: str, path: str, partitioned: bool = True) -> None:
