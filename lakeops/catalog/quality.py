@@ -248,11 +248,12 @@ def _(spark, sf):
 
 @query(
     "dq_three_way",
-    f"""WITH {_TAGGED}, l AS (SELECT 'raw' AS layer, c_custkey FROM customer
-          UNION ALL SELECT 'quarantine', c_custkey FROM tagged WHERE len(codes) > 0
-          UNION ALL SELECT 'silver', c_custkey FROM tagged WHERE len(codes) = 0)
-        SELECT layer, count(*) AS row_count,
-               count(*) FILTER (WHERE c_custkey % 90 = 0) AS null_ids FROM l GROUP BY layer""",
+    f"""WITH {_TAGGED} SELECT 'raw' AS layer, count(*) AS row_count,
+          count(*) FILTER (WHERE c_custkey % 90 = 0) AS null_ids FROM customer
+        UNION ALL SELECT 'quarantine', count(*), count(*) FILTER (WHERE c_custkey % 90 = 0)
+          FROM tagged WHERE len(codes) > 0
+        UNION ALL SELECT 'silver', count(*), count(*) FILTER (WHERE c_custkey % 90 = 0)
+          FROM tagged WHERE len(codes) = 0""",
 )
 def _(spark, sf):
     tagged = _tagged_customers(spark, sf)
