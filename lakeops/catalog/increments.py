@@ -5,7 +5,9 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
+from ..functions.casts import to_utc_naive
 from ..functions.dates import partition_columns
 from ..operators import filters
 from ..plans import bindings as B
@@ -39,12 +41,12 @@ def _(spark, sf):
     """Marks of all feeds in one append, then one of them reset by hand."""
     state = scratch_path(spark, "state")
     newest = _events(spark, sf).groupBy(F.col("event_type").alias("table_name")).agg(
-        F.max("ts").cast("string").alias("mark")
+        F.concat(F.max("ts").cast("string"), F.lit("Z")).alias("mark")
     )
     marks.set_marks(spark, state, newest, dt.datetime(2024, 2, 1))
     marks.set_mark(spark, state, "error", "2024-01-01T12:00:00Z", dt.datetime(2024, 2, 2))
     return marks.current_marks(spark, state).select(
-        "table_name", F.col("mark").cast("timestamp_ntz").alias("mark")
+        "table_name", to_utc_naive(F.col("mark"), TimestampType()).alias("mark")
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,6 +60,12 @@ def to_utc_naive(col: Column, source: T.DataType) -> Column:
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
 
 
+def moment(value: dt.datetime, kind: str) -> Column:
+    """Literal of a naive UTC time for a column of type ``kind``, in any session zone."""
+    text = value.isoformat(sep=" ")
+    return F.lit(f"{text}Z" if kind == "timestamp" else text).cast(kind)
+
+
 def month_text_to_date(col: Column) -> Column:
     """``'yyyy-MM'`` to the first day of that month."""
     return F.try_to_date(col, "yyyy-MM")

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.casts import moment
+
 
 def month_bounds(month: str) -> tuple[dt.date, dt.date]:
     """First day of a ``YYYY-MM`` month and of the month after it."""
@@ -46,7 +48,7 @@ def after_mark(
     """
     if mark is None:
         return df
-    bound = F.lit(mark).cast(dict(df.dtypes)[column])
+    bound = moment(mark, dict(df.dtypes)[column])
     return df.filter(F.col(column) >= bound if inclusive else F.col(column) > bound)
 
 

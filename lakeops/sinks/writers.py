@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.casts import month_text_to_date, to_long, to_timestamp, to_utc_naive
+from ..functions.casts import moment, month_text_to_date, to_long, to_timestamp, to_utc_naive
 from ..functions.dates import partition_columns
 from ..operators.quality import quarantined_rows
 
@@ -99,6 +100,10 @@ def bronze_partitions(df: DataFrame, run_ts: dt.datetime, change_column: str = "
     return with_partitions(df, when)
 
 
+def _kind(source: T.DataType) -> str:
+    return "timestamp_ntz" if isinstance(source, T.TimestampNTZType) else "timestamp"
+
+
 def relayout(
     df: DataFrame,
     technical_date: str,
@@ -115,7 +120,8 @@ def relayout(
     out = drop_partition_columns(df, (*STALE_PARTITIONS, "ingest_date"))
     if until is not None and business_date:
         kind = out.schema[business_date].dataType
-        out = out.filter(to_timestamp(F.col(business_date), kind) <= F.lit(until))
+        when = to_timestamp(F.col(business_date), kind)
+        out = out.filter(when <= moment(until, _kind(kind)))
     if technical_date in out.columns:
         when = to_timestamp(F.col(technical_date), out.schema[technical_date].dataType)
     else:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.casts import conform
+from ..functions.casts import conform, moment
 from ..operators.filters import after_mark
 from ..operators.reconcile import stack
 from .schemas import SCHEMAS, Load, Policy
@@ -137,7 +137,7 @@ def extract(
     out = after_mark(source, policy.change_column, since, inclusive=True) if since else source
     if until is not None and policy.load is not Load.SNAPSHOT and policy.change_column:
         kind = dict(source.dtypes)[policy.change_column]
-        out = out.filter(F.col(policy.change_column) <= F.lit(until).cast(kind))
+        out = out.filter(F.col(policy.change_column) <= moment(until, kind))
     return out
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import latest_by_key
 
+_EPOCH = dt.datetime(1970, 1, 1)
 _SCHEMA = "table_name string, mark timestamp, updated_at timestamp"
 
 
@@ -43,10 +44,10 @@ def get_mark(spark: SparkSession, state: str, table: str) -> dt.datetime | None:
     row = (
         current_marks(spark, state)
         .filter(F.col("table_name") == table)
-        .select(F.col("mark").cast("string"))
+        .select(F.unix_micros("mark"))
         .first()
     )
-    return dt.datetime.fromisoformat(row[0]) if row else None
+    return _EPOCH + dt.timedelta(microseconds=row[0]) if row else None
 
 
 def set_marks(
@@ -77,7 +78,7 @@ def set_all(
     updated_at: dt.datetime | None = None,
 ) -> None:
     """The same mark for several tables in one append."""
-    text = parse_mark(mark).isoformat(sep=" ")
+    text = parse_mark(mark).isoformat(sep=" ") + "Z"
     rows = spark.createDataFrame([(t, text) for t in tables], "table_name string, mark string")
     set_marks(spark, state, rows, updated_at)
 
@@ -87,8 +88,11 @@ def next_mark(df: DataFrame, table: str, change_column: str) -> DataFrame:
 
     An empty batch yields no row, which leaves the old mark in force.
     """
+    newest = F.max(change_column)
+    if dict(df.dtypes)[change_column] == "timestamp_ntz":  # zone-free times are UTC
+        newest = F.concat(newest.cast("string"), F.lit("Z"))
     return (
-        df.agg(F.max(change_column).alias("mark"))
+        df.agg(newest.cast("timestamp").alias("mark"))
         .filter(F.col("mark").isNotNull())
-        .select(F.lit(table).alias("table_name"), F.col("mark").cast("timestamp"))
+        .select(F.lit(table).alias("table_name"), "mark")
     )
