@@ -12,8 +12,8 @@ from ..plans import bindings as B
 from ..plans import gold as G
 from ..plans import registry
 from ..plans import silver as S
+from ..plans.exports import export_gold
 from ..session import scratch_path
-from ..sinks import writers as W
 from . import query
 
 SETTINGS = registry.Settings(
@@ -26,6 +26,7 @@ SETTINGS = registry.Settings(
     expense_amount=B.EXPENSE_AMOUNT,
     partitioned=False,
     keep_quarantine=False,
+    keep_on_empty=False,
 )
 
 
@@ -517,10 +518,12 @@ def _(spark, sf):
         AS m, CAST(1 AS INTEGER) AS d, total_donado, total_gastado, estado_financiero_mes FROM fin""",
 )
 def _(spark, sf):
-    path = scratch_path(spark, "mart")
-    W.write_export(finance_monthly(spark, sf), path)
-    name = f"dashboard_financiero_{uuid.uuid4().hex}"
-    W.register_external(spark, name, path)
+    root = scratch_path(spark, "mart")
+    database = f"export_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/db'")
+    (name,) = export_gold(
+        spark, {"dashboard_financiero": finance_monthly(spark, sf)}, root, database
+    )
     return spark.table(name).select(
         "y", "m", "d", "total_donado", "total_gastado", "estado_financiero_mes"
     )

@@ -95,6 +95,20 @@ def _(spark, sf):
     return RC.error_counts(_tagged_customers(spark, sf))
 
 
+@query(
+    "dq_quarantine_report",
+    f"""WITH {_TAGGED} SELECT 'clientes' AS table_name, 'customers' AS rule_set, run_id, error_code,
+        count(*) AS row_count FROM (SELECT unnest(codes) AS error_code FROM tagged),
+        (VALUES ('run-1'), ('run-2')) AS r(run_id) GROUP BY run_id, error_code""",
+)
+def _(spark, sf):
+    root = scratch_path(spark, "report")
+    tagged = _tagged_customers(spark, sf)
+    for run in ("run-1", "run-2"):
+        W.append_quarantine(tagged, f"{root}/quarantine/clientes", run, "customers")
+    return RC.quarantine_report(spark, root, ["clientes", "limpios"])
+
+
 @query(
     "dq_home_rules",
     """SELECT n_nationkey, array_to_string(list_filter([

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numbers import percentage
+from ..sources.paths import read_if_present
 from .quality import ERRORS
 
 
@@ -58,6 +59,29 @@ def error_counts(tagged: DataFrame) -> DataFrame:
     )
 
 
+def quarantine_report(spark: SparkSession, root: str, tables: Sequence[str]) -> DataFrame:
+    """``(table_name, rule_set, run_id, error_code, row_count)`` over the stored quarantine.
+
+    A table that never rejected a row has no folder and contributes no rows.
+    """
+    found = []
+    for table in tables:
+        rejected = read_if_present(spark, f"{root}/quarantine/{table}")
+        if rejected is None:
+            continue
+        found.append(
+            rejected.select("rule_set", "run_id", F.explode(ERRORS).alias("error_code"))
+            .groupBy("rule_set", "run_id", "error_code")
+            .agg(F.count(F.lit(1)).alias("row_count"))
+            .select(F.lit(table).alias("table_name"), "*")
+        )
+    if not found:
+        return spark.createDataFrame(
+            [], "table_name string, rule_set string, run_id string, error_code string, row_count long"
+        )
+    return stack(found)
+
+
 def three_way(
     raw: DataFrame, quarantine: DataFrame, silver: DataFrame, critical: Mapping[str, Column]
 ) -> DataFrame:

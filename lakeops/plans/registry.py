@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import quality as dq
 from ..sinks.writers import append_quarantine, overwrite_all_partitions, write_snapshot
+from ..sources.paths import read_if_present
 from . import gold as G
 from . import rules as R
 from . import silver as S
@@ -40,6 +41,7 @@ class Settings:
     run_id: str = "manual"
     partitioned: bool = True
     keep_quarantine: bool = True
+    keep_on_empty: bool = True
 
 
 @dataclass(frozen=True)
@@ -203,8 +205,21 @@ def generations(targets: Iterable[str]) -> list[list[str]]:
     return [g for g in out if g]
 
 
+def _path(root: str, table: Table) -> str:
+    return f"{root}/{table.name.replace('.', '/')}"
+
+
+def _kept_when_empty(
+    spark: SparkSession, root: str, table: Table, raw: DataFrame
+) -> DataFrame | None:
+    """The stored table when there is one and no raw row arrived: nothing is rewritten."""
+    if not raw.isEmpty():
+        return None
+    return read_if_present(spark, _path(root, table))
+
+
 def _store(spark: SparkSession, root: str, table: Table, df: DataFrame, s: Settings) -> DataFrame:
-    path = f"{root}/{table.name.replace('.', '/')}"
+    path = _path(root, table)
     if dq.ERRORS not in df.columns:
         _write(df, path, table, s)
     elif not s.keep_quarantine:
@@ -253,6 +268,10 @@ def run(
 
     def build(name: str) -> tuple[str, DataFrame]:
         table = TABLES[name]
+        if table.layer == "silver" and settings.keep_on_empty:
+            kept = _kept_when_empty(spark, root, table, done[table.inputs[0]])
+            if kept is not None:
+                return name, kept
         df = table.build(spark, settings, done)
         plan_only = name in targets if not store_targets else False
         if not plan_only and not (table.row_wise and not settings.partitioned):

@@ -20,11 +20,11 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import latest_by_key
+from ..sources.paths import read_if_present
 from .writers import gathered
 
 _VERSION = "table_version"
@@ -43,12 +43,8 @@ class Manifest:
 
 def manifest(spark: SparkSession, root: str) -> Manifest:
     """Newest manifest; an empty one for a table that was never written."""
-    try:
-        files = spark.read.schema(_MANIFEST).parquet(f"{root}/manifest").inputFiles()
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
-            raise
-        files = []
+    history = read_if_present(spark, f"{root}/manifest", _MANIFEST)
+    files = history.inputFiles() if history is not None else []
     if not files:
         return Manifest()
     newest = max(int(re.search(r"/n=(\d+)/", f)[1]) for f in files)

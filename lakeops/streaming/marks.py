@@ -10,11 +10,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import latest_by_key
+from ..sources.paths import read_if_present
 
 _EPOCH = dt.datetime(1970, 1, 1)
 _SCHEMA = "table_name string, mark timestamp, updated_at timestamp"
@@ -31,11 +31,8 @@ def parse_mark(text: str | dt.datetime | dt.date) -> dt.datetime:
 
 def current_marks(spark: SparkSession, state: str) -> DataFrame:
     """One row per table that has a mark; empty before the first run."""
-    try:
-        log = spark.read.schema(_SCHEMA).parquet(state)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
-            raise
+    log = read_if_present(spark, state, _SCHEMA)
+    if log is None:
         return spark.createDataFrame([], _SCHEMA)
     return latest_by_key(log, ["table_name"], ["updated_at"], ["mark"])
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from lakeops.plans import gold as G
 from lakeops.plans import registry
 from lakeops.plans import silver as S
+from lakeops.operators.reconcile import quarantine_report
+from lakeops.plans.exports import export_gold
 
 AS_OF = dt.date(2024, 6, 1)
 
@@ -222,3 +224,27 @@ def test_a_month_without_rows_disappears(spark, raw, tmp_path):
     assert run(raw).select("m").distinct().count() == 2
     fewer = {**raw, "donaciones": raw["donaciones"].filter("id_donacion = 1")}
     assert run(fewer).count() == 1
+
+
+def test_no_raw_rows_keep_the_stored_table(spark, raw, tmp_path):
+    settings = registry.Settings(as_of=AS_OF)
+    run = lambda r: registry.run(spark, r, str(tmp_path), ["silver.gastos"], settings)["silver.gastos"]
+    assert run(raw).count() == 3
+    assert run({**raw, "gastos": raw["gastos"].limit(0)}).count() == 3
+
+
+def test_export_of_every_gold_table(spark, tables, tmp_path):
+    spark.sql(f"CREATE DATABASE exported_gold LOCATION '{tmp_path}/db'")
+    gold = {n.split(".")[1]: df for n, df in tables.items() if n.startswith("gold.")}
+    names = export_gold(spark, gold, str(tmp_path), "exported_gold")
+    assert len(names) == 13
+    for name in names:
+        assert spark.table(name).count() == gold[name.split(".")[1]].count()
+    assert {"y", "m", "d"} <= set(spark.table("exported_gold.fact_gastos").columns)
+
+
+def test_quarantine_report(spark, tables):
+    report = quarantine_report(spark, tables["root"], [*registry.RAW, "absent"])
+    codes = {(r["table_name"], r["error_code"]) for r in report.collect()}
+    assert ("donantes", "EMAIL_INVALIDO") in codes and ("casos", "FECHA_INGRESO_INVALIDA") in codes
+    assert quarantine_report(spark, tables["root"], ["absent"]).isEmpty()
