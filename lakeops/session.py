@@ -20,6 +20,8 @@ BASE_CONF = {
     # key from the adaptive skew join. Blocks 5x above the median keep their true size.
     "spark.shuffle.accurateBlockSkewedFactor": "5",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Lookups hash-join against a fact without sorting it when their partitions are small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.autoBroadcastJoinThreshold": "20m",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.files.maxPartitionBytes": "256m",
