@@ -242,43 +242,18 @@ def _entity_input(spark, sf):
     )
 
 
-def _entity(spark, sf, how):
-    amount = F.col("o_totalprice")
-    rows = _entity_input(spark, sf)
-    return Wn.entity_metrics(
-        rows,
-        ["o_custkey"],
-        {
-            "frecuencia": F.count("o_orderkey"),
-            "total": total(amount, B.CENTS) if how == "join" else F.sum(amount),
-            "promedio": mean(amount, B.CENTS) if how == "join" else F.avg(amount),
-            "maximo": F.max(amount),
-            "minimo": F.min(amount),
-        },
-        how,
-    ).drop("o_totalprice")
-
-
 @query("win_entity_metrics", _ENTITY_SQL)
-def _(spark, sf):
-    return _entity(spark, sf, "join")
-
-
-@query(
-    "win_entity_window_form",
-    """SELECT o_orderkey, o_custkey, count(*) OVER w AS frecuencia, max(o_totalprice) OVER w
-       AS maximo, min(o_totalprice) OVER w AS minimo FROM orders
-       WINDOW w AS (PARTITION BY o_custkey)""",
-)
 def _(spark, sf):
     amount = F.col("o_totalprice")
-    rows = _orders(spark, sf).select("o_orderkey", "o_custkey", "o_totalprice")
-    return Wn.entity_metrics(
-        rows,
-        ["o_custkey"],
-        {"frecuencia": F.count("o_orderkey"), "maximo": F.max(amount), "minimo": F.min(amount)},
-        "window",
-    ).drop("o_totalprice")
+    metrics = {
+        "frecuencia": F.count("o_orderkey"),
+        "total": total(amount, B.CENTS),
+        "promedio": mean(amount, B.CENTS),
+        "maximo": F.max(amount),
+        "minimo": F.min(amount),
+    }
+    out = Wn.entity_metrics(_entity_input(spark, sf), ["o_custkey"], metrics)
+    return out.drop("o_totalprice")
 
 
 @query(

@@ -12,6 +12,7 @@ from ..functions import dates as D
 from ..functions import numbers as N
 from ..functions import text as X
 from ..operators import dedup, filters
+from ..operators.joins import lookup_join
 from ..operators.reconcile import preview
 from ..plans import bindings as B
 from ..plans import rules as R
@@ -637,7 +638,7 @@ def _(spark, sf):
         F.col("p_partkey").alias("l_partkey"),
         F.expr("CASE WHEN p_size % 7 <> 0 THEN p_retailprice * 50 END").alias("budget"),
     )
-    rows = _lineitem(spark, sf).join(budget, "l_partkey", "left")
+    rows = lookup_join(_lineitem(spark, sf), budget, ["l_partkey"], hot="measure")
     return rows.select(
         "l_orderkey",
         "l_linenumber",

@@ -256,7 +256,7 @@ def _(spark, sf):
 def _(spark, sf):
     orders = B.table(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey")
     customer = B.table(spark, sf, "customer")
-    joined = joins.lookup_join(orders, customer, ["c_custkey"])
+    joined = joins.lookup_join(orders, customer, ["c_custkey"], hot="measure")
     return RC.join_preservation(orders, customer, ["c_custkey"], joined)
 
 

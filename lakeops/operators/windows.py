@@ -29,17 +29,14 @@ def per_entity(
 
 
 def entity_metrics(
-    df: DataFrame, keys: Sequence[str], metrics: Mapping[str, Column], how: str = "join"
+    df: DataFrame, keys: Sequence[str], metrics: Mapping[str, Column]
 ) -> DataFrame:
     """Repeat whole-entity aggregates on each of the entity's rows.
 
-    ``join`` aggregates first (map-side combined) and joins the result back, so a hot entity
-    is never gathered in one task. ``window`` is the textbook form with the same values; it
-    sorts every entity into a single task and suits evenly spread keys only.
+    Same values as aggregates over ``Window.partitionBy(keys)``, which would gather every
+    entity in one task. Here the aggregates are combined on the map side and joined back, so
+    an entity of any size stays spread out.
     """
-    if how == "window":
-        window = Window.partitionBy(*keys)
-        return df.withColumns({name: m.over(window) for name, m in metrics.items()})
     grouped, hot = per_entity(df, keys, metrics)
     return lookup_join(df, grouped, keys, hot=hot, null_safe=True)
 

@@ -13,11 +13,15 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from graphlib import TopologicalSorter
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import quality as dq
-from ..sinks.writers import append_quarantine, overwrite_all_partitions, write_snapshot
+from ..sinks.writers import (
+    append_quarantine,
+    overwrite_all_partitions,
+    split_once,
+    write_snapshot,
+)
 from ..sources.paths import read_if_present
 from . import gold as G
 from . import rules as R
@@ -225,15 +229,10 @@ def _store(spark: SparkSession, root: str, table: Table, df: DataFrame, s: Setti
     elif not s.keep_quarantine:
         _write(dq.valid_rows(df), path, table, s)
     else:
-        # Both halves of the split are written from one computation of the tagged rows.
-        df = df.persist(StorageLevel.DISK_ONLY)
-        try:
-            append_quarantine(
-                df, f"{root}/quarantine/{table.name.split('.')[1]}", s.run_id, table.name
-            )
-            _write(dq.valid_rows(df), path, table, s)
-        finally:
-            df.unpersist()
+        valid, rejected = split_once(spark, df, table.name)
+        quarantine = f"{root}/quarantine/{table.name.split('.')[1]}"
+        append_quarantine(rejected, quarantine, s.run_id, table.name)
+        _write(valid, path, table, s)
     return spark.read.parquet(path)
 
 

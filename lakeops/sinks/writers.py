@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from ..functions.casts import moment, month_text_to_date, to_long, to_timestamp, to_utc_naive
 from ..functions.dates import partition_columns
-from ..operators.quality import quarantined_rows
+from ..operators.quality import ERRORS, quarantined_rows
+from ..session import scratch_path
 
 STALE_PARTITIONS = ("y", "m", "d")
 
@@ -78,6 +79,20 @@ def write_layer(df: DataFrame, path: str, columns: Sequence[str] = ("anio", "mes
         write_snapshot(df, path)
 
 
+def split_once(spark: SparkSession, tagged: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+    """Valid and rejected rows, both read from one stored copy of the tagged frame.
+
+    The copy goes to the shared scratch folder, with the halves in folders of their own, so
+    the cleaning and its shuffle run once and a lost executor does not bring them back.
+    """
+    path = scratch_path(spark, label)
+    tagged.withColumn("rejected", F.size(ERRORS) > 0).write.partitionBy("rejected").parquet(path)
+    schema = T.StructType([*tagged.schema.fields, T.StructField("rejected", T.StringType())])
+    stored = spark.read.schema(schema).parquet(path)
+    half = lambda flag: stored.filter(F.col("rejected") == flag).drop("rejected")
+    return half("false").drop(ERRORS), half("true")
+
+
 def append_quarantine(tagged: DataFrame, path: str, run_id: str, rule_set: str) -> None:
     """Append the rejected rows with their error codes, the run and the rule set."""
     (

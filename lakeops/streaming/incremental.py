@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import AsOf, partition_columns
 from ..operators import quality as dq
 from ..sinks import versioned
-from ..sinks.writers import append_quarantine
+from ..sinks.writers import append_quarantine, split_once
 from ..sources.readers import extract
 from ..sources.schemas import POLICIES
 from . import marks
@@ -37,23 +36,19 @@ def load_increment(
     delta = extract(source, policy, marks.get_mark(spark, state, table), full=full)
     if delta.isEmpty():
         return None
-    cleaned = clean(delta, as_of).persist(StorageLevel.DISK_ONLY)
-    try:
-        valid = cleaned
-        if dq.ERRORS in cleaned.columns:
-            append_quarantine(cleaned, f"{root}/quarantine/{table}", run_id, table)
-            valid = dq.valid_rows(cleaned)
-        date = policy.business_date
-        version = versioned.upsert(
-            spark,
-            f"{root}/silver/{table}",
-            valid,
-            [policy.key],
-            [policy.change_column],
-            partition_columns(F.col(date), day=None) if date else {},
-        )
-    finally:
-        cleaned.unpersist()
+    cleaned = clean(delta, as_of)
+    if dq.ERRORS in cleaned.columns:
+        cleaned, rejected = split_once(spark, cleaned, table)
+        append_quarantine(rejected, f"{root}/quarantine/{table}", run_id, table)
+    date = policy.business_date
+    version = versioned.upsert(
+        spark,
+        f"{root}/silver/{table}",
+        cleaned,
+        [policy.key],
+        [policy.change_column],
+        partition_columns(F.col(date), day=None) if date else {},
+    )
     marks.set_marks(spark, state, marks.next_mark(delta, table, policy.change_column))
     return version
 
