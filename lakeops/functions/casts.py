@@ -66,6 +66,17 @@ def moment(value: dt.datetime, kind: str) -> Column:
     return F.lit(f"{text}Z" if kind == "timestamp" else text).cast(kind)
 
 
+def as_time(df: DataFrame, column: str) -> tuple[Column, str]:
+    """A change-time column as something a ``moment`` compares with, and its kind.
+
+    Typed columns come back bare (the scan can use the comparison), text is parsed.
+    """
+    source = df.schema[column].dataType
+    if isinstance(source, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.col(column), source.simpleString()
+    return to_timestamp(F.col(column), source), "timestamp"
+
+
 def month_text_to_date(col: Column) -> Column:
     """``'yyyy-MM'`` to the first day of that month."""
     return F.try_to_date(col, "yyyy-MM")

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.casts import moment
+from ..functions.casts import as_time, moment
 
 
 def month_bounds(month: str) -> tuple[dt.date, dt.date]:
@@ -43,13 +43,14 @@ def after_mark(
 ) -> DataFrame:
     """Rows changed after a high-water mark; everything when there is no mark.
 
-    The mark is cast to the column's type and not the other way round, which keeps the
-    comparison eligible for push-down.
+    On a typed column the mark takes the column's type and not the other way round, which
+    keeps the comparison eligible for push-down.
     """
     if mark is None:
         return df
-    bound = moment(mark, dict(df.dtypes)[column])
-    return df.filter(F.col(column) >= bound if inclusive else F.col(column) > bound)
+    changed, kind = as_time(df, column)
+    bound = moment(mark, kind)
+    return df.filter(changed >= bound if inclusive else changed > bound)
 
 
 def require(df: DataFrame, *columns: str) -> DataFrame:

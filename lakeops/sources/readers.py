@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.casts import conform, moment
+from ..functions.casts import as_time, conform, moment
 from ..operators.filters import after_mark
 from ..operators.reconcile import stack
 from .schemas import SCHEMAS, Load, Policy
@@ -132,12 +132,16 @@ def extract(
     until: dt.datetime | None = None,
     full: bool = False,
 ) -> DataFrame:
-    """Rows changed at or after the mark, optionally up to an upper bound (inclusive)."""
+    """Rows changed at or after the mark, optionally up to an upper bound (inclusive).
+
+    Rows without a change time belong to the load that starts from nothing.
+    """
     since = effective_mark(policy, mark, full)
     out = after_mark(source, policy.change_column, since, inclusive=True) if since else source
     if until is not None and policy.load is not Load.SNAPSHOT and policy.change_column:
-        kind = dict(source.dtypes)[policy.change_column]
-        out = out.filter(F.col(policy.change_column) <= moment(until, kind))
+        changed, kind = as_time(source, policy.change_column)
+        upto = changed <= moment(until, kind)
+        out = out.filter(upto if since else upto | changed.isNull())
     return out
 
 

@@ -28,12 +28,16 @@ def load_increment(
 ) -> int | None:
     """Extract what changed since the mark, clean it, merge it by key, then move the mark.
 
-    Returns the committed version, or None when nothing changed. The mark moves only after
-    the merge; a run that fails in between is simply repeated, and repeating it is harmless.
+    Returns the committed version, or None when nothing changed. The new mark is fixed before
+    the rows are read and bounds what is read, so rows that arrive meanwhile wait for the
+    next load. It is stored after the merge; a run that fails in between is simply repeated,
+    and repeating it is harmless.
     """
     policy = POLICIES[table]
     state = f"{root}/state"
-    delta = extract(source, policy, marks.get_mark(spark, state, table), full=full)
+    since = marks.get_mark(spark, state, table)
+    until = marks.latest_change(extract(source, policy, since, full=full), policy.change_column)
+    delta = extract(source, policy, since, until, full)
     if delta.isEmpty():
         return None
     cleaned = clean(delta, as_of)
@@ -49,7 +53,8 @@ def load_increment(
         [policy.change_column],
         partition_columns(F.col(date), day=None) if date else {},
     )
-    marks.set_marks(spark, state, marks.next_mark(delta, table, policy.change_column))
+    if until is not None:
+        marks.set_mark(spark, state, table, until)
     return version
 
 

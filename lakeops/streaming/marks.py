@@ -13,6 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.casts import as_time
 from ..operators.dedup import latest_by_key
 from ..sources.paths import read_if_present
 
@@ -80,16 +81,11 @@ def set_all(
     set_marks(spark, state, rows, updated_at)
 
 
-def next_mark(df: DataFrame, table: str, change_column: str) -> DataFrame:
-    """Mark after a load: the latest change time that was actually read.
-
-    An empty batch yields no row, which leaves the old mark in force.
-    """
-    newest = F.max(change_column)
-    if dict(df.dtypes)[change_column] == "timestamp_ntz":  # zone-free times are UTC
+def latest_change(df: DataFrame, change_column: str) -> dt.datetime | None:
+    """Newest change time of a frame as naive UTC, or None when it has none."""
+    changed, kind = as_time(df, change_column)
+    newest = F.max(changed)
+    if kind == "timestamp_ntz":  # zone-free times are UTC
         newest = F.concat(newest.cast("string"), F.lit("Z"))
-    return (
-        df.agg(newest.cast("timestamp").alias("mark"))
-        .filter(F.col("mark").isNotNull())
-        .select(F.lit(table).alias("table_name"), "mark")
-    )
+    micros = df.agg(F.unix_micros(newest.cast("timestamp"))).first()[0]
+    return None if micros is None else _EPOCH + dt.timedelta(microseconds=micros)

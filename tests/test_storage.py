@@ -70,6 +70,9 @@ def test_extract_modes(spark):
     assert Rd.extract(df, merge, mark, until).count() == 2
     assert Rd.extract(df, merge, mark, full=True).count() == 5
     assert Rd.extract(df, snap, mark, until).count() == 5
+    text = df.selectExpr("k", "CASE WHEN k < 5 THEN replace(string(last_modified_at), ' ', 'T') END AS last_modified_at")
+    assert Rd.extract(text, merge, mark, until).count() == 2
+    assert Rd.extract(text, merge, None, until).count() == 5
     assert POLICIES["casos"].load is Load.SNAPSHOT
 
 
@@ -152,7 +155,11 @@ def test_marks(spark, path):
     marks.set_mark(spark, path, "t", dt.date(2023, 1, 1), dt.datetime(2024, 1, 3))
     assert marks.get_mark(spark, path, "t") == dt.datetime(2023, 1, 1)
     assert marks.get_mark(spark, path, "u") == dt.datetime(2024, 2, 1)
-    assert marks.next_mark(spark.createDataFrame([], "c timestamp"), "t", "c").isEmpty()
+    none = spark.createDataFrame([], "c timestamp")
+    assert marks.latest_change(none, "c") is None
+    for kind in ("string", "timestamp", "timestamp_ntz"):
+        df = spark.sql(f"SELECT CAST(c AS {kind}) AS c FROM VALUES ('2024-01-01 10:00:00.5'), (NULL) AS t(c)")
+        assert marks.latest_change(df, "c") == dt.datetime(2024, 1, 1, 10, 0, 0, 500000)
 
 
 def donations(spark, *data):
