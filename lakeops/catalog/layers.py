@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from ..operators import quality as dq
 from ..operators.calendar import calendar_span, with_calendar
+from ..operators.reconcile import layer_counts
 from ..plans import bindings as B
 from ..plans import gold as G
 from ..plans import registry
@@ -527,3 +529,50 @@ def _(spark, sf):
     return spark.table(name).select(
         "y", "m", "d", "total_donado", "total_gastado", "estado_financiero_mes"
     )
+
+
+# All tables ------------------------------------------------------------------------------
+
+_ROWS_OF = {
+    "silver.donaciones": "don",
+    "silver.gastos": "gas",
+    "silver.donantes": "dnt",
+    "silver.casos": "cas",
+    "silver.proveedores": "prv",
+    "silver.hogar_de_paso": "hog",
+    "gold.dim_calendario": "(SELECT unnest(generate_series(DATE '1994-07-01', DATE '2002-12-31', "
+    "INTERVAL 1 DAY)))",
+    "gold.dim_donantes": "dnt",
+    "gold.dim_proveedores": "prv",
+    "gold.dim_casos": "cas",
+    "gold.dim_hogar_de_paso": "hog",
+    "gold.fact_donaciones": "fdn",
+    "gold.fact_gastos": "fgs",
+    "gold.feat_donantes": "dnt",
+    "gold.feat_casos": "cas",
+    "gold.feat_proveedores": "prv",
+    "gold.dashboard_donaciones": "fdn",
+    "gold.dashboard_gastos": "fgs",
+    "gold.dashboard_financiero": "fin",
+}
+
+
+@query(
+    "pip_all_tables",
+    f"WITH {FINANCE}, {DNT}, {HOG} "
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, 'stored' AS layer, count(*) AS row_count FROM {source}"
+        for name, source in _ROWS_OF.items()
+    ),
+)
+def _(spark, sf):
+    """The whole run: six cleaned and thirteen curated tables, month layout, quarantine."""
+    settings = replace(SETTINGS, partitioned=True, keep_quarantine=True, keep_on_empty=True)
+    tables = registry.run(
+        spark,
+        B.raw_tables(spark, sf),
+        scratch_path(spark, "all"),
+        list(registry.TABLES),
+        settings,
+    )
+    return layer_counts({name: {"stored": df} for name, df in tables.items()})

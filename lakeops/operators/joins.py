@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 # Rows of a lookup that are ever broadcast as "hot". A fixed number, so the broadcast cannot
 # grow with the data; a key outside the list holds less than 1/HOT_ROWS of the fact.
-HOT_ROWS = 256
-SPREAD = 1024
+HOT_ROWS = 4096
+# Salts of a hot row; many more than reducers, so its key reaches all of them.
+SPREAD = 2**20
 
 
 def _matching(pairs: Sequence[tuple[str, str]], null_safe: bool) -> Column:

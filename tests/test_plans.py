@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeops.operators import dedup, filters, joins
 from lakeops.operators import windows as Wn
+from lakeops.sinks.writers import gathered, with_partitions
 
 SF = "/root/testdata/sf0.001"
 
@@ -50,6 +51,11 @@ def test_hot_keys_are_salted_and_only_they_are_broadcast(shuffled, orders):
     assert f"limit={joins.HOT_ROWS}" in text
 
 
+def test_writes_are_rebalanced_by_partition(orders):
+    text = plan(gathered(with_partitions(orders, "o_orderdate"), ["y", "m"]))
+    assert "REBALANCE_PARTITIONS_BY_COL" in text and "hashpartitioning(y" in text
+
+
 def test_entity_metrics_aggregate_once(shuffled, orders):
     df = Wn.entity_metrics(orders, ["o_custkey"], {"n": F.count("o_orderkey"), "s": F.max("o_totalprice")})
     df.collect()
