@@ -306,7 +306,7 @@ def _(spark, sf):
         """CASE WHEN o_orderkey % 9 <> 0 THEN concat(cast(o_orderdate AS string), 'Z') END
            AS fecha_donacion""",
     )
-    return W.hive_export(rows, "fecha_donacion", timestamps=["fecha_donacion"])
+    return W.hive_export(rows, "fecha_donacion")
 
 
 @query(

@@ -13,6 +13,7 @@ from ..functions.casts import moment, month_text_to_date, to_long, to_timestamp,
 from ..functions.dates import partition_columns
 from ..operators.quality import ERRORS, quarantined_rows
 from ..session import scratch_path
+from ..sources.schemas import TIMESTAMP_COLUMNS
 
 STALE_PARTITIONS = ("y", "m", "d")
 
@@ -145,7 +146,12 @@ def relayout(
     return out.withColumns(columns).dropna(subset=list(columns))
 
 
-def hive_export(df: DataFrame, date: str, id_prefix: str = "id_", timestamps: Sequence[str] = ()) -> DataFrame:
+def hive_export(
+    df: DataFrame,
+    date: str,
+    id_prefix: str = "id_",
+    timestamps: Sequence[str] = TIMESTAMP_COLUMNS,
+) -> DataFrame:
     """Typed upload layout: zone-free UTC timestamps, bigint ids, ``anio/mes/dia`` text
     partitions; rows without a date are skipped (SNK-9)."""
     types = {f.name: f.dataType for f in df.schema.fields}

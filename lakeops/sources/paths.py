@@ -6,9 +6,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_if_present(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+def read_if_present(
+    spark: SparkSession, path: str, schema: str | None = None, **options: str
+) -> DataFrame | None:
     """The Parquet table at ``path``, or None when there is none. Other errors pass."""
-    reader = spark.read.schema(schema) if schema else spark.read
+    reader = spark.read.options(**options)
+    if schema:
+        reader = reader.schema(schema)
     try:
         return reader.parquet(path)
     except AnalysisException as error:

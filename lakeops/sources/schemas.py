@@ -58,6 +58,10 @@ SCHEMAS = {
     ),
 }
 
+TIMESTAMP_COLUMNS = sorted(
+    {f.name for s in SCHEMAS.values() for f in s.fields if isinstance(f.dataType, T.TimestampType)}
+)
+
 # Columns a table must have.
 REQUIRED_COLUMNS = {
     "donaciones": ["id_donacion", "fecha_donacion", "monto", "id_donante"],

@@ -31,8 +31,11 @@ def parse_mark(text: str | dt.datetime | dt.date) -> dt.datetime:
 
 
 def current_marks(spark: SparkSession, state: str) -> DataFrame:
-    """One row per table that has a mark; empty before the first run."""
-    log = read_if_present(spark, state, _SCHEMA)
+    """One row per table that has a mark; empty before the first run.
+
+    An unreadable log file is skipped: an older mark, or none, only means reading more again.
+    """
+    log = read_if_present(spark, state, _SCHEMA, ignoreCorruptFiles="true")
     if log is None:
         return spark.createDataFrame([], _SCHEMA)
     return latest_by_key(log, ["table_name"], ["updated_at"], ["mark"])

@@ -155,6 +155,9 @@ def test_marks(spark, path):
     marks.set_mark(spark, path, "t", dt.date(2023, 1, 1), dt.datetime(2024, 1, 3))
     assert marks.get_mark(spark, path, "t") == dt.datetime(2023, 1, 1)
     assert marks.get_mark(spark, path, "u") == dt.datetime(2024, 2, 1)
+    with open(f"{path}/part-broken.parquet", "wb") as broken:
+        broken.write(b"not a parquet file")
+    assert marks.get_mark(spark, path, "u") == dt.datetime(2024, 2, 1)
     none = spark.createDataFrame([], "c timestamp")
     assert marks.latest_change(none, "c") is None
     for kind in ("string", "timestamp", "timestamp_ntz"):
