@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -13,7 +14,6 @@ from pyspark.sql import types as T
 
 from ..functions.casts import as_time, conform, moment
 from ..operators.filters import after_mark
-from ..operators.reconcile import stack
 from .schemas import SCHEMAS, Load, Policy
 
 
@@ -88,19 +88,22 @@ def read_drifting(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     and the scans are united. The driver receives one entry per folder of like files (the
     single file only where a folder is mixed), less than Spark's own file listing holds.
     """
-    columns = schema.fieldNames()
-    signatures = file_signatures(spark, path, columns)
-    folders = signatures.groupBy("folder").agg(
-        F.min("kinds").alias("low"), F.max("kinds").alias("high")
-    )
-    uniform = folders.filter("low = high").select("low", F.col("folder").alias("at"))
-    mixed = (
-        signatures.join(folders.filter("low <> high").select("folder"), "folder", "left_semi")
-        .select(F.col("kinds").alias("low"), F.col("path").alias("at"))
-    )
+    signatures = file_signatures(spark, path, schema.fieldNames()).persist()
+    try:
+        folders = signatures.groupBy("folder").agg(
+            F.min("kinds").alias("kinds"), (F.min("kinds") == F.max("kinds")).alias("alike")
+        )
+        mixed = folders.filter("NOT alike").select("folder")
+        whole = folders.filter("alike").select("kinds", F.col("folder").alias("at"))
+        single = signatures.join(mixed, "folder", "left_semi").select("kinds", F.col("path").alias("at"))
+        entries = whole.unionByName(single).collect()
+    finally:
+        signatures.unpersist()
     groups: dict[str, list[str]] = {}
-    for row in uniform.unionByName(mixed).toLocalIterator():
-        groups.setdefault(row["low"], []).append(row["at"])
+    for entry in entries:
+        groups.setdefault(entry["kinds"], []).append(entry["at"])
+    if not groups:
+        return spark.read.schema(schema).parquet(path)
     if len(groups) == 1:
         return conform(spark.read.option("mergeSchema", "true").parquet(path), schema)
     scans = [
@@ -109,12 +112,7 @@ def read_drifting(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         )
         for paths in groups.values()
     ]
-    columns_seen = [f for s in scans for f in s.schema.fields]
-    every = {f.name: f.dataType for f in columns_seen}
-    return stack([
-        s.select("*", *[F.lit(None).cast(t).alias(n) for n, t in every.items() if n not in s.columns])
-        for s in scans
-    ])
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
 # Incremental extraction ------------------------------------------------------------------
