@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ..operators import quality as dq
 from ..sinks.writers import (
@@ -225,24 +226,26 @@ def _kept_when_empty(
 def _store(spark: SparkSession, root: str, table: Table, df: DataFrame, s: Settings) -> DataFrame:
     path = _path(root, table)
     if dq.ERRORS not in df.columns:
-        _write(df, path, table, s)
+        schema = _write(df, path, table, s)
     elif not s.keep_quarantine:
-        _write(dq.valid_rows(df), path, table, s)
+        schema = _write(dq.valid_rows(df), path, table, s)
     else:
         valid, rejected = split_once(spark, df, table.name)
         quarantine = f"{root}/quarantine/{table.name.split('.')[1]}"
         append_quarantine(rejected, quarantine, s.run_id, table.name)
-        _write(valid, path, table, s)
-    return spark.read.parquet(path)
+        schema = _write(valid, path, table, s)
+    # With its schema given, an empty table reads as empty and month text stays two digits.
+    return spark.read.schema(schema).parquet(path)
 
 
-def _write(df: DataFrame, path: str, table: Table, s: Settings) -> None:
+def _write(df: DataFrame, path: str, table: Table, s: Settings) -> StructType:
     if table.partition_date:
         df = S.month_partitioned(df, table.partition_date)
     if table.partitions and s.partitioned:
         overwrite_all_partitions(df, path, table.partitions)
     else:
         write_snapshot(df, path)
+    return df.schema
 
 
 def run(

@@ -92,9 +92,9 @@ def by(df, key, *columns):
 def test_silver_donations(tables, spark):
     got = by(tables["silver.donaciones"], "id_donacion", "id_donante", "id_caso", "monto", "medio_pago", "estado", "y", "m")
     assert got == {
-        1: (1, 541, 150.0, "transferencia", "completada", 2024, 1),
-        2: (541, 1, 3000000.0, "nequi", "completada", 2024, 2),
-        5: (1, 9, 50.0, "tarjeta", "pendiente", 2024, 4),
+        1: (1, 541, 150.0, "transferencia", "completada", 2024, "01"),
+        2: (541, 1, 3000000.0, "nequi", "completada", 2024, "02"),
+        5: (1, 9, 50.0, "tarjeta", "pendiente", 2024, "04"),
     }
     rejected = spark.read.parquet(f"{tables['root']}/quarantine/donaciones")
     assert by(rejected, "id_donacion", "dq_errors") == {
@@ -248,3 +248,9 @@ def test_quarantine_report(spark, tables):
     codes = {(r["table_name"], r["error_code"]) for r in report.collect()}
     assert ("donantes", "EMAIL_INVALIDO") in codes and ("casos", "FECHA_INGRESO_INVALIDA") in codes
     assert quarantine_report(spark, tables["root"], ["absent"]).isEmpty()
+
+
+def test_empty_tables_read_back_as_empty(spark, raw, tmp_path):
+    nothing = {name: df.limit(0) for name, df in raw.items()}
+    out = registry.run(spark, nothing, str(tmp_path), list(registry.TABLES), registry.Settings(as_of=AS_OF))
+    assert {n for n, df in out.items() if not df.isEmpty()} == {"gold.dim_calendario"}
