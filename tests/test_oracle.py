@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from lakeops import catalog
 
 from .compare import connect, differences
 
@@ -14,13 +15,13 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert differences(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name]) == []
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)
 
 
 def test_entry_is_the_finance_table(spark):
