@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -25,3 +26,148 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = near_duplicates(_table(spark, sf_dir, "documents"), Rule(words=4, percent=80))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@_query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import Rule, contamination
+
+    found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), Rule(words=10))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@_query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import held_out, score, train
+
+    docs = _table(spark, sf_dir, "documents")
+    scored = score(docs, train(docs, _table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+@_query
+def op4_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mixed
+
+    return mixed(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_runs import dedup_lines
+
+    return dedup_lines(_table(spark, sf_dir, "documents")).select("doc.doc_id", "n_lines", "n_deleted", "text")
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_SPACED = r"[^\x20\x09-\x0D]+"
+
+ORACLE["op1_decontaminate"] = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_ALNUM}') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_ALNUM}') AS w FROM benchmark),
+iw AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[s : s + n - 1], ' ') AS x
+  FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM (SELECT *, least(len(w), 10) AS n FROM i) WHERE n > 0)
+),
+dw AS (
+  SELECT doc_id, s, n, array_to_string(w[s : s + n - 1], ' ') AS x
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM iw))
+),
+hit AS (SELECT DISTINCT doc_id, s, n, item_id FROM dw JOIN iw USING (n, x)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hit) GROUP BY doc_id),
+listed AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(v, ',' ORDER BY v)) AS sha
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS v FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  coalesce(sha, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
+ORACLE["op3_minhash_near_dedup"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_SPACED}') AS w FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s : s + 3], ' ') AS x
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS s FROM d WHERE len(w) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+link AS (
+  SELECT a, b FROM (SELECT l.doc_id AS a, r.doc_id AS b, count(*) AS m FROM s l JOIN s r USING (x) WHERE l.doc_id <> r.doc_id GROUP BY ALL)
+  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * m >= 80 * (na.n + nb.n - m)
+),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM least LEFT JOIN n USING (doc_id)
+"""
+
+ORACLE["op4_poisson_mix"] = """
+WITH z AS (SELECT source, coalesce(sum(length(text)), 0)::BIGINT AS chars FROM documents GROUP BY source),
+w AS (SELECT source, chars, floor(sqrt(chars::DOUBLE) * 1048576)::HUGEINT AS weight FROM z),
+r AS (
+  SELECT source, CASE WHEN chars = 0 THEN 1.0::DOUBLE ELSE
+    weight::DOUBLE / (SELECT sum(weight)::DOUBLE FROM w) * 1.0::DOUBLE * (SELECT sum(chars)::DOUBLE FROM w) / chars END AS rate FROM w
+),
+k AS (SELECT source, rate, unnest(range(0, ceil(rate + 9 * sqrt(rate) + 40)::BIGINT + 1)) AS k FROM r),
+p AS (
+  SELECT source, k, exp(CASE WHEN k = 0 THEN 0 ELSE k * ln(rate) END - rate
+    - sum(CASE WHEN k = 0 THEN 0.0::DOUBLE ELSE ln(k::DOUBLE) END) OVER (PARTITION BY source ORDER BY k)) AS p FROM k
+),
+c AS (SELECT source, list(c ORDER BY k) AS cdf FROM (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM p) GROUP BY source),
+n AS (
+  SELECT d.*, len(list_filter(cdf, lambda x: x < ((('0x' || substr(md5('1:' || doc_id), 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE)) AS n
+  FROM documents d JOIN c ON d.source IS NOT DISTINCT FROM c.source
+),
+e AS (SELECT * EXCLUDE (n), unnest(range(1, n + 1))::INTEGER AS mix_copy FROM n)
+SELECT *, ('0x' || substr(md5('1:' || doc_id || ':' || mix_copy), 1, 13))::BIGINT AS mix_key FROM e
+"""
+
+
+def _line_sql(words: int = 20) -> str:
+    levels = max(0, (words - 1).bit_length())
+    steps = "".join(
+        f"""r{t + 1} AS (
+  SELECT * FROM (SELECT doc_id, n, words + lead(words, {1 << t}) OVER o AS words, md5(name || lead(name, {1 << t}) OVER o) AS name
+  FROM r{t} WINDOW o AS (PARTITION BY doc_id ORDER BY n)) WHERE name IS NOT NULL
+),
+"""
+        for t in range(levels)
+    )
+    gone = " UNION ".join(
+        f"""SELECT doc_id, unnest(range(n, n + {1 << t})) AS n
+  FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY doc_id, n) AS place FROM r{t}) WHERE place > 1 AND words >= {words}"""
+        for t in range(levels + 1)
+    )
+    return f"""
+WITH a AS (
+  SELECT doc_id, unnest(ls) AS line, unnest(range(0, len(ls))) AS pos FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)
+),
+b AS (SELECT *, regexp_matches(line, '{_SPACED}') AS full_ FROM a),
+c AS (SELECT *, sum(full_::INT) OVER (PARTITION BY doc_id ORDER BY pos)::BIGINT - 1 AS n FROM b),
+r0 AS (SELECT doc_id, n, len(regexp_extract_all(line, '{_SPACED}')) AS words, md5(line) AS name FROM c WHERE full_),
+{steps}gone AS ({gone}),
+left_ AS (
+  SELECT c.doc_id, string_agg(line, chr(10) ORDER BY pos) FILTER (gone.n IS NULL) AS text,
+    count(*) FILTER (full_) AS n_lines, count(gone.n) AS n_deleted
+  FROM c LEFT JOIN gone ON c.full_ AND gone.doc_id = c.doc_id AND gone.n = c.n GROUP BY c.doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_deleted, 0)::BIGINT AS n_deleted,
+  CASE WHEN d.text IS NOT NULL THEN coalesce(left_.text, '') END AS text
+FROM documents d LEFT JOIN left_ USING (doc_id)
+"""
+
+
+ORACLE["op7_line_dedup"] = _line_sql()
