@@ -171,3 +171,22 @@ FROM documents d LEFT JOIN left_ USING (doc_id)
 
 
 ORACLE["op7_line_dedup"] = _line_sql()
+
+
+@_query
+def op5_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .compression import quality
+
+    found = quality(_table(spark, sf_dir, "documents"))
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        failed.alias("base_failed"), (~failed & F.col("in_band")).alias("kept"), "ratio", "bad_bytes",
+    )
+
+
+@_query
+def op6_viterbi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .viterbi import token_counts
+
+    return token_counts(_table(spark, sf_dir, "documents"))

@@ -36,11 +36,12 @@ PREFIXES = (4, 5, 6, 7, 8)
 @dataclass(frozen=True)
 class Settings:
     sample: int = 12_000
-    least_rows: int = 8
-    least_z: float = 4.0
+    least_rows: int = 4
+    least_z: float = 3.0
     kept_slots: int = 2048
     factors: int = 8
-    epochs: int = 40
+    steps: int = 2000
+    batch: int = 256
     rate: float = 0.02
     decay: float = 1e-4
     seed: int = 7
@@ -142,10 +143,10 @@ def _fit(toxic: np.ndarray, rows: list[np.ndarray], n_slots: int, s: Settings) -
     params = [w0, w, v]
     m, q = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     step = 0
-    for _ in range(s.epochs):
+    while step < s.steps:
         order = rng.permutation(len(rows))
-        for at in range(0, len(order), 256):
-            pick = order[at : at + 256]
+        for at in range(0, len(order), s.batch):
+            pick = order[at : at + s.batch]
             sizes = np.array([len(rows[i]) for i in pick])
             flat = np.concatenate([rows[i] for i in pick]) if sizes.sum() else np.zeros(0, dtype=np.int64)
             own = np.repeat(np.arange(len(pick)), sizes)
