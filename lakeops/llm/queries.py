@@ -190,3 +190,33 @@ def op6_viterbi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .viterbi import token_counts
 
     return token_counts(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..session import scratch_path
+    from .warc import lookup, page_keys, read_captures, write_archives, write_index
+
+    pages = _table(spark, sf_dir, "pages")
+    root = scratch_path(spark, "archives")
+    index = write_index(write_archives(pages, root), root)
+    found = read_captures(lookup(page_keys(pages), index), root)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op9_warc_index"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first_, sha1(h) AS x FROM p),
+b AS (
+  SELECT *, list_aggregate(list_transform(range(1, 41), lambda i:
+    substr('0000000100100011010001010110011110001001101010111100110111101111', 4 * (strpos('0123456789abcdef', substr(x, i, 1)) - 1)::INTEGER + 1, 4)),
+    'string_agg', '') AS bits FROM f
+)
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + 16 * substr(bits, 5 * i + 1, 1)::INTEGER + 8 * substr(bits, 5 * i + 2, 1)::INTEGER + 4 * substr(bits, 5 * i + 3, 1)::INTEGER
+      + 2 * substr(bits, 5 * i + 4, 1)::INTEGER + substr(bits, 5 * i + 5, 1)::INTEGER, 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = first_ THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_ THEN first_ END AS refers_to
+FROM b
+"""
