@@ -220,3 +220,10 @@ SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
   CASE WHEN page_id <> first_ THEN first_ END AS refers_to
 FROM b
 """
+
+
+@_query
+def op10_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import digest, personal_data
+
+    return digest(personal_data(_table(spark, sf_dir, "documents")))
