@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ship import ship
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -17,6 +19,7 @@ def _query(fn):
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -227,3 +230,45 @@ def op10_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import digest, personal_data
 
     return digest(personal_data(_table(spark, sf_dir, "documents")))
+
+
+@_query
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffixes import repeated_passages
+
+    found = repeated_passages(_table(spark, sf_dir, "documents"))
+
+    def words(spans: str) -> F.Column:
+        return F.aggregate(F.transform(spans, lambda s: (s["end"] - s["start"]).cast("bigint")), F.lit(0).cast("bigint"), lambda a, b: a + b)
+
+    def text(spans: str) -> F.Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    return found.select(
+        "doc_id", "n_words", words("spans").alias("n_repeated"), words("removed").alias("n_removed"), text("spans").alias("spans"), text("removed").alias("removed"),
+    )
+
+
+ORACLE["op2_suffix_array_dedup"] = f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_SPACED}') AS w FROM documents
+),
+t AS (
+  SELECT *, len(w) AS n, ('0x' || substr(md5(array_to_string(w, ' ')), 1, 15))::BIGINT AS c FROM d WHERE len(w) >= 50
+),
+x AS (SELECT doc_id, n, c, s, md5(array_to_string(w[s + 1 : s + 50], ' ')) AS k FROM (SELECT *, unnest(range(0, n - 49)) AS s FROM t)),
+y AS (
+  SELECT *, count(*) OVER (PARTITION BY k) AS m, row_number() OVER (PARTITION BY k ORDER BY c, doc_id, s) > 1 AS later FROM x
+),
+z AS (SELECT doc_id, n, s, later FROM y WHERE m > 1),
+i1 AS (SELECT doc_id, n, s, sum((s > coalesce(p, -51) + 50)::INT) OVER (PARTITION BY doc_id ORDER BY s) AS i
+  FROM (SELECT *, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS p FROM z)),
+a1 AS (SELECT doc_id, n, min(s) AS s, max(s) + 50 AS e FROM i1 GROUP BY doc_id, n, i),
+i2 AS (SELECT doc_id, s, sum((s > coalesce(p, -51) + 50)::INT) OVER (PARTITION BY doc_id ORDER BY s) AS i
+  FROM (SELECT *, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS p FROM z WHERE later)),
+a2 AS (SELECT doc_id, min(s) AS s, max(s) + 50 AS e FROM i2 GROUP BY doc_id, i),
+r AS (SELECT doc_id, sum(e - s) AS n_removed, string_agg(s || ':' || e, ',' ORDER BY s) AS removed FROM a2 GROUP BY doc_id)
+SELECT doc_id, any_value(n)::BIGINT AS n_words, sum(e - s)::BIGINT AS n_repeated, coalesce(any_value(n_removed), 0)::BIGINT AS n_removed,
+  string_agg(s || ':' || e, ',' ORDER BY s) AS spans, coalesce(any_value(removed), '') AS removed
+FROM a1 LEFT JOIN r USING (doc_id) GROUP BY doc_id
+"""
