@@ -12,11 +12,13 @@ from lakeops.llm.decontaminate import drop_contaminated
 from lakeops.llm.line_runs import drop_repeated_lines
 from lakeops.llm.minhash import keep_one_per_group
 from lakeops.llm.mixing import mixed
+from lakeops.llm.ship import ship
 from lakeops.llm.store import stored
 from lakeops.llm.toxicity import drop_toxic
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -25,10 +27,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return keep_one_per_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
