@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.casts import conform
 from ..functions.dates import days_since
 from ..functions.numbers import mean, total
 from ..operators import aggregates as A
@@ -40,7 +42,7 @@ def _(spark, sf):
         F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment"
     )
     facts = _orders(spark, sf).select("o_orderkey", "o_custkey", "o_totalprice")
-    return J.lookup_join(facts, donors, ["o_custkey"], hot="measure")
+    return J.lookup_join(facts, donors, ["o_custkey"])
 
 
 @query(
@@ -54,9 +56,8 @@ def _(spark, sf):
     )
     supplier = B.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
     part = B.table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    hot_parts = J.hot_rows(facts, part, ["l_partkey"])
-    out = J.lookup_join(facts, supplier, ["l_suppkey"], hot="measure")
-    return J.lookup_join(out, part, ["l_partkey"], hot=hot_parts).drop("l_suppkey", "l_partkey")
+    out = J.lookup_join(facts, supplier, ["l_suppkey"])
+    return J.lookup_join(out, part, ["l_partkey"]).drop("l_suppkey", "l_partkey")
 
 
 @query(
@@ -219,6 +220,27 @@ def _(spark, sf):
     )
 
 
+@query(
+    "agg_dirty_amounts",
+    """SELECT o_orderstatus, count(*) AS row_count, CAST(sum(CASE WHEN o_orderkey % 11 > 1 THEN
+         CAST(o_totalprice AS DECIMAL(18,2)) END) AS DOUBLE) AS amount,
+         count(*) FILTER (WHERE o_orderkey % 11 = 0) AS unreadable FROM orders GROUP BY 1""",
+)
+def _(spark, sf):
+    """NaN and infinite amounts: the typed registry drops the first, exact sums skip both."""
+    dirty = _orders(spark, sf).selectExpr(
+        "o_orderstatus",
+        """CASE o_orderkey % 11 WHEN 0 THEN double('NaN') WHEN 1 THEN double('Infinity')
+           ELSE o_totalprice END AS monto""",
+    )
+    amount = T.StructType([T.StructField("monto", T.DoubleType())])
+    return conform(dirty, amount).groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        total(F.col("monto"), B.CENTS).alias("amount"),
+        F.count_if(F.col("monto").isNull()).alias("unreadable"),
+    )
+
+
 # Windows ---------------------------------------------------------------------------------
 
 _ENTITY_SQL = f"""SELECT o_orderkey, o_custkey, count(*) OVER w AS frecuencia,
@@ -252,7 +274,7 @@ def _(spark, sf):
         "maximo": F.max(amount),
         "minimo": F.min(amount),
     }
-    out = Wn.entity_metrics(_entity_input(spark, sf), ["o_custkey"], metrics)
+    out = Wn.entity_metrics(_entity_input(spark, sf), ["o_custkey"], metrics, salt=["o_orderkey"])
     return out.drop("o_totalprice")
 
 
@@ -264,7 +286,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     rows = _orders(spark, sf).select("o_orderkey", "o_custkey", "o_orderdate")
-    out = Wn.entity_metrics(rows, ["o_custkey"], {"ultima": F.max("o_orderdate")})
+    out = Wn.entity_metrics(rows, ["o_custkey"], {"ultima": F.max("o_orderdate")}, salt=["o_orderkey"])
     return out.select(
         "o_orderkey",
         days_since(F.col("o_orderdate"), B.AS_OF).alias("recencia_fila"),
@@ -272,19 +294,20 @@ def _(spark, sf):
     )
 
 
-def _months(spark, sf):
+def _months(spark, sf, gap=False):
     month = F.to_date(F.date_trunc("month", "o_orderdate")).alias("month")
     return (
         _orders(spark, sf)
-        .filter("o_orderstatus = 'F' AND month(o_orderdate) <> 5")
+        .filter(F.expr("month(o_orderdate) <> 5") if gap else F.lit(True))
         .groupBy(month)
         .agg(total(F.col("o_totalprice"), B.CENTS).alias("income"))
     )
 
 
-_MONTHS = f"""months AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
-  sum(CAST(o_totalprice AS DECIMAL(18,2))) AS income FROM orders
-  WHERE o_orderstatus = 'F' AND month(o_orderdate) <> 5 GROUP BY 1)"""
+_MONTHS = """months AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+  sum(CAST(o_totalprice AS DECIMAL(18,2))) AS income FROM orders GROUP BY 1)"""
+# A month of the year is missing: the trailing window counts rows, not months.
+_GAPS = _MONTHS.replace(" GROUP BY 1", " WHERE month(o_orderdate) <> 5 GROUP BY 1")
 
 
 @query(
@@ -300,11 +323,11 @@ def _(spark, sf):
 
 @query(
     "win_trailing_three",
-    f"""WITH {_MONTHS} SELECT month, CAST(sum(income) OVER (ORDER BY month ROWS BETWEEN 2
+    f"""WITH {_GAPS} SELECT month, CAST(sum(income) OVER (ORDER BY month ROWS BETWEEN 2
         PRECEDING AND CURRENT ROW) AS DOUBLE) AS trailing FROM months""",
 )
 def _(spark, sf):
-    return _months(spark, sf).select(
+    return _months(spark, sf, gap=True).select(
         "month", Wn.trailing_total(F.col("income"), "month", scale=B.CENTS).alias("trailing")
     )
 

@@ -572,12 +572,12 @@ def _(spark, sf):
 
 @query(
     "bkt_supplier",
-    """SELECT l_suppkey, CASE WHEN t > 5000000 THEN 'Socio Estratégico' WHEN t > 1000000 THEN
+    """SELECT l_suppkey, CASE WHEN t > 33000000 THEN 'Socio Estratégico' WHEN t > 31000000 THEN
               'Proveedor Frecuente' ELSE 'Transaccional' END AS importancia,
               CASE l_suppkey % 5 WHEN 0 THEN 'Servicios Veterinarios' WHEN 1 THEN 'Insumos'
               WHEN 2 THEN 'Logística' ELSE 'General' END AS categoria
        FROM (SELECT l_suppkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS t FROM lineitem
-             WHERE l_returnflag = 'A' AND l_tax = 0.01 GROUP BY l_suppkey)""",
+             GROUP BY l_suppkey)""",
 )
 def _(spark, sf):
     kind = F.expr(
@@ -587,12 +587,11 @@ def _(spark, sf):
     patterns, otherwise = R.SUPPLIER_CATEGORY
     return (
         _lineitem(spark, sf)
-        .filter("l_returnflag = 'A' AND l_tax = 0.01")
         .groupBy("l_suppkey")
         .agg(N.total(F.col("l_extendedprice"), B.CENTS).alias("t"))
         .select(
             "l_suppkey",
-            K.bucket(F.col("t"), *R.SUPPLIER_IMPORTANCE).alias("importancia"),
+            K.bucket(F.col("t"), *B.SUPPLIER_IMPORTANCE).alias("importancia"),
             X.pattern_category(kind, patterns, otherwise=otherwise).alias("categoria"),
         )
     )
@@ -636,7 +635,7 @@ def _(spark, sf):
         F.col("p_partkey").alias("l_partkey"),
         F.expr("CASE WHEN p_size % 7 <> 0 THEN p_retailprice * 50 END").alias("budget"),
     )
-    rows = lookup_join(_lineitem(spark, sf), budget, ["l_partkey"], hot="measure")
+    rows = lookup_join(_lineitem(spark, sf), budget, ["l_partkey"])
     return rows.select(
         "l_orderkey",
         "l_linenumber",

@@ -9,6 +9,7 @@ from pyspark.sql.types import TimestampType
 
 from ..functions.casts import to_utc_naive
 from ..functions.dates import partition_columns
+from ..functions.numbers import total
 from ..operators import filters
 from ..plans import bindings as B
 from ..plans import silver as S
@@ -100,28 +101,101 @@ def _(spark, sf):
     )
 
 
+def _clean(df, as_of):
+    return S.donations(df, as_of, first_day=dt.date(1990, 1, 1))
+
+
+def _valid(spark, root, table="donaciones"):
+    return incremental.read_valid(spark, root, table)
+
+
 @query(
     "inc_load_cycle",
     """SELECT o_orderkey AS id_donacion, CASE WHEN o_orderstatus = 'P' AND o_orderdate >=
               TIMESTAMP '2000-01-01' THEN o_totalprice + 1 ELSE o_totalprice END AS monto
-       FROM orders WHERE o_orderkey % 17 <> 0 AND o_orderkey % 101 <> 0""",
+       FROM orders WHERE o_orderkey % 101 <> 0 AND NOT (o_orderstatus = 'P' AND o_orderkey % 7 = 0
+         AND o_orderdate >= TIMESTAMP '2000-01-01')""",
 )
 def _(spark, sf):
-    """First load of all donations, then an increment that corrects recent ones."""
+    """First load of all donations, then an increment that corrects recent ones, some of them
+    into invalid ones."""
     root = scratch_path(spark, "cycle")
-    raw = B.donations(spark, sf).filter("last_modified_at IS NOT NULL")
-    clean = lambda df, as_of: S.donations(df, as_of, first_day=dt.date(1990, 1, 1))
-    incremental.load_increment(spark, raw, "donaciones", clean, root, B.AS_OF)
-    fixed = raw.filter("estado = 'Rechazada' OR estado IS NULL").join(
+    raw = B.donations(spark, sf)
+    incremental.load_increment(spark, raw, "donaciones", _clean, root, B.AS_OF)
+    fixed = raw.join(
         B.table(spark, sf, "orders").selectExpr("o_orderkey AS id_donacion", "o_orderstatus"),
         "id_donacion",
     ).filter("o_orderstatus = 'P' AND fecha_donacion >= TIMESTAMP_NTZ '2000-01-01'").selectExpr(
         "* EXCEPT (o_orderstatus, monto, last_modified_at)",
-        "CASE WHEN monto < 0 THEN monto ELSE monto + 1 END AS monto",
+        "CASE WHEN monto < 0 OR id_donacion % 7 = 0 THEN -1D ELSE monto + 1 END AS monto",
         "TIMESTAMP_NTZ '2001-12-31 00:00:00' AS last_modified_at",
     )
     for _ in range(2):  # the second call starts from the moved mark and changes nothing
         incremental.load_increment(
-            spark, raw.unionByName(fixed), "donaciones", clean, root, B.AS_OF
+            spark, raw.unionByName(fixed), "donaciones", _clean, root, B.AS_OF
+        )
+    return _valid(spark, root).select("id_donacion", "monto")
+
+
+@query(
+    "inc_snapshot_replace",
+    """SELECT p_partkey AS id_caso, lower(p_name) AS nombre_caso FROM part WHERE p_partkey % 3 <> 0
+       AND p_partkey % 70 <> 0 AND p_partkey * 7 % 1500 >= DATE '1996-01-01' - DATE '1995-06-01'""",
+)
+def _(spark, sf):
+    """A list of cases that lost a third of its rows: they are gone from the table as well."""
+    root = scratch_path(spark, "snapshot")
+    clean = lambda df, as_of: S.cases(df, as_of, B.FIRST_DAY)
+    for raw in (B.cases(spark, sf), B.cases(spark, sf).filter("id_caso % 3 <> 0")):
+        incremental.load_increment(spark, raw, "casos", clean, root, B.AS_OF)
+    return _valid(spark, root, "casos").select("id_caso", "nombre_caso")
+
+
+@query(
+    "inc_full_reload",
+    """SELECT o_orderkey AS id_donacion, o_totalprice AS monto FROM orders
+       WHERE o_orderkey % 101 <> 0 AND o_orderkey % 4 <> 0""",
+)
+def _(spark, sf):
+    """A forced reload of a table that is otherwise merged replaces it."""
+    root = scratch_path(spark, "reload")
+    raw = B.donations(spark, sf)
+    incremental.load_increment(spark, raw, "donaciones", _clean, root, B.AS_OF)
+    incremental.load_increment(
+        spark, raw.filter("id_donacion % 4 <> 0"), "donaciones", _clean, root, B.AS_OF, full=True
+    )
+    return _valid(spark, root).select("id_donacion", "monto")
+
+
+@query(
+    "inc_quarantine_repeat",
+    "SELECT o_orderkey AS id_donacion, -o_totalprice AS monto FROM orders WHERE o_orderkey % 101 = 0",
+)
+def _(spark, sf):
+    """Three loads of one source leave every rejected row once."""
+    root = scratch_path(spark, "repeat")
+    for _ in range(3):
+        incremental.load_increment(
+            spark, B.donations(spark, sf), "donaciones", _clean, root, B.AS_OF
         )
-    return versioned.read_current(spark, f"{root}/silver/donaciones").select("id_donacion", "monto")
+    return spark.read.parquet(f"{root}/quarantine/donaciones").select("id_donacion", "monto")
+
+
+@query(
+    "snk_bronze_write",
+    """SELECT CAST(year(t) AS INTEGER) AS y, strftime(t, '%m') AS m, strftime(t, '%d') AS d,
+              count(*) AS row_count, CAST(sum(CAST(v AS DECIMAL(18,2))) AS DOUBLE) AS monto
+       FROM (SELECT CASE WHEN o_orderkey % 17 <> 0 THEN o_orderdate ELSE TIMESTAMP '2002-01-01' END
+             AS t, CASE WHEN o_orderkey % 101 = 0 THEN -o_totalprice ELSE o_totalprice END AS v
+             FROM orders) GROUP BY ALL""",
+)
+def _(spark, sf):
+    """The landing step: raw files by change day, read back with their folders' columns."""
+    root = scratch_path(spark, "bronze")
+    raw = B.donations(spark, sf)
+    incremental.land(spark, raw, "donaciones", root, None, dt.datetime(2002, 1, 1), run_id="one")
+    schema = f"{raw.schema.toDDL()}, y int, m string, d string"
+    landed = spark.read.schema(schema).parquet(f"{root}/raw/donaciones/run=one")
+    return landed.groupBy("y", "m", "d").agg(
+        F.count(F.lit(1)).alias("row_count"), total(F.col("monto"), B.CENTS).alias("monto")
+    )

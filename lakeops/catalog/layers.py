@@ -7,9 +7,10 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
+from ..functions.numbers import total
 from ..operators import quality as dq
 from ..operators.calendar import calendar_span, with_calendar
-from ..operators.reconcile import layer_counts
+from ..operators.reconcile import stack
 from ..plans import bindings as B
 from ..plans import gold as G
 from ..plans import registry
@@ -26,9 +27,6 @@ SETTINGS = registry.Settings(
     critical=B.CRITICAL,
     size=B.SIZE,
     expense_amount=B.EXPENSE_AMOUNT,
-    partitioned=False,
-    keep_quarantine=False,
-    keep_on_empty=False,
 )
 
 
@@ -96,8 +94,8 @@ DNT = """dnt_all AS (SELECT c_custkey AS id_donante,
 CAS = """cas_all AS (SELECT p_partkey AS id_caso,
     CASE WHEN p_partkey % 70 <> 0 THEN lower(p_name) ELSE 'anonimo' END AS nombre_caso,
     'no urgente' AS estado,
-    CAST(DATE '1995-06-01' + CAST(p_partkey % 1500 AS INTEGER) AS TIMESTAMP) AS fecha_ingreso,
-    CASE WHEN p_size <= 25 THEN CAST(DATE '1995-06-01' + CAST(p_partkey % 1500 AS INTEGER) + p_size
+    CAST(DATE '1995-06-01' + CAST(p_partkey * 7 % 1500 AS INTEGER) AS TIMESTAMP) AS fecha_ingreso,
+    CASE WHEN p_size <= 25 THEN CAST(DATE '1995-06-01' + CAST(p_partkey * 7 % 1500 AS INTEGER) + p_size
       AS TIMESTAMP) END AS fecha_salida,
     CASE WHEN p_size % 3 = 0 THEN lower(p_brand) ELSE 'cba' END AS veterinaria,
     lower(p_type) AS diagnostico, 'bogota' AS ciudad,
@@ -515,20 +513,15 @@ def _(spark, sf):
 
 
 @query(
-    "mrt_export_catalogue",
-    f"""WITH {FINANCE} SELECT CAST(year(anio_mes) AS INTEGER) AS y, CAST(month(anio_mes) AS INTEGER)
-        AS m, CAST(1 AS INTEGER) AS d, total_donado, total_gastado, estado_financiero_mes FROM fin""",
+    "dq_null_balance",
+    f"""WITH {FINANCE} SELECT 'balance_neto' AS column_name, count(*) FILTER (WHERE balance_neto IS
+        NULL) AS null_count FROM fin UNION ALL SELECT 'balance_acumulado', count(*) FILTER (WHERE
+        balance_acumulado IS NULL) FROM fin UNION ALL SELECT 'runway_financiero', count(*) FILTER
+        (WHERE runway_financiero IS NULL) FROM fin""",
 )
 def _(spark, sf):
-    root = scratch_path(spark, "mart")
-    database = f"export_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/db'")
-    (name,) = export_gold(
-        spark, {"dashboard_financiero": finance_monthly(spark, sf)}, root, database
-    )
-    return spark.table(name).select(
-        "y", "m", "d", "total_donado", "total_gastado", "estado_financiero_mes"
-    )
+    columns = ["balance_neto", "balance_acumulado", "runway_financiero"]
+    return dq.null_profile(finance_monthly(spark, sf), columns)
 
 
 # All tables ------------------------------------------------------------------------------
@@ -557,22 +550,106 @@ _ROWS_OF = {
 }
 
 
-@query(
-    "pip_all_tables",
-    f"WITH {FINANCE}, {DNT}, {HOG} "
-    + " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, 'stored' AS layer, count(*) AS row_count FROM {source}"
-        for name, source in _ROWS_OF.items()
-    ),
-)
+# Amount of each table that has one, for comparing values and not only row counts.
+_AMOUNT_OF = {
+    "silver.donaciones": "monto",
+    "silver.gastos": "monto",
+    "gold.fact_donaciones": "monto",
+    "gold.fact_gastos": "monto",
+    "gold.dashboard_donaciones": "monto",
+    "gold.dashboard_gastos": "monto",
+    "gold.dashboard_financiero": "balance_neto",
+}
+
+
+def _facts_sql(names, label):
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS row_count, "
+        + (
+            f"CAST(sum(CAST({_AMOUNT_OF[name]} AS DECIMAL(18,2))) AS DOUBLE)"
+            if name in _AMOUNT_OF
+            else "CAST(NULL AS DOUBLE)"
+        )
+        + f" AS {label} FROM {_ROWS_OF[name]}"
+        for name in names
+    )
+
+
+def _facts(tables, label):
+    return stack(
+        [
+            df.agg(
+                F.count(F.lit(1)).alias("row_count"),
+                (
+                    total(F.col(_AMOUNT_OF[name]), B.CENTS)
+                    if name in _AMOUNT_OF
+                    else F.lit(None).cast("double")
+                ).alias(label),
+            ).select(F.lit(name).alias("table_name"), "row_count", label)
+            for name, df in tables.items()
+        ]
+    )
+
+
+@query("pip_all_tables", f"WITH {FINANCE}, {DNT}, {HOG} " + _facts_sql(_ROWS_OF, "amount"))
 def _(spark, sf):
     """The whole run: six cleaned and thirteen curated tables, month layout, quarantine."""
-    settings = replace(SETTINGS, partitioned=True, keep_quarantine=True, keep_on_empty=True)
     tables = registry.run(
-        spark,
-        B.raw_tables(spark, sf),
-        scratch_path(spark, "all"),
-        list(registry.TABLES),
-        settings,
+        spark, B.raw_tables(spark, sf), scratch_path(spark, "all"), list(registry.TABLES), SETTINGS
     )
-    return layer_counts({name: {"stored": df} for name, df in tables.items()})
+    return _facts(tables, "amount")
+
+
+@query(
+    "mrt_export_catalogue",
+    f"WITH {FINANCE}, {DNT}, {HOG} " + _facts_sql([n for n in _ROWS_OF if n.startswith("gold.")], "amount"),
+)
+def _(spark, sf):
+    """All thirteen curated tables as folders with external tables on top, read by name."""
+    root = scratch_path(spark, "mart")
+    gold = registry.run(
+        spark, B.raw_tables(spark, sf), f"{root}/lake", registry.layer_targets("gold"), SETTINGS
+    )
+    database = f"export_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/db'")
+    names = export_gold(spark, {n.split(".")[1]: df for n, df in gold.items()}, root, database)
+    return _facts({f"gold.{n.split('.')[1]}": spark.table(n) for n in names}, "amount")
+
+
+@query(
+    "pip_month_rerun",
+    f"""WITH {DON} SELECT id_donacion, estado, CASE WHEN strftime(fecha_donacion, '%Y-%m') =
+        '1998-06' THEN monto + 1 ELSE monto END AS monto FROM don""",
+)
+def _(spark, sf):
+    """A full run, then one month again after all amounts changed: only that month follows."""
+    root, name = scratch_path(spark, "month"), "silver.donaciones"
+    raw = B.donations(spark, sf)
+    registry.run(spark, {"donaciones": raw}, root, [name], SETTINGS)
+    changed = raw.withColumn("monto", F.col("monto") + 1)
+    month = replace(SETTINGS, month="1998-06")
+    out = registry.run(spark, {"donaciones": changed}, root, [name], month)
+    return out[name].select("id_donacion", "estado", "monto")
+
+
+@query(
+    "pip_run_counts",
+    f"""WITH {DON}, {GAS}, {DNT}, {CAS}, {PRV}, {HOG}, c AS (
+          SELECT 'silver.donaciones' AS table_name, (SELECT count(*) FROM orders) AS raw,
+                 (SELECT count(*) FROM don_all) AS deduplicated, (SELECT count(*) FROM don) AS valid
+          UNION ALL SELECT 'silver.gastos', (SELECT count(*) FROM lineitem),
+                 (SELECT count(*) FROM gas), (SELECT count(*) FROM gas)
+          UNION ALL SELECT 'silver.donantes', (SELECT count(*) FROM customer),
+                 (SELECT count(*) FROM dnt_all), (SELECT count(*) FROM dnt)
+          UNION ALL SELECT 'silver.casos', (SELECT count(*) FROM part),
+                 (SELECT count(*) FROM cas_all), (SELECT count(*) FROM cas)
+          UNION ALL SELECT 'silver.proveedores', (SELECT count(*) FROM supplier),
+                 (SELECT count(*) FROM prv), (SELECT count(*) FROM prv)
+          UNION ALL SELECT 'silver.hogar_de_paso', (SELECT count(*) FROM nation),
+                 (SELECT count(*) FROM hog_all), (SELECT count(*) FROM hog))
+        SELECT *, deduplicated - valid AS rejected FROM c""",
+)
+def _(spark, sf):
+    root, raw = scratch_path(spark, "counts"), B.raw_tables(spark, sf)
+    registry.run(spark, raw, root, registry.layer_targets("silver"), SETTINGS)
+    return registry.run_counts(spark, raw, root)

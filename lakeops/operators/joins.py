@@ -55,15 +55,18 @@ def lookup_join(
     fact: DataFrame,
     lookup: DataFrame,
     keys: Sequence[str],
-    hot: DataFrame | str | None = None,
+    hot: DataFrame | str | Sequence | None = None,
     null_safe: bool = False,
+    salt: Sequence[str] = (),
 ) -> DataFrame:
     """Left join ``fact`` to a lookup that has one row per key.
 
     ``hot`` controls what happens to frequent keys:
 
-    * ``None`` - plain join; fine when the lookup is small enough for the optimizer to
-      broadcast or the keys are known to be even.
+    * ``None`` - plain join: the optimizer broadcasts a small lookup, and the adaptive skew join
+      splits what turns out large.
+    * a list - placeholder values of a single key ("no donor given") that are known to be
+      frequent. Nothing is counted; their lookup rows, one each, are broadcast.
     * ``"measure"`` - count the fact's keys first (reads only the key columns).
     * a frame - the result of ``hot_rows`` or of another count the caller already has. In a
       chain of lookups, measure on the bare fact, not on the joined one.
@@ -71,6 +74,8 @@ def lookup_join(
     Rows of a hot key find their partner in a broadcast of those few rows. They then go
     through the shuffled join under a salted key that matches nothing, which spreads them
     evenly; all other rows join on salt 0. Each fact row is read once and no row is lost.
+    ``salt`` names the columns whose hash spreads hot rows, a row id at best; without it all
+    columns of the fact do, and all are read.
     """
     values = [c for c in lookup.columns if c not in keys]
     if hot is None:
@@ -81,6 +86,9 @@ def lookup_join(
         if hot != "measure":
             raise ValueError(f"unknown hot-key mode {hot!r}")
         hot = hot_rows(fact, lookup, keys)
+    elif not isinstance(hot, DataFrame):
+        (key,) = keys
+        hot = lookup.filter(F.col(key).isin(list(hot)))
 
     key_cols, pairs = _renamed(hot, keys, "__hot_")
     hot_side = F.broadcast(
@@ -91,7 +99,7 @@ def lookup_join(
         spread = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys], spread)
     salted = fact.join(hot_side, _matching(pairs, null_safe), "left").withColumn(
         "__salt",
-        F.when(spread, F.pmod(F.xxhash64(*fact.columns), F.lit(SPREAD)) + 1)
+        F.when(spread, F.pmod(F.xxhash64(*(salt or fact.columns)), F.lit(SPREAD)) + 1)
         .otherwise(F.lit(0))
         .cast("int"),
     )

@@ -29,16 +29,19 @@ def per_entity(
 
 
 def entity_metrics(
-    df: DataFrame, keys: Sequence[str], metrics: Mapping[str, Column]
+    df: DataFrame,
+    keys: Sequence[str],
+    metrics: Mapping[str, Column],
+    salt: Sequence[str] = (),
 ) -> DataFrame:
     """Repeat whole-entity aggregates on each of the entity's rows.
 
     Same values as aggregates over ``Window.partitionBy(keys)``, which would gather every
     entity in one task. Here the aggregates are combined on the map side and joined back, so
-    an entity of any size stays spread out.
+    an entity of any size stays spread out. ``salt`` names a row id for that, see ``lookup_join``.
     """
     grouped, hot = per_entity(df, keys, metrics)
-    return lookup_join(df, grouped, keys, hot=hot, null_safe=True)
+    return lookup_join(df, grouped, keys, hot=hot, null_safe=True, salt=salt)
 
 
 def _over(value: Column, window, scale: int | None) -> Column:

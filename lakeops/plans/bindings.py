@@ -25,7 +25,10 @@ EXPENSE_AMOUNT = (
     [("<", 25_000, "Pequeño"), ("between", (25_000, 75_000), "Mediano")],
     "Grande",
 )
-IMPORTANCE_FACTORS = (15_000_000, 16_500_000)
+SUPPLIER_IMPORTANCE = (
+    [(">", 33_000_000, "Socio Estratégico"), (">", 31_000_000, "Proveedor Frecuente")],
+    "Transaccional",
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,14 +95,14 @@ def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_partkey AS id_caso",
         "CASE WHEN p_partkey % 70 <> 0 THEN concat(upper(p_name), ' ') END AS nombre_caso",
         "'activo' AS estado",
-        "date_add(DATE '1995-06-01', cast(p_partkey % 1500 AS int))::timestamp_ntz AS fecha_ingreso",
+        "date_add(DATE '1995-06-01', cast(p_partkey * 7 % 1500 AS int))::timestamp_ntz AS fecha_ingreso",
         """CASE WHEN p_size <= 25 THEN date_add(DATE '1995-06-01',
-           cast(p_partkey % 1500 AS int) + p_size)::timestamp_ntz END AS fecha_salida""",
+           cast(p_partkey * 7 % 1500 AS int) + p_size)::timestamp_ntz END AS fecha_salida""",
         "CASE WHEN p_size % 3 = 0 THEN p_brand END AS veterinaria",
         "p_type AS diagnostico",
         "CASE WHEN p_size % 9 <> 0 THEN p_partkey % 25 END AS id_hogar_de_paso",
         "CASE WHEN p_size % 7 <> 0 THEN p_retailprice * 50 END AS presupuesto_estimado",
-        "date_add(DATE '1995-06-01', cast(p_partkey % 1500 AS int))::timestamp_ntz AS last_modified_at",
+        "date_add(DATE '1995-06-01', cast(p_partkey * 7 % 1500 AS int))::timestamp_ntz AS last_modified_at",
     )
 
 

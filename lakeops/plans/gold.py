@@ -20,7 +20,7 @@ from ..operators import quality as dq
 from ..operators.aggregates import amount_stats, amount_where, monthly_rollup
 from ..operators.calendar import date_range, with_calendar
 from ..operators.filters import in_status, positive_and_dated
-from ..operators.joins import calendar_join, hot_rows, lookup_join
+from ..operators.joins import calendar_join, lookup_join
 from ..operators.reconcile import stack
 from ..operators.windows import per_entity, running_total, trailing_total
 from . import rules as R
@@ -127,7 +127,7 @@ def fact_donations(
     date, amount = F.col("fecha_donacion"), F.col("monto")
     done = donations.filter(in_status("estado", R.DONATION_DONE))
     last, hot = per_entity(done, ["id_donante"], {"__last": F.max("fecha_donacion")})
-    out = lookup_join(done, last, ["id_donante"], hot=hot, null_safe=True)
+    out = lookup_join(done, last, ["id_donante"], hot=hot, null_safe=True, salt=["id_donacion"])
     return out.select(
         "id_donacion",
         "id_donante",
@@ -281,7 +281,7 @@ def dash_donations(
         },
     )
     lookup, hot = _with_attributes(metrics, dim.select("id_donante", *attributes), "id_donante")
-    out = lookup_join(fact, lookup, ["id_donante"], hot=hot, null_safe=True)
+    out = lookup_join(fact, lookup, ["id_donante"], hot=hot, null_safe=True, salt=["id_donacion"])
     return out.select(
         *fact.columns,
         *attributes,
@@ -334,8 +334,8 @@ def dash_expenses(
         },
     )
     lookup, hot = _with_attributes(metrics, of_supplier, "id_proveedor")
-    out = lookup_join(fact, lookup, ["id_proveedor"], hot=hot, null_safe=True)
-    out = lookup_join(out, of_case, ["id_caso"], hot=hot_rows(fact, of_case, ["id_caso"]))
+    out = lookup_join(fact, lookup, ["id_proveedor"], hot=hot, null_safe=True, salt=["id_gasto"])
+    out = lookup_join(out, of_case, ["id_caso"], hot=[R.NO_CASE], salt=["id_gasto"])
     return out.select(
         *fact.columns,
         "nombre_proveedor",
@@ -381,7 +381,7 @@ def finance_rows(
         F.trunc("fecha_pago", "month").alias("anio_mes"),
     )
     budgets = cases.select("id_caso", "presupuesto_estimado")
-    paid = lookup_join(paid, budgets, ["id_caso"], hot="measure").withColumn(
+    paid = lookup_join(paid, budgets, ["id_caso"], hot=[R.NO_CASE]).withColumn(
         "sobrepresupuesto", exceeds(F.col("monto"), F.col("presupuesto_estimado"))
     )
     return done, paid

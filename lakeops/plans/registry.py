@@ -3,27 +3,29 @@
 Every table is stored before its readers start, so no lineage is computed twice and a lost
 executor costs a stage, not a pipeline. Tables of one generation are independent and are
 submitted together; Spark shares the cluster among them.
+
+Each table is a versioned one (``sinks.versioned``): readers see the old rows until the new ones
+are complete. A cleaned table is written once, valid and rejected rows in folders of their own.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
 
+from ..functions.dates import partition_columns
 from ..operators import quality as dq
-from ..sinks.writers import (
-    append_quarantine,
-    overwrite_all_partitions,
-    split_once,
-    write_snapshot,
-)
-from ..sources.paths import read_if_present
+from ..operators.filters import month_bounds
+from ..operators.reconcile import stack
+from ..sinks import versioned
+from ..sinks.writers import append_quarantine
 from . import gold as G
 from . import rules as R
 from . import silver as S
@@ -33,7 +35,13 @@ RAW = ("donaciones", "gastos", "donantes", "casos", "proveedores", "hogar_de_pas
 
 @dataclass(frozen=True)
 class Settings:
-    """Everything a run depends on besides its input tables."""
+    """Everything a run depends on besides its input tables.
+
+    ``month`` (yyyy-MM) limits the cleaning of dated tables to one month: that month is
+    replaced and every other one stays. Curated tables always see the whole cleaned tables.
+    ``run_id`` names the run in the quarantine; a repeated id replaces that run's rows, and
+    without one every run gets its own.
+    """
 
     as_of: dt.date | None = None
     scale: int | None = None
@@ -43,10 +51,7 @@ class Settings:
     size: tuple = R.DONATION_SIZE
     expense_amount: tuple = R.EXPENSE_AMOUNT
     month: str | None = None
-    run_id: str = "manual"
-    partitioned: bool = True
-    keep_quarantine: bool = True
-    keep_on_empty: bool = True
+    run_id: str | None = None
 
 
 @dataclass(frozen=True)
@@ -214,38 +219,72 @@ def _path(root: str, table: Table) -> str:
     return f"{root}/{table.name.replace('.', '/')}"
 
 
-def _kept_when_empty(
-    spark: SparkSession, root: str, table: Table, raw: DataFrame
-) -> DataFrame | None:
-    """The stored table when there is one and no raw row arrived: nothing is rewritten."""
-    if not raw.isEmpty():
-        return None
-    return read_if_present(spark, _path(root, table))
+_VALID, _REJECTED = "rejected=false", "rejected=true"
 
 
-def _store(spark: SparkSession, root: str, table: Table, df: DataFrame, s: Settings) -> DataFrame:
+def read(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A stored table as of its newest commit; of a cleaned one the valid rows."""
+    table = TABLES[name]
+    if table.layer == "silver":
+        rows = versioned.read_current(spark, _path(root, table), _VALID)
+        return rows.drop(dq.ERRORS, "rejected")
+    return versioned.read_current(spark, _path(root, table))
+
+
+def _store(spark: SparkSession, root: str, table: Table, df: DataFrame, s: Settings, run_id: str) -> DataFrame:
     path = _path(root, table)
-    if dq.ERRORS not in df.columns:
-        schema = _write(df, path, table, s)
-    elif not s.keep_quarantine:
-        schema = _write(dq.valid_rows(df), path, table, s)
-    else:
-        valid, rejected = split_once(spark, df, table.name)
-        quarantine = f"{root}/quarantine/{table.name.split('.')[1]}"
-        append_quarantine(rejected, quarantine, s.run_id, table.name)
-        schema = _write(valid, path, table, s)
-    # With its schema given, an empty table reads as empty and month text stays two digits.
-    return spark.read.schema(schema).parquet(path)
-
-
-def _write(df: DataFrame, path: str, table: Table, s: Settings) -> StructType:
+    months = {}
     if table.partition_date:
-        df = S.month_partitioned(df, table.partition_date)
-    if table.partitions and s.partitioned:
-        overwrite_all_partitions(df, path, table.partitions)
-    else:
-        write_snapshot(df, path)
-    return df.schema
+        months = partition_columns(F.col(table.partition_date), day=None)
+    elif table.partitions:
+        months = {c: F.col(c) for c in table.partitions}
+    if table.layer != "silver":
+        versioned.commit(spark, path, df, months)
+        return read(spark, root, table.name)
+    tagged = dq.ERRORS in df.columns
+    flag = (F.size(dq.ERRORS) > 0) if tagged else F.lit(False)
+    replaced = lambda p: True
+    if s.month and table.partition_date:
+        first = dt.date.fromisoformat(f"{s.month}-01")
+        wanted = f"/y={first.year}/m={first.month:02d}"
+        replaced = lambda p: p.endswith(wanted)
+    versioned.commit(spark, path, df, {"rejected": flag.cast("string"), **months}, replaced)
+    if tagged:
+        rejected = versioned.read_current(spark, path, _REJECTED).drop("rejected", *months)
+        if s.month and table.partition_date:
+            low, high = month_bounds(s.month)
+            day = F.col(table.partition_date)
+            rejected = rejected.filter((day >= F.lit(low)) & (day < F.lit(high)))
+        append_quarantine(rejected, f"{root}/quarantine/{table.name.split('.')[1]}", run_id, table.name)
+    return read(spark, root, table.name)
+
+
+def run_counts(spark: SparkSession, raw: Mapping[str, DataFrame], root: str) -> DataFrame:
+    """(table_name, raw, deduplicated, valid, rejected) of the stored cleaned tables.
+
+    Nothing but row counts is read; valid and rejected rows are folders of their own.
+    """
+    parts = []
+    for name in layer_targets("silver"):
+        path, source = _path(root, TABLES[name]), raw[name.split(".")[1]]
+        counted = [
+            source.select(F.lit("raw").alias("what")),
+            versioned.read_current(spark, path, _VALID).select(F.lit("valid").alias("what")),
+            versioned.read_current(spark, path, _REJECTED).select(F.lit("rejected").alias("what")),
+        ]
+        rows = counted[0].unionAll(counted[1]).unionAll(counted[2]).agg(
+            *[F.count_if(F.col("what") == w).alias(w) for w in ("raw", "valid", "rejected")]
+        )
+        parts.append(
+            rows.select(
+                F.lit(name).alias("table_name"),
+                "raw",
+                (F.col("valid") + F.col("rejected")).alias("deduplicated"),
+                "valid",
+                "rejected",
+            )
+        )
+    return stack(parts)
 
 
 def run(
@@ -258,27 +297,23 @@ def run(
 ) -> dict[str, DataFrame]:
     """Build the targets and whatever they need below ``root``.
 
-    ``Settings.partitioned`` and ``keep_quarantine`` select the month layout and the quarantine
-    of a full run; a one-off report does without both, and without storing plain
-    projections. With ``store_targets=False`` the
-    targets themselves come back as plans over stored
-    inputs. Tables are replaced as a whole, so a month that lost all its rows disappears;
-    never pass a frame that reads from ``root`` itself.
+    A full run replaces tables as a whole, so a month that lost all its rows disappears; see
+    ``Settings.month`` for a run over one month. A cleaned table without any raw row keeps what is
+    stored. With ``store_targets=False`` the targets themselves come back as plans over stored
+    inputs, and plain projections on the way are not stored either.
     """
     targets = list(targets)
+    run_id = settings.run_id or uuid.uuid4().hex
     done: dict[str, DataFrame] = {f"raw.{name}": df for name, df in raw.items()}
 
     def build(name: str) -> tuple[str, DataFrame]:
         table = TABLES[name]
-        if table.layer == "silver" and settings.keep_on_empty:
-            kept = _kept_when_empty(spark, root, table, done[table.inputs[0]])
-            if kept is not None:
-                return name, kept
+        if table.layer == "silver" and done[table.inputs[0]].isEmpty() and versioned.exists(spark, _path(root, table)):
+            return name, read(spark, root, name)
         df = table.build(spark, settings, done)
-        plan_only = name in targets if not store_targets else False
-        if not plan_only and not (table.row_wise and not settings.partitioned):
-            df = _store(spark, root, table, df, settings)
-        return name, df
+        if not store_targets and (name in targets or table.row_wise):
+            return name, df
+        return name, _store(spark, root, table, df, settings, run_id)
 
     for generation in generations(targets):
         with ThreadPoolExecutor(max_workers=len(generation)) as pool:

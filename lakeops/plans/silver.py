@@ -24,7 +24,7 @@ from ..functions.text import (
 from ..operators import quality as dq
 from ..operators.dedup import latest_by_key
 from ..operators.filters import after_mark, month_slice, partition_month_slice, require
-from ..sinks.writers import drop_partition_columns, with_partitions
+from ..sinks.writers import drop_partition_columns
 from ..sources.schemas import SCHEMAS
 from . import rules as R
 
@@ -181,8 +181,3 @@ def homes(raw: DataFrame, as_of: AsOf = None) -> DataFrame:
             dq.still_default("NOMBRE_HOGAR_NULO", "nombre_hogar", R.HOME_NAME),
         ],
     )
-
-
-def month_partitioned(df: DataFrame, date: str) -> DataFrame:
-    """Partition columns of the two fact entities, ready for the month layout."""
-    return with_partitions(df, date)

@@ -20,6 +20,8 @@ BASE_CONF = {
     # key from the adaptive skew join. Blocks 5x above the median keep their true size.
     "spark.shuffle.accurateBlockSkewedFactor": "5",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Adaptive execution merges partitions but never adds any, so it starts from many.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4096",
     # Lookups hash-join against a fact without sorting it when their partitions are small.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.autoBroadcastJoinThreshold": "20m",
@@ -50,9 +52,12 @@ def get_spark(
 ) -> SparkSession:
     """Build (or fetch) a session; ``master=None`` leaves the choice to spark-submit."""
     conf = dict(BASE_CONF)
+    overrides = overrides or {}
     if shuffle_bytes is not None:
         conf["spark.sql.shuffle.partitions"] = str(reducers_for(shuffle_bytes))
-    conf.update(overrides or {})
+    if shuffle_bytes is not None or "spark.sql.shuffle.partitions" in overrides:
+        del conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]
+    conf.update(overrides)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -61,15 +66,17 @@ def get_spark(
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """Fresh, unique path below the shared folder named by ``spark.checkpoint.dir``.
+def scratch_path(spark: SparkSession, label: str, root: str | None = None) -> str:
+    """Fresh, unique path below ``root``, by default the shared folder that the session's
+    ``spark.checkpoint.dir`` names.
 
-    Only a local master may fall back to a temporary folder: on a cluster the executors
-    would each see their own disk.
+    Where that is unset a temporary folder is made and set for the session. On a cluster it has
+    to be set, since executors would each see a disk of their own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = root or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="lakeops-")
+        spark.conf.set("spark.checkpoint.dir", root)
     return os.path.join(root, f"{label}-{uuid.uuid4().hex}")

@@ -1,4 +1,4 @@
-"""Keyed upsert into partitioned Parquet (DDP-4).
+"""Partitioned Parquet tables whose commits switch over at once (DDP-4, SNK-1, PIP-2).
 
 Layout below the table root::
 
@@ -6,30 +6,31 @@ Layout below the table root::
     manifest/n=<n>/*.parquet                           which version holds which partition
 
 A commit writes the partitions it touches under a new version and then one manifest of a
-single file. Readers take the newest manifest, so a job that dies half-way leaves the table
-as it was, and a partition whose last row moved away is simply no longer listed. A manifest
-has one row per partition (a month each) and carries the table's schema, so nothing is ever
-inferred from data files. One writer at a time is assumed.
+single file. Readers take the newest manifest, so they never see half a table, a job that dies
+half-way leaves the table as it was, and a partition whose last row moved away is simply no
+longer listed. A manifest has one row per partition (a month each) and carries the table's
+schema with its partition columns, so nothing is ever inferred from data files. One writer at a
+time is assumed. ``expire`` removes what only old manifests refer to.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import latest_by_key
-from ..sources.paths import read_if_present
+from ..session import scratch_path
+from ..sources.paths import read_if_present, remove
 from .writers import gathered
 
 _VERSION = "table_version"
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 _MANIFEST = "partition string, version int, ddl string"
+KEPT_VERSIONS = 20
 
 
 @dataclass(frozen=True)
@@ -41,29 +42,42 @@ class Manifest:
     where: dict[str, int] = field(default_factory=dict)
 
 
+def _manifests(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the manifests there are, at most a little over ``KEPT_VERSIONS``."""
+    history = read_if_present(spark, f"{root}/manifest", f"{_MANIFEST}, n int")
+    return [] if history is None else sorted(r[0] for r in history.select("n").distinct().collect())
+
+
+def _manifest(spark: SparkSession, root: str, number: int) -> Manifest:
+    rows = spark.read.schema(_MANIFEST).parquet(f"{root}/manifest/n={number}").collect()
+    where = {r["partition"]: r["version"] for r in rows if r["partition"] is not None}
+    return Manifest(number, rows[0]["ddl"], where)
+
+
 def manifest(spark: SparkSession, root: str) -> Manifest:
     """Newest manifest; an empty one for a table that was never written."""
-    history = read_if_present(spark, f"{root}/manifest", _MANIFEST)
-    files = history.inputFiles() if history is not None else []
-    if not files:
-        return Manifest()
-    newest = max(int(re.search(r"/n=(\d+)/", f)[1]) for f in files)
-    rows = spark.read.schema(_MANIFEST).parquet(f"{root}/manifest/n={newest}").collect()
-    where = {r["partition"]: r["version"] for r in rows if r["partition"] is not None}
-    return Manifest(newest, rows[0]["ddl"], where)
+    numbers = _manifests(spark, root)
+    return _manifest(spark, root, numbers[-1]) if numbers else Manifest()
 
 
 def _scan(spark: SparkSession, root: str, ddl: str, where: dict[str, int]) -> DataFrame:
+    if not where:
+        return spark.createDataFrame([], ddl)
     paths = [f"{root}/data/table_version={v}/{p}".rstrip("/") for p, v in sorted(where.items())]
-    return spark.read.schema(ddl).option("basePath", f"{root}/data").parquet(*paths)
+    rows = spark.read.schema(ddl).option("basePath", f"{root}/data").parquet(*paths)
+    return rows.drop(_VERSION)
+
+
+def exists(spark: SparkSession, root: str) -> bool:
+    return bool(_manifests(spark, root))
 
 
-def read_current(spark: SparkSession, root: str) -> DataFrame:
-    """The table as of its newest commit."""
+def read_current(spark: SparkSession, root: str, below: str = "") -> DataFrame:
+    """The table as of its newest commit, or its partitions whose path starts with ``below``."""
     state = manifest(spark, root)
-    if not state.where:
+    if not state.number:
         raise FileNotFoundError(f"no committed rows at {root}")
-    return _scan(spark, root, state.ddl, state.where).drop(_VERSION)
+    return _scan(spark, root, state.ddl, {p: v for p, v in state.where.items() if p.startswith(below)})
 
 
 def _path_of(columns: dict[str, Column]) -> Column:
@@ -78,23 +92,23 @@ def _path_of(columns: dict[str, Column]) -> Column:
 
 
 def _partition_of_file() -> Column:
-    return F.regexp_extract(F.col("_metadata.file_path"), r"/table_version=\d+/(.*)/[^/]+$", 1)
-
+    return F.regexp_extract(F.col("_metadata.file_path"), r"/table_version=\d+/(?:(.*)/)?[^/]+$", 1)
 
-def _touched(
-    old: DataFrame, batch: DataFrame, keys: Sequence[str], partitions: dict[str, Column]
-) -> set[str]:
-    """Partitions the batch writes to, and those that hold an older row of its keys.
 
-    Reads the key columns of the table only; returns at most one name per partition.
-    """
-    target = batch.select(_path_of(partitions).alias("p"))
-    holding = (
-        old.select(*keys, _partition_of_file().alias("p"))
-        .join(batch.select(*keys).distinct(), list(keys), "left_semi")
-        .select("p")
-    )
-    return {r["p"] for r in target.union(holding).distinct().collect()}
+def _changes(
+    old: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    partitions: dict[str, Column],
+) -> DataFrame:
+    """Partition names of the batch rows that are new or newer than the stored row of their key,
+    and of those stored rows. Reads the key and order columns of the table only."""
+    held = old.select(*keys, F.struct(*order).alias("__old"), _partition_of_file().alias("__at"))
+    rows = batch.select(*keys, F.struct(*order).alias("__new"), _path_of(partitions).alias("__to"))
+    both = rows.join(held, list(keys), "left")
+    newer = both.filter(F.col("__old").isNull() | (F.col("__new") > F.col("__old")))
+    return newer.select(F.explode(F.array("__to", "__at")).alias("p")).filter("p IS NOT NULL").distinct()
 
 
 def upsert(
@@ -106,12 +120,13 @@ def upsert(
     partitions: dict[str, Column],
     tie_breakers: Sequence[str] | None = None,
 ) -> int:
-    """Merge a batch by key and return the committed version.
+    """Merge a batch by key and return the table's version.
 
     Partitions to rewrite are found by key, not only by the batch's own dates, so a row
-    whose date moved to another month leaves no copy behind. Rows are read in full only
-    from the touched partitions. Applying a batch twice gives the same table as applying it
-    once.
+    whose date moved to another month leaves no copy behind; partitions for which the batch has
+    nothing newer stay as they are, and a batch without any newer row commits nothing. Rows are
+    read in full only from the touched partitions. Applying a batch twice gives the same table
+    as applying it once: a row no newer than the stored one does not replace it.
 
     ``partitions`` maps partition columns to expressions over the row.
     """
@@ -119,31 +134,46 @@ def upsert(
     batch = batch.drop(*names)
     state = manifest(spark, root)
     if not state.where:
-        return _replace(spark, root, state, batch, {}, keys, order, partitions, tie_breakers)
-    batch = batch.persist(StorageLevel.DISK_ONLY)  # read three times below
-    try:
-        touched = _touched(_scan(spark, root, state.ddl, state.where), batch, keys, partitions)
-        keep = {p: v for p, v in state.where.items() if p not in touched}
-        affected = {p: v for p, v in state.where.items() if p in touched}
-        rows = batch
-        if affected:
-            old = _scan(spark, root, state.ddl, affected).drop(_VERSION, *names)
-            rows = old.unionByName(batch, allowMissingColumns=True)
-        return _replace(spark, root, state, rows, keep, keys, order, partitions, tie_breakers)
-    finally:
-        batch.unpersist()
-
-
-def _replace(spark, root, state, rows, keep, keys, order, partitions, tie_breakers) -> int:
-    """Write the newest rows as a new version and commit it beside the kept partitions."""
+        return commit(spark, root, latest_by_key(batch, keys, order, tie_breakers), partitions)
+    copy = scratch_path(spark, "batch")  # read twice below
+    batch.write.parquet(copy)
+    batch = spark.read.schema(batch.schema).parquet(copy)
+    old = _scan(spark, root, state.ddl, state.where)
+    touched = {r["p"] for r in _changes(old, batch, keys, order, partitions).collect()}  # months
+    if not touched:
+        return state.number
+    affected = {p: v for p, v in state.where.items() if p in touched}
+    into = batch.filter(_path_of(partitions).isin(sorted(touched)))
+    rows = into
+    if affected:
+        old = _scan(spark, root, state.ddl, affected).drop(*names)
+        rows = old.unionByName(into, allowMissingColumns=True)
+    new = latest_by_key(rows, keys, order, tie_breakers)
+    return commit(spark, root, new, partitions, replaced=lambda p: p in touched)
+
+
+def commit(
+    spark: SparkSession,
+    root: str,
+    rows: DataFrame,
+    partitions: dict[str, Column],
+    replaced: Callable[[str], bool] = lambda p: True,
+) -> int:
+    """Write ``rows`` as a new version and switch readers over to it.
+
+    Partitions that ``replaced`` names (all by default) come from ``rows`` alone, and are gone if
+    it has none of their rows; the others stay.
+    """
+    state = manifest(spark, root)
     version = state.number + 1
     target = f"{root}/data/table_version={version}"
-    new = latest_by_key(rows, keys, order, tie_breakers)
-    out = gathered(new.withColumns(partitions) if partitions else new, list(partitions))
-    out.write.mode("overwrite").partitionBy(*partitions).parquet(target)
-    ddl = new.schema.toDDL()
-    written = spark.read.schema(ddl).parquet(target).inputFiles()
-    present = {re.search(rf"/table_version={version}/(?:(.*)/)?[^/]+$", f)[1] or "" for f in written}
+    names = list(partitions)
+    out = rows.withColumns(partitions) if partitions else rows
+    gathered(out, names).write.mode("overwrite").partitionBy(*names).parquet(target)
+    ddl = out.schema.toDDL()
+    written = spark.read.schema(ddl).parquet(target).select(_partition_of_file().alias("p")).distinct()
+    present = {r["p"] for r in written.collect()}  # a name per partition
+    keep = {p: v for p, v in state.where.items() if not replaced(p) and p not in present}
     where = sorted({**keep, **{p: version for p in present}}.items()) or [(None, version)]
     entries = pa.table(
         {
@@ -158,4 +188,20 @@ def _replace(spark, root, state, rows, keep, keys, order, partitions, tie_breake
         .write.mode("overwrite")
         .parquet(f"{root}/manifest/n={version}")
     )
+    expire(spark, root)
     return version
+
+
+def expire(spark: SparkSession, root: str, kept: int = KEPT_VERSIONS) -> list[int]:
+    """Drop all but the newest manifests, then data versions that none of the rest lists."""
+    numbers = _manifests(spark, root)
+    old, rest = numbers[:-kept], numbers[-kept:]
+    if not old:
+        return []
+    used = {v for n in rest for v in _manifest(spark, root, n).where.values()}
+    for n in old:
+        remove(spark, f"{root}/manifest/n={n}")
+    dropped = [v for v in range(1, rest[0]) if v not in used]
+    for v in dropped:
+        remove(spark, f"{root}/data/table_version={v}")
+    return dropped

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,8 +12,9 @@ from pyspark.sql import types as T
 
 from ..functions.casts import moment, month_text_to_date, to_long, to_timestamp, to_utc_naive
 from ..functions.dates import partition_columns
-from ..operators.quality import ERRORS, quarantined_rows
-from ..session import scratch_path
+from ..operators.dedup import row_hash
+from ..operators.quality import quarantined_rows
+from ..sources.paths import read_if_present
 from ..sources.schemas import TIMESTAMP_COLUMNS
 
 STALE_PARTITIONS = ("y", "m", "d")
@@ -80,28 +82,26 @@ def write_layer(df: DataFrame, path: str, columns: Sequence[str] = ("anio", "mes
         write_snapshot(df, path)
 
 
-def split_once(spark: SparkSession, tagged: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
-    """Valid and rejected rows, both read from one stored copy of the tagged frame.
+def append_quarantine(
+    tagged: DataFrame, path: str, run_id: str, rule_set: str, once: bool = False
+) -> None:
+    """Add the rejected rows with their error codes, the run and the rule set.
 
-    The copy goes to the shared scratch folder, with the halves in folders of their own, so
-    the cleaning and its shuffle run once and a lost executor does not bring them back.
+    A run owns a folder and replaces it when it is repeated. With ``once``, a row that another
+    run already put here under the same rules, all its values equal, is not added again.
     """
-    path = scratch_path(spark, label)
-    tagged.withColumn("rejected", F.size(ERRORS) > 0).write.partitionBy("rejected").parquet(path)
-    schema = T.StructType([*tagged.schema.fields, T.StructField("rejected", T.StringType())])
-    stored = spark.read.schema(schema).parquet(path)
-    half = lambda flag: stored.filter(F.col("rejected") == flag).drop("rejected")
-    return half("false").drop(ERRORS), half("true")
-
-
-def append_quarantine(tagged: DataFrame, path: str, run_id: str, rule_set: str) -> None:
-    """Append the rejected rows with their error codes, the run and the rule set."""
-    (
-        quarantined_rows(tagged)
-        .withColumns({"run_id": F.lit(run_id), "rule_set": F.lit(rule_set)})
-        .write.mode("append")
-        .parquet(path)
+    spark = tagged.sparkSession
+    rejected = quarantined_rows(tagged)
+    rejected = rejected.withColumns(
+        {"run_id": F.lit(run_id), "rule_set": F.lit(rule_set), "row_hash": row_hash(rejected)}
     )
+    folder = re.sub(r"[^A-Za-z0-9._-]", "_", run_id)
+    kind = "rule_set string, row_hash bigint, run string"
+    known = read_if_present(spark, path, kind) if once else None
+    if known is not None:
+        known = known.filter(F.col("run") != folder).select("rule_set", "row_hash").distinct()
+        rejected = rejected.join(known, ["rule_set", "row_hash"], "left_anti")
+    rejected.write.mode("overwrite").parquet(f"{path}/run={folder}")
 
 
 def bronze_partitions(df: DataFrame, run_ts: dt.datetime, change_column: str = "last_modified_at") -> DataFrame:

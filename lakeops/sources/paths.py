@@ -1,4 +1,4 @@
-"""Reading a table that may not exist yet."""
+"""Reading a table that may not exist yet, and removing files Spark wrote."""
 
 from __future__ import annotations
 
@@ -19,3 +19,9 @@ def read_if_present(
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever store Spark reaches; a missing one is fine."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-import pyarrow as pa
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.casts import as_time, conform, moment
-from ..operators.filters import after_mark
 from .schemas import SCHEMAS, Load, Policy
 
 
@@ -45,72 +44,55 @@ def is_empty(df: DataFrame) -> bool:
 # Files of one table with different types ------------------------------------------------
 
 
-def _footer_types(columns: list[str]):
-    """Per file: the physical types of the wanted columns, as one string."""
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.parquet as pq
-        from pyarrow import fs
-
-        for batch in batches:
-            paths = batch.column(0).to_pylist()
-            kinds = []
-            for path in paths:
-                filesystem, inner = fs.FileSystem.from_uri(path)
-                with filesystem.open_input_file(inner) as handle:
-                    schema = pq.read_schema(handle)
-                kinds.append(
-                    ",".join(f"{c}:{schema.field(c).type}" for c in columns if c in schema.names)
-                )
-            yield pa.RecordBatch.from_pydict({"path": paths, "kinds": kinds})
-
-    return read
-
-
-def file_signatures(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """``(folder, path, kinds)`` for every file: listed by Spark, footers read in the tasks."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(path)
-        .select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"))
-    )
-    found = files.mapInArrow(_footer_types(columns), "path string, kinds string")
-    return found.withColumn("folder", F.regexp_replace("path", "/[^/]+$", ""))
-
-
-def read_drifting(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Scan a table whose files disagree on column types and land it on ``schema``.
-
-    Spark refuses to merge, say, bigint with double ids. Files are grouped by their footer
-    types, every group is one ordinary Parquet scan with its own schema, each is conformed
-    and the scans are united. The driver receives one entry per folder of like files (the
-    single file only where a folder is mixed), less than Spark's own file listing holds.
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders below ``path`` that hold data files, as Spark lists them: one entry per
+    partition, not per file."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    listed = files.option("pathGlobFilter", "*.parquet").load(path).select("path")
+    found = listed.select(F.regexp_replace("path", "/[^/]+$", "").alias("folder")).distinct()
+    return sorted(r["folder"] for r in found.collect())
+
+
+def read_drifting(spark: SparkSession, path: str, schema: T.StructType, workers: int = 16) -> DataFrame:
+    """Scan a table whose partitions disagree on column types and land it on ``schema``.
+
+    Spark refuses to merge, say, bigint with double ids. Each folder is opened by Spark's own
+    reader, on any store it reaches; folders with the same types of the wanted columns become one
+    scan of those columns, each scan is conformed and the scans are united. A folder whose own
+    files disagree is read file by file. Columns outside ``schema`` are kept where all folders
+    agree on their type.
     """
-    signatures = file_signatures(spark, path, schema.fieldNames()).persist()
-    try:
-        folders = signatures.groupBy("folder").agg(
-            F.min("kinds").alias("kinds"), (F.min("kinds") == F.max("kinds")).alias("alike")
-        )
-        mixed = folders.filter("NOT alike").select("folder")
-        whole = folders.filter("alike").select("kinds", F.col("folder").alias("at"))
-        single = signatures.join(mixed, "folder", "left_semi").select("kinds", F.col("path").alias("at"))
-        entries = whole.unionByName(single).collect()
-    finally:
-        signatures.unpersist()
-    groups: dict[str, list[str]] = {}
-    for entry in entries:
-        groups.setdefault(entry["kinds"], []).append(entry["at"])
-    if not groups:
+
+    def typed(place: str) -> tuple[str, T.StructType | None]:
+        try:
+            return place, spark.read.option("mergeSchema", "true").parquet(place).schema
+        except (PySparkException, Py4JJavaError) as error:
+            if "CANNOT_MERGE" in str(error):
+                return place, None
+            raise
+
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        known = list(pool.map(typed, folders(spark, path)))
+        mixed = [place for place, kind in known if kind is None]
+        if mixed:
+            single = spark.read.format("binaryFile").load(mixed).select("path").filter("path LIKE '%.parquet'")
+            known += list(pool.map(typed, sorted(r["path"] for r in single.collect())))
+    known = [(place, kind) for place, kind in known if kind is not None]
+    if not known:
         return spark.read.schema(schema).parquet(path)
-    if len(groups) == 1:
-        return conform(spark.read.option("mergeSchema", "true").parquet(path), schema)
+    extra: dict[str, set[str]] = {}
+    for _, kind in known:
+        for f in kind.fields:
+            if f.name not in schema.fieldNames():
+                extra.setdefault(f.name, set()).add(f.dataType.json())
+    alike = [name for name, kinds in extra.items() if len(kinds) == 1]
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for place, kind in known:
+        wanted = T.StructType([f for f in kind.fields if f.name in schema.fieldNames() or f.name in alike])
+        groups.setdefault(wanted.json(), (wanted, []))[1].append(place)
     scans = [
-        conform(
-            spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*paths), schema
-        )
-        for paths in groups.values()
+        conform(spark.read.schema(wanted).option("basePath", path).parquet(*places), schema)
+        for wanted, places in groups.values()
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
@@ -132,14 +114,17 @@ def extract(
 ) -> DataFrame:
     """Rows changed at or after the mark, optionally up to an upper bound (inclusive).
 
-    Rows without a change time belong to the load that starts from nothing.
+    Rows without a change time belong to every load: no mark tells whether they are new.
     """
     since = effective_mark(policy, mark, full)
-    out = after_mark(source, policy.change_column, since, inclusive=True) if since else source
+    out = source
+    if since:
+        changed, kind = as_time(source, policy.change_column)
+        out = source.filter((changed >= moment(since, kind)) | changed.isNull())
     if until is not None and policy.load is not Load.SNAPSHOT and policy.change_column:
         changed, kind = as_time(source, policy.change_column)
         upto = changed <= moment(until, kind)
-        out = out.filter(upto if since else upto | changed.isNull())
+        out = out.filter(upto | changed.isNull())
     return out
 
 

@@ -7,55 +7,86 @@ from enum import Enum
 
 from pyspark.sql import types as T
 
-_TYPES = {
-    "long": T.LongType(),
-    "int": T.IntegerType(),
-    "double": T.DoubleType(),
-    "string": T.StringType(),
-    "boolean": T.BooleanType(),
-    "timestamp": T.TimestampType(),
-}
-
-
-def _schema(text: str) -> T.StructType:
-    pairs = [item.split(":") for item in text.split()]
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
-
-
 # Entity, column and type names of the data model.
 SCHEMAS = {
-    "donaciones": _schema(
-        "id_donacion:long id_donante:long id_caso:long fecha_donacion:timestamp monto:double "
-        "medio_pago:string estado:string comprobante:string created_at:timestamp "
-        "last_modified_at:timestamp"
-    ),
-    "gastos": _schema(
-        "id_gasto:long nombre_gasto:string fecha_pago:timestamp id_caso:long medio_pago:string "
-        "monto:double estado:string comprobante:string id_proveedor:long created_at:timestamp "
-        "last_modified_at:timestamp"
-    ),
-    "donantes": _schema(
-        "id_donante:long donante:string tipo_id:string identificacion:string correo:string "
-        "telefono:string ciudad:string tipo_donante:string pais:string canal_origen:string "
-        "consentimiento:boolean notas:string archivos:string created_at:timestamp "
-        "last_modified_at:timestamp"
-    ),
-    "casos": _schema(
-        "id_caso:long nombre_caso:string estado:string fecha_ingreso:timestamp "
-        "fecha_salida:timestamp veterinaria:string diagnostico:string archivo:string "
-        "id_hogar_de_paso:long presupuesto_estimado:double ciudad:string created_at:timestamp "
-        "last_modified_at:timestamp"
-    ),
-    "proveedores": _schema(
-        "id_proveedor:long nombre_proveedor:string tipo_proveedor:string nit:string "
-        "nombre_contacto:string correo:string telefono:string ciudad:string "
-        "created_at:timestamp last_modified_at:timestamp"
-    ),
-    "hogar_de_paso": _schema(
-        "id_hogar_de_paso:long nombre_hogar:string tipo_hogar:string nombre_contacto:string "
-        "correo:string telefono:string ciudad:string pais:string cupo_maximo:int "
-        "tarifa_diaria:double desempeno:string ultimo_contacto:timestamp notas:string"
-    ),
+    "donaciones": T.StructType()
+    .add("id_donacion", "long")
+    .add("id_donante", "long")
+    .add("id_caso", "long")
+    .add("fecha_donacion", "timestamp")
+    .add("monto", "double")
+    .add("medio_pago", "string")
+    .add("estado", "string")
+    .add("comprobante", "string")
+    .add("created_at", "timestamp")
+    .add("last_modified_at", "timestamp"),
+    "gastos": T.StructType()
+    .add("id_gasto", "long")
+    .add("nombre_gasto", "string")
+    .add("fecha_pago", "timestamp")
+    .add("id_caso", "long")
+    .add("medio_pago", "string")
+    .add("monto", "double")
+    .add("estado", "string")
+    .add("comprobante", "string")
+    .add("id_proveedor", "long")
+    .add("created_at", "timestamp")
+    .add("last_modified_at", "timestamp"),
+    "donantes": T.StructType()
+    .add("id_donante", "long")
+    .add("donante", "string")
+    .add("tipo_id", "string")
+    .add("identificacion", "string")
+    .add("correo", "string")
+    .add("telefono", "string")
+    .add("ciudad", "string")
+    .add("tipo_donante", "string")
+    .add("pais", "string")
+    .add("canal_origen", "string")
+    .add("consentimiento", "boolean")
+    .add("notas", "string")
+    .add("archivos", "string")
+    .add("created_at", "timestamp")
+    .add("last_modified_at", "timestamp"),
+    "casos": T.StructType()
+    .add("id_caso", "long")
+    .add("nombre_caso", "string")
+    .add("estado", "string")
+    .add("fecha_ingreso", "timestamp")
+    .add("fecha_salida", "timestamp")
+    .add("veterinaria", "string")
+    .add("diagnostico", "string")
+    .add("archivo", "string")
+    .add("id_hogar_de_paso", "long")
+    .add("presupuesto_estimado", "double")
+    .add("ciudad", "string")
+    .add("created_at", "timestamp")
+    .add("last_modified_at", "timestamp"),
+    "proveedores": T.StructType()
+    .add("id_proveedor", "long")
+    .add("nombre_proveedor", "string")
+    .add("tipo_proveedor", "string")
+    .add("nit", "string")
+    .add("nombre_contacto", "string")
+    .add("correo", "string")
+    .add("telefono", "string")
+    .add("ciudad", "string")
+    .add("created_at", "timestamp")
+    .add("last_modified_at", "timestamp"),
+    "hogar_de_paso": T.StructType()
+    .add("id_hogar_de_paso", "long")
+    .add("nombre_hogar", "string")
+    .add("tipo_hogar", "string")
+    .add("nombre_contacto", "string")
+    .add("correo", "string")
+    .add("telefono", "string")
+    .add("ciudad", "string")
+    .add("pais", "string")
+    .add("cupo_maximo", "integer")
+    .add("tarifa_diaria", "double")
+    .add("desempeno", "string")
+    .add("ultimo_contacto", "timestamp")
+    .add("notas", "string"),
 }
 
 TIMESTAMP_COLUMNS = sorted(

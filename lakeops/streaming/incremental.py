@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,11 +12,37 @@ from pyspark.sql import functions as F
 from ..functions.dates import AsOf, partition_columns
 from ..operators import quality as dq
 from ..sinks import versioned
-from ..sinks.writers import append_quarantine, split_once
+from ..sinks.writers import append_quarantine, bronze_partitions, overwrite_all_partitions
+from ..sources.paths import read_if_present
 from ..sources.readers import extract
-from ..sources.schemas import POLICIES
+from ..sources.schemas import POLICIES, Load
 from . import marks
 
+_VALID, _REJECTED = "rejected=false", "rejected=true"
+
+
+def land(
+    spark: SparkSession,
+    source: DataFrame,
+    table: str,
+    root: str,
+    since: dt.datetime | None,
+    run_ts: dt.datetime,
+    full: bool = False,
+    run_id: str = "",
+) -> DataFrame | None:
+    """Extract what changed since the mark, once, and store it as raw files of this run.
+
+    The rows land below ``raw/<table>/run=<id>`` by change day; everything later reads them, not the
+    source. None if there are none. A repeated run replaces its own folder.
+    """
+    policy = POLICIES[table]
+    rows = extract(source, policy, since, full=full)
+    path = f"{root}/raw/{table}/run={run_id}"
+    overwrite_all_partitions(bronze_partitions(rows, run_ts, policy.change_column or ""), path, ["y", "m", "d"])
+    landed = read_if_present(spark, path, rows.schema.toDDL())
+    return None if landed is None or landed.isEmpty() else landed
+
 
 def load_increment(
     spark: SparkSession,
@@ -24,40 +52,56 @@ def load_increment(
     root: str,
     as_of: AsOf = None,
     full: bool = False,
-    run_id: str = "manual",
+    run_id: str | None = None,
+    run_ts: dt.datetime | None = None,
 ) -> int | None:
-    """Extract what changed since the mark, clean it, merge it by key, then move the mark.
+    """Land what changed since the mark, clean it, store it by key, then move the mark.
+
+    Returns the table's version, or None when nothing arrived. Snapshot tables, tables
+    without a change time and forced reloads (``full``) replace the stored table, so rows that
+    are gone from the source are gone here. Other tables are merged by key. Rows are stored with
+    the outcome of their rules and ranked together, so a row that is corrected into an invalid
+    one leaves the valid rows (``read_valid``), and comes back when it is corrected again. Rows
+    without a change time are read by every load, as no mark can tell whether they are new.
 
-    Returns the committed version, or None when nothing changed. The new mark is fixed before
-    the rows are read and bounds what is read, so rows that arrive meanwhile wait for the
-    next load. It is stored after the merge; a run that fails in between is simply repeated,
-    and repeating it is harmless.
+    The new mark is the newest change time among the landed rows. It is stored last; a load
+    that fails before is repeated, and repeating a load changes nothing: not the table, and not
+    the quarantine, which holds a rejected row once whatever the number of loads that read it.
     """
     policy = POLICIES[table]
-    state = f"{root}/state"
-    since = marks.get_mark(spark, state, table)
-    until = marks.latest_change(extract(source, policy, since, full=full), policy.change_column)
-    delta = extract(source, policy, since, until, full)
-    if delta.isEmpty():
+    state, path = f"{root}/state", f"{root}/silver/{table}"
+    run_id = run_id or uuid.uuid4().hex
+    run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    snapshot = full or policy.load is Load.SNAPSHOT or policy.change_column is None
+    since = None if snapshot else marks.get_mark(spark, state, table)
+    landed = land(spark, source, table, root, since, run_ts, full, run_id)
+    if landed is None:
         return None
-    cleaned = clean(delta, as_of)
-    if dq.ERRORS in cleaned.columns:
-        cleaned, rejected = split_once(spark, cleaned, table)
-        append_quarantine(rejected, f"{root}/quarantine/{table}", run_id, table)
-    date = policy.business_date
-    version = versioned.upsert(
-        spark,
-        f"{root}/silver/{table}",
-        cleaned,
-        [policy.key],
-        [policy.change_column],
-        partition_columns(F.col(date), day=None) if date else {},
-    )
-    if until is not None:
+    cleaned = clean(landed, as_of)
+    tagged = dq.ERRORS in cleaned.columns
+    flag = (F.size(dq.ERRORS) > 0) if tagged else F.lit(False)
+    partitions = {"rejected": flag.cast("string")}
+    if policy.business_date:
+        partitions |= partition_columns(F.col(policy.business_date), day=None)
+    if snapshot:
+        version = versioned.commit(spark, path, cleaned, partitions)
+    else:
+        version = versioned.upsert(spark, path, cleaned, [policy.key], [policy.change_column], partitions)
+    if tagged:
+        now = versioned.read_current(spark, path, _REJECTED).drop(*partitions)
+        append_quarantine(now, f"{root}/quarantine/{table}", run_id, table, once=True)
+    until = marks.latest_change(landed, policy.change_column) if policy.change_column else None
+    if until is not None and (since is None or until > since):
         marks.set_mark(spark, state, table, until)
     return version
 
 
+def read_valid(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The valid rows of a loaded table."""
+    rows = versioned.read_current(spark, f"{root}/silver/{table}", _VALID)
+    return rows.drop(dq.ERRORS, "rejected")
+
+
 def stream_upserts(
     spark: SparkSession,
     source: DataFrame,

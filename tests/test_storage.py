@@ -71,7 +71,8 @@ def test_extract_modes(spark):
     assert Rd.extract(df, merge, mark, full=True).count() == 5
     assert Rd.extract(df, snap, mark, until).count() == 5
     text = df.selectExpr("k", "CASE WHEN k < 5 THEN replace(string(last_modified_at), ' ', 'T') END AS last_modified_at")
-    assert Rd.extract(text, merge, mark, until).count() == 2
+    # A row without a change time may be new at any load.
+    assert Rd.extract(text, merge, mark, until).count() == 3
     assert Rd.extract(text, merge, None, until).count() == 5
     assert POLICIES["casos"].load is Load.SNAPSHOT
 
@@ -176,7 +177,7 @@ def test_incremental_load_is_idempotent(spark, path):
     source = donations(spark, (1, 10.0, "2024-01-01", "2024-01-02"), (2, -5.0, "2024-01-01", "2024-01-02"))
     load = lambda s: incremental.load_increment(spark, s, "donaciones", S.donations, path, dt.date(2024, 6, 1))
     assert load(source) == 1
-    table = lambda: rows(versioned.read_current(spark, f"{path}/silver/donaciones").select("id_donacion", "monto"))
+    table = lambda: rows(incremental.read_valid(spark, path, "donaciones").select("id_donacion", "monto"))
     assert table() == [(1, 10.0)]
     assert spark.read.parquet(f"{path}/quarantine/donaciones").count() == 1
     more = source.union(donations(spark, (1, 11.0, "2024-03-01", "2024-03-02"), (3, 7.0, "2024-03-01", "2024-03-02")))
