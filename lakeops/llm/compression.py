@@ -69,6 +69,8 @@ def _per_text(run: Run, flags: np.ndarray) -> np.ndarray:
 def _base(run: Run) -> tuple[np.ndarray, ...]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of each text of a run."""
     data = run.data
+    if len(data) == 0:
+        return (np.zeros(run.texts, dtype=np.int64),) * 5
     starts, ends, cut = run.words(SPACED)
     n_words = np.diff(cut)
     owner = np.repeat(np.arange(run.texts), n_words)

@@ -290,9 +290,11 @@ def _texts(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, text_hash, n_shingles, component_id, kept.
+    """One row per row of ``docs`` (doc_id, text): doc_id, text_hash, n_shingles, component_id, kept
+    and group.
 
-    ``component_id`` is the least ``doc_id`` that links lead to; ``kept`` marks its rows.
+    ``component_id`` is the least ``doc_id`` that links lead to; ``kept`` marks its rows. ``group``
+    names the component itself, which matters where ids repeat; it is null without shingles.
     """
     signed = stored(signatures(docs, rule), "signatures")
     full = signed.where("key IS NOT NULL")
@@ -359,12 +361,13 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     named = classes.select("key", "least_id").join(roots.withColumnRenamed("node", "key"), "key", "left")
     named = named.select("key", "least_id", F.coalesce("root", "key").alias("root"))
     least = named.groupBy("root").agg(F.min("least_id").alias("component"))
-    named = stored(named.join(least, "root").select("key", "component"), "components")
+    named = stored(named.join(least, "root").select("key", "component", F.col("root").alias("group")), "components")
     out = signed.join(named, "key", "left").select(
         "doc_id",
         "text_hash",
         "n_shingles",
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
+        "group",
     )
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
@@ -376,8 +379,7 @@ def keep_one_per_group(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """
     found = near_duplicates(docs, rule)
     names = docs.columns
-    kept = found.where("kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "component_id", "n_shingles").distinct()
-    kept = kept.select("__id", "__hash", F.when(F.col("n_shingles") > 0, F.struct("component_id")).alias("__group"))
+    kept = found.where("kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("group").alias("__group")).distinct()
     own = docs.withColumn("__text_hash", F.xxhash64("text"))
     own = own.join(kept, own["doc_id"].cast("bigint").eqNullSafe(kept["__id"]) & (own["__text_hash"] == kept["__hash"]))
     order = Window.partitionBy("__group").orderBy(F.col("__id"), F.col("__hash"), F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in names]))
