@@ -20,12 +20,14 @@ from graphlib import TopologicalSorter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.casts import conform
 from ..functions.dates import partition_columns
 from ..operators import quality as dq
-from ..operators.filters import month_bounds
+from ..operators.filters import month_bounds, month_slice
 from ..operators.reconcile import stack
 from ..sinks import versioned
 from ..sinks.writers import append_quarantine
+from ..sources.schemas import SCHEMAS
 from . import gold as G
 from . import rules as R
 from . import silver as S
@@ -88,7 +90,11 @@ TABLES = {
         ),
         _silver(
             "gastos",
-            lambda spark, s, i: S.expenses(i["raw.gastos"], s.as_of, month=s.month),
+            # By payment date, like its folders: a raw folder holds what changed in its month.
+            lambda spark, s, i: S.expenses(
+                month_slice(conform(i["raw.gastos"], SCHEMAS["gastos"]), "fecha_pago", s.month),
+                s.as_of,
+            ),
             "fecha_pago",
         ),
         _silver("donantes", lambda spark, s, i: S.donors(i["raw.donantes"], s.as_of)),

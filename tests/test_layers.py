@@ -254,3 +254,23 @@ def test_empty_tables_read_back_as_empty(spark, raw, tmp_path):
     nothing = {name: df.limit(0) for name, df in raw.items()}
     out = registry.run(spark, nothing, str(tmp_path), list(registry.TABLES), registry.Settings(as_of=AS_OF))
     assert {n for n, df in out.items() if not df.isEmpty()} == {"gold.dim_calendario"}
+
+
+def test_a_month_run_keeps_the_other_months(spark, raw, tmp_path):
+    settings = registry.Settings(as_of=AS_OF, scale=2)
+    run = lambda r, s: registry.run(spark, r, str(tmp_path), ["silver.donaciones", "gold.dashboard_financiero"], s)
+    run(raw, settings)
+    gone = {**raw, "donaciones": raw["donaciones"].filter("id_donacion <> 2").withColumn("monto", F.lit("999"))}
+    out = run(gone, registry.Settings(as_of=AS_OF, scale=2, month="2024-02"))
+    assert by(out["silver.donaciones"], "id_donacion", "monto") == {1: (150.0,), 3: (999.0,), 5: (50.0,)}
+    assert {str(r["anio_mes"]) for r in out["gold.dashboard_financiero"].collect()} >= {"2024-01-01"}
+
+
+def test_kept_table_keeps_its_types(spark, raw, tmp_path):
+    run = lambda r: registry.run(spark, r, str(tmp_path), ["silver.gastos"], registry.Settings(as_of=AS_OF))["silver.gastos"]
+    assert run(raw).schema == run({**raw, "gastos": raw["gastos"].limit(0)}).schema
+
+
+def test_counts_of_a_run(spark, raw, tables):
+    got = by(registry.run_counts(spark, raw, tables["root"]), "table_name", "raw", "deduplicated", "valid", "rejected")
+    assert got["silver.donaciones"] == (7, 6, 3, 3)

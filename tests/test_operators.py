@@ -219,3 +219,22 @@ def test_join_preservation_flags_duplicates(spark):
     lookup = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
     got = RC.join_preservation(fact, lookup, ["k"], fact.join(lookup, "k", "left")).first()
     assert tuple(got) == (2, 3, 1, False)
+
+
+def test_ties_with_nulls_and_maps_have_one_survivor(spark):
+    data = [(1, None, 5, {"a": 1}), (1, 5, None, {"a": 2}), (1, None, None, None)]
+    ddl = "k int, a int, b int, m map<string, int>"
+    seen = set()
+    for order in ((0, 1, 2), (2, 1, 0), (1, 0, 2)):
+        df = spark.createDataFrame([data[i] for i in order], ddl).coalesce(1)
+        (row,) = dedup.latest_by_key(df, ["k"], ["k"]).collect()
+        seen.add((row["a"], row["b"], str(row["m"])))
+    assert len(seen) == 1
+
+
+def test_placeholder_join_equals_the_plain_join(spark):
+    fact = spark.range(400).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 541 WHEN id % 7 = 0 THEN NULL ELSE id % 50 END AS k")
+    lookup = spark.createDataFrame([(i, f"n{i}") for i in [*range(40), 541]], "k int, name string")
+    plain = joins.lookup_join(fact, lookup, ["k"])
+    salted = joins.lookup_join(fact, lookup, ["k"], hot=[541], salt=["id"])
+    assert sorted(map(str, salted.collect())) == sorted(map(str, plain.collect()))

@@ -20,6 +20,11 @@ def test_query_equals_sql(spark, con, name):
     assert differences(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name]) == []
 
 
+@pytest.mark.parametrize("name", ["gld_dim_case", "gld_feat_case", "slv_casos"])
+def test_small_tables_have_valid_cases(spark, name):
+    assert catalog.QUERIES[name](spark, SF).count() > 0
+
+
 def test_every_query_has_sql():
     assert set(catalog.QUERIES) == set(catalog.ORACLE)
 

@@ -1,6 +1,7 @@
 """Physical plans: what must reach the scan, and how hot keys are kept apart."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,3 +63,36 @@ def test_entity_metrics_aggregate_once(shuffled, orders):
     final = plan(df).split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final
     assert final.count("FileScan parquet") == 2
+
+
+@pytest.mark.parametrize(
+    "name, columns",
+    [
+        ("bkt_tristate_budget", ["l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice"]),
+        ("ddp_latest_event_per_user", ["event_id", "ts", "user_id", "event_type", "value"]),
+        ("dq_reconcile", ["l_orderkey", "l_linenumber"]),
+        ("dq_join_preservation", ["o_custkey"]),
+    ],
+)
+def test_scans_read_only_what_is_asked_for(spark, name, columns):
+    from lakeops import catalog
+
+    catalog.load()
+    text = plan(catalog.QUERIES[name](spark, SF))
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    widest = max((s.split(",") for s in schemas), key=len)
+    assert {c.split(":")[0] for c in widest} <= {"", *columns, "p_partkey", "p_size", "p_retailprice", "c_custkey"}
+
+
+def test_two_lookups_need_three_scans(spark):
+    from lakeops import catalog
+
+    catalog.load()
+    assert plan(catalog.QUERIES["jon_two_dims"](spark, SF)).count("FileScan parquet") == 3
+
+
+def test_placeholder_keys_are_salted_without_counting(shuffled, orders):
+    customer = shuffled.read.parquet(f"{SF}/customer.parquet").withColumnRenamed("c_custkey", "o_custkey")
+    text = plan(joins.lookup_join(orders, customer, ["o_custkey"], hot=[541], salt=["o_orderkey"]).select("o_orderkey", "c_name"))
+    assert text.count("BroadcastExchange") == 1 and "HashAggregate" not in text
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in text

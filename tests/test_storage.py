@@ -211,3 +211,60 @@ def test_external_table_export_and_publish(spark, path):
     spark.sql("CREATE DATABASE IF NOT EXISTS marts")
     assert W.publish_marts({"feat_x": df, "dim_x": df, "dashboard_x": df}, "marts") == ["feat_x", "dashboard_x"]
     assert spark.table("marts.feat_x").count() == 2
+
+
+def test_old_versions_expire(spark, path):
+    for n in range(4):
+        versioned.upsert(spark, path, batch(spark, (1, n, "2024-01-05", f"a{n}"), (9, 0, "2023-01-05", "old")), ["k"], ["t"], months())
+    assert versioned.manifest(spark, path).number == 4
+    assert versioned.expire(spark, path, kept=1) == [2, 3]  # version 1 still holds 2023
+    assert rows(versioned.read_current(spark, path).select("k", "v")) == [(1, "a3"), (9, "old")]
+    assert versioned._manifests(spark, path) == [4]
+
+
+def test_a_batch_without_news_commits_nothing(spark, path):
+    first = batch(spark, (1, 1, "2024-01-05", "a"), (2, 1, "2024-02-05", "b"))
+    assert versioned.upsert(spark, path, first, ["k"], ["t"], months()) == 1
+    assert versioned.upsert(spark, path, first, ["k"], ["t"], months()) == 1
+    assert versioned.upsert(spark, path, batch(spark, (2, 2, "2024-02-06", "b2")), ["k"], ["t"], months()) == 2
+    assert versioned.manifest(spark, path).where == {"y=2024/m=01": 1, "y=2024/m=02": 2}
+
+
+def test_month_text_keeps_two_digits(spark, path):
+    versioned.upsert(spark, path, batch(spark, (1, 1, "2024-05-05", "a")), ["k"], ["t"], months())
+    row = versioned.read_current(spark, path).first()
+    assert (row["y"], row["m"]) == (2024, "05")
+
+
+def test_a_repeated_run_replaces_its_rejects(spark, path):
+    tagged = spark.createDataFrame([(1, ["X"]), (2, []), (3, ["Y"])], "id int, dq_errors array<string>")
+    for run in ("a", "a", "b"):
+        W.append_quarantine(tagged, path, run, "rules")
+    assert spark.read.parquet(path).count() == 4
+    W.append_quarantine(tagged.union(spark.createDataFrame([(4, ["X"])], tagged.schema)), path, "c", "rules", once=True)
+    assert rows(spark.read.parquet(path).filter("run = 'c'").select("id")) == [(4,)]
+
+
+def test_loads_of_every_policy(spark, path):
+    as_of = dt.date(2024, 6, 1)
+    home = spark.createDataFrame([(1, "a", 2, 1.0), (2, "b", -1, 1.0)], "id_hogar_de_paso long, nombre_hogar string, cupo_maximo int, tarifa_diaria double")
+    load = lambda source, table, clean, **o: incremental.load_increment(spark, source, table, clean, path, as_of, **o)
+    table = lambda name, *c: rows(incremental.read_valid(spark, path, name).select(*c))
+    # A table without a change time, and a snapshot that shrinks.
+    assert load(home, "hogar_de_paso", S.homes) == 1 and load(home.filter("id_hogar_de_paso = 1"), "hogar_de_paso", S.homes) == 2
+    assert table("hogar_de_paso", "id_hogar_de_paso") == [(1,)]
+    # A late row without a change time; a row that turns invalid and back.
+    first = donations(spark, (1, 10.0, "2024-01-01", "2024-01-02"), (2, 5.0, "2024-01-01", "2024-01-03"))
+    late = spark.sql("SELECT 7L AS id_donacion, 3D AS monto, TIMESTAMP'2024-01-01' AS fecha_donacion, CAST(NULL AS TIMESTAMP) AS last_modified_at")
+    load(first, "donaciones", S.donations)
+    load(first.union(late), "donaciones", S.donations)
+    assert table("donaciones", "id_donacion", "monto") == [(1, 10.0), (2, 5.0), (7, 3.0)]
+    bad = first.union(late).union(donations(spark, (1, -5.0, "2024-01-01", "2024-01-04")))
+    load(bad, "donaciones", S.donations), load(bad, "donaciones", S.donations)
+    assert table("donaciones", "id_donacion") == [(2,), (7,)]
+    assert spark.read.parquet(f"{path}/quarantine/donaciones").count() == 1
+    load(bad.union(donations(spark, (1, 6.0, "2024-01-01", "2024-01-05"))), "donaciones", S.donations)
+    assert table("donaciones", "id_donacion", "monto") == [(1, 6.0), (2, 5.0), (7, 3.0)]
+    # A forced reload replaces.
+    load(first.filter("id_donacion = 2"), "donaciones", S.donations, full=True)
+    assert table("donaciones", "id_donacion") == [(2,)]
