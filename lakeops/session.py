@@ -33,6 +33,7 @@ BASE_CONF = {
 }
 
 _REDUCER_BYTES = 128 * 1024 * 1024
+_OWN_ROOTS: dict[str, str] = {}
 
 
 def reducers_for(shuffle_bytes: int, floor: int = 8) -> int:
@@ -70,13 +71,15 @@ def scratch_path(spark: SparkSession, label: str, root: str | None = None) -> st
     """Fresh, unique path below ``root``, by default the shared folder that the session's
     ``spark.checkpoint.dir`` names.
 
-    Where that is unset a temporary folder is made and set for the session. On a cluster it has
-    to be set, since executors would each see a disk of their own.
+    Where that is unset, an application on one machine gets a temporary folder. On a cluster it
+    has to be set, since executors would each see a disk of their own.
     """
     root = root or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="lakeops-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if context.applicationId not in _OWN_ROOTS:
+            _OWN_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="lakeops-")
+        root = _OWN_ROOTS[context.applicationId]
     return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
