@@ -77,7 +77,7 @@ def scratch_path(spark: SparkSession, label: str, root: str | None = None) -> st
     root = root or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         context = spark.sparkContext
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         if context.applicationId not in _OWN_ROOTS:
             _OWN_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="lakeops-")
