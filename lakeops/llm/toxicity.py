@@ -8,7 +8,7 @@ text is the set of its slots. The score of slots x is
 so two slots may say together what neither says alone. Learning uses at most
 ``Settings.sample`` labelled rows, chosen by the hash of their id, outside the held-out
 quarter; equal texts count once. Slots that go with the label (or against it) more than chance
-allows are kept, the rest never enters the model. The fit runs on the sample's kept slots only, a
+allows, and by a fair factor, are kept; the rest never enters the model. The fit runs on the sample's kept slots only, a
 few MB; scoring covers every whole text.
 
 Edge cases: a null or empty text has no slots and gets the base rate. Without labels, or with labels
@@ -38,6 +38,7 @@ class Settings:
     sample: int = 12_000
     least_rows: int = 4
     least_z: float = 3.0
+    least_lift: float = 1.5
     kept_slots: int = 2048
     factors: int = 8
     steps: int = 2000
@@ -176,13 +177,14 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model
         return none
     share = positive / n
     z = (F.col("pos") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share))
+    lift = F.col("pos") / (F.col("n") * share)
     kept = (
         rows.select("toxic", F.explode("slots").alias("slot"))
         .groupBy("slot")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("pos"))
         .where(F.col("n") >= s.least_rows)
         .withColumn("z", F.abs(z))
-        .where(F.col("z") >= s.least_z)
+        .where((F.col("z") >= s.least_z) & ((lift >= s.least_lift) | (lift <= 1 / s.least_lift)))
         .orderBy(F.desc("z"), "slot")
         .limit(s.kept_slots)
         .toPandas()["slot"]
