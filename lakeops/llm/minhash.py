@@ -14,7 +14,8 @@
 
 A pair at the threshold shares no band with probability (1 - 0.8^5)^32 = 3e-6, less above it; an
 estimate falls under the margin about as rarely. Nothing is capped: large groups become more
-tasks.
+tasks. A task holds the shingle hashes of one pivot or of at most about 256 loose members (8 bytes a
+word) and of the one text it compares them with.
 
 Edge cases: null, empty or blank texts have no shingles and stay alone. Rows without ``doc_id``
 take part in linking but never name a component; their ``kept`` is true only where nothing with an
