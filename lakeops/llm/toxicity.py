@@ -135,7 +135,7 @@ def _sample_slots(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
 
 
 def _fit(toxic: np.ndarray, rows: list[np.ndarray], n_slots: int, s: Settings) -> tuple[float, np.ndarray, np.ndarray]:
-    """Adam on the logistic loss in shuffled mini-batches."""
+    """Adam on the logistic loss in shuffled mini-batches, with a falling rate."""
     rng = np.random.default_rng(s.seed)
     rate = float(toxic.mean())
     w0 = np.array([np.log(rate / (1 - rate))])
@@ -161,10 +161,11 @@ def _fit(toxic: np.ndarray, rows: list[np.ndarray], n_slots: int, s: Settings) -
             np.add.at(gv, flat, error[own][:, None] * (sums[own] - v[flat]))
             grads = [np.array([error.mean()]), gw + s.decay * w, gv / len(pick) + s.decay * v]
             step += 1
+            rate_now = s.rate * max(0.02, 1 - step / s.steps)
             for p, g, a, b in zip(params, grads, m, q):
                 a += 0.1 * (g - a)
                 b += 0.001 * (g * g - b)
-                p -= s.rate * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.999**step)) + 1e-8)
+                p -= rate_now * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.999**step)) + 1e-8)
     return float(w0[0]), w, v
 
 
@@ -203,7 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model
             )
 
     # At most Settings.sample rows of at most Settings.kept_slots numbers.
-    sample = rows.orderBy("slots", "toxic").mapInArrow(narrow, "toxic int, slots array<int>").toPandas()
+    sample = rows.orderBy(F.xxhash64("slots"), "toxic").mapInArrow(narrow, "toxic int, slots array<int>").toPandas()
     w0, w, v = _fit(sample["toxic"].to_numpy(dtype=float), [np.asarray(x, dtype=np.int64) for x in sample["slots"]], len(slots), s)
     return Model(w0, slots, w, v)
 
