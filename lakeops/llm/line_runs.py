@@ -3,10 +3,16 @@
 The lines with a word form each document's sequence of line ids. As in the construction of a suffix
 array by prefix doubling, runs of 2^t lines get their name from the names of their two halves, and a
 name's first place (by doc_id, then place) stands for its interval of equal prefixes. Only runs
-that occur twice stay in play, so rounds shrink quickly. A run of 1, 2, 4, ... lines that has
-``Rule.words`` words or more and occurs earlier is a later copy; all lines in such runs are deleted,
-together they make up the maximal repeated runs. A run of 2^t lines has 2^t words at least, so
-log2(words) rounds are all there is to find.
+that occur twice stay in play, so rounds shrink quickly. A run of any length L with 2^t < L < 2^(t+1)
+is named by L and the names of its first and its last 2^t lines, which overlap.
+
+A run of any number of lines that has ``Rule.words`` words or more and occurs earlier is a later copy;
+all lines in such runs are deleted. Two runs a line are enough to find them all: the shortest with
+``Rule.words`` words that starts with it, and the shortest that ends with it. Parts of a later copy occur
+earlier too; of a line in a later copy, either the words from the copy's start up to the line suffice, and
+the shortest run that ends with the line lies in the copy, or they do not, and the shortest run from the
+copy's start goes past the line. Which run is shortest follows from its lines, so copies agree on it. It has
+``Rule.words`` lines at most, so log2(words) rounds are all there is to find.
 
 Names are 128 bits of hash. Counting and first places combine before the shuffle; rows of a frequent
 line are then joined to one row each, which adaptive execution splits.
@@ -19,7 +25,6 @@ where the table has that column. Other columns pass unchanged.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -43,14 +48,26 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def line_rows(docs: DataFrame) -> DataFrame:
-    """Rows (k, n, words, a, b): the n-th line with a word of document k, and its id (a, b)."""
-    lines = F.filter(_lines(F.col("text")), lambda x: x.rlike(_WORD))
-    rows = docs.select(_key().alias("k"), F.posexplode(lines).alias("n", "line"))
+def _shortest(words: Column, least: int) -> Column:
+    """How many of the first ``words`` together reach ``least``; null if all do not."""
+    step = lambda acc, w: F.when(acc["sum"] >= least, acc).otherwise(F.struct((acc["sum"] + w).alias("sum"), (acc["n"] + 1).alias("n")))
+    none = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("n"))
+    return F.aggregate(words, none, step, lambda acc: F.when(acc["sum"] >= least, acc["n"]))
+
+
+def line_rows(docs: DataFrame, least: int) -> DataFrame:
+    """Rows (k, n, ahead, back, a, b): the n-th line with a word of document k, the lengths of the shortest runs
+    of ``least`` words that start and that end with it, and its id (a, b)."""
+    lines = docs.select(_key().alias("k"), F.filter(_lines(F.col("text")), lambda x: x.rlike(_WORD)).alias("lines"))
+    counted = lines.select("k", "lines", F.transform("lines", lambda x: F.size(F.regexp_extract_all(x, F.lit(_WORD), 0))).alias("words"))
+    rows = counted.select("k", "words", F.posexplode("lines").alias("n", "line"))
+    here, n = F.get("words", F.col("n")), F.col("n")
+    before = F.reverse(F.slice("words", F.greatest(n + 2 - least, F.lit(1)), F.least(n + 1, F.lit(least))))
     return rows.select(
         "k",
         "n",
-        F.size(F.regexp_extract_all("line", F.lit(_WORD), 0)).alias("words"),
+        F.when(here >= least, 1).otherwise(_shortest(F.slice("words", n + 1, F.lit(least)), least)).alias("ahead"),
+        F.when(here >= least, 1).otherwise(_shortest(before, least)).alias("back"),
         F.xxhash64("line").alias("a"),
         F.xxhash64(F.lit(1), "line").alias("b"),
     )
@@ -63,24 +80,47 @@ def _repeated(rows: DataFrame) -> DataFrame:
     return rows.join(names.select("a", "b", "first"), ["a", "b"]).withColumn("later", place != F.col("first")).drop("first")
 
 
+def _between(now: DataFrame, size: int) -> DataFrame:
+    """Rows (k, n, length, a, b): the shortest runs of more than ``size`` and less than twice as many lines,
+    from the repeated runs of ``size`` lines."""
+    ahead = now.where((F.col("ahead") > size) & (F.col("ahead") < 2 * size))
+    back = now.where((F.col("back") > size) & (F.col("back") < 2 * size))
+    start = F.col("n") + size - F.col("back")
+    wanted = ahead.select("k", "n", F.col("ahead").alias("length")).unionByName(back.select("k", start.alias("n"), F.col("back").alias("length")))
+    half = now.select("k", "n", "a", "b")
+    head = wanted.distinct().join(half, ["k", "n"])
+    tail = half.select("k", F.col("n").alias("m"), F.col("a").alias("a2"), F.col("b").alias("b2"))
+    both = head.withColumn("m", F.col("n") + F.col("length") - size).join(tail, ["k", "m"])
+    return both.select(
+        "k", "n", "length", F.xxhash64("length", "a", "b", "a2", "b2").alias("a"), F.xxhash64(F.lit(1), "length", "a", "b", "a2", "b2").alias("b")
+    )
+
+
 def later_copies(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """Rows (k, n): lines that lie in a run which occurs earlier."""
-    top = max(0, math.ceil(math.log2(rule.words)))
-    now = stored(_repeated(line_rows(docs)).distinct(), "runs-1")
-    found = now.where(F.col("later") & (F.col("words") >= rule.words)).select("k", "n")
+    top = max(0, rule.words.bit_length() - 1)
+    now = stored(_repeated(line_rows(docs, max(1, rule.words))).distinct(), "runs-1")
+    found = now.where(F.col("later") & (F.col("ahead") == 1)).select("k", "n")
+
+    def lines(runs: DataFrame, length: Column) -> DataFrame:
+        return runs.where("later").select("k", F.explode(F.sequence(F.col("n"), F.col("n") + length - 1)).alias("n"))
+
     for t in range(top):
-        half = 1 << t
-        tail = now.select("k", (F.col("n") - half).alias("n"), F.col("words").alias("w2"), F.col("a").alias("a2"), F.col("b").alias("b2"))
+        half, size = 1 << t, 2 << t
+        # A run keeps ``ahead`` of its first line and ``back`` of its last.
+        tail = now.select("k", (F.col("n") - half).alias("n"), F.col("back").alias("back2"), F.col("a").alias("a2"), F.col("b").alias("b2"))
         both = now.join(tail, ["k", "n"]).select(
             "k",
             "n",
-            (F.col("words") + F.col("w2")).alias("words"),
+            "ahead",
+            F.col("back2").alias("back"),
             F.xxhash64("a", "b", "a2", "b2").alias("a"),
             F.xxhash64(F.lit(t + 2), "a", "b", "a2", "b2").alias("b"),
         )
-        now = stored(_repeated(both), f"runs-{2 * half}")
-        copies = now.where(F.col("later") & (F.col("words") >= rule.words))
-        found = found.unionByName(copies.select("k", F.explode(F.sequence(F.col("n"), F.col("n") + F.lit(2 * half - 1))).alias("n")))
+        now = stored(_repeated(both), f"runs-{size}")
+        found = found.unionByName(lines(now.where((F.col("ahead") == size) | (F.col("back") == size)), F.lit(size)))
+        if size < rule.words:
+            found = found.unionByName(lines(_repeated(_between(now, size)), F.col("length")))
     return found.distinct()
 
 

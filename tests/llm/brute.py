@@ -162,3 +162,23 @@ def base_spans(text):
 
 def sha(parts):
     return hashlib.sha256(",".join(parts).encode()).hexdigest()
+
+
+def kept_lines_of_all_runs(docs, words=20):
+    """[(doc_id, text)] -> {doc_id: lines with a word that stay}: runs of every length seen earlier go."""
+    lines = {d: [x for x in (t or "").split("\n") if SPACED.search(x)] for d, t in docs}
+    count = {d: [len(SPACED.findall(x)) for x in ls] for d, ls in lines.items()}
+    gone = defaultdict(set)
+    for size in range(1, max(map(len, lines.values()), default=0) + 1):
+        seen, again = set(), False
+        for d in sorted(lines):
+            for i in range(len(lines[d]) - size + 1):
+                run = tuple(lines[d][i : i + size])
+                if run in seen:
+                    again = True
+                    if sum(count[d][i : i + size]) >= words:
+                        gone[d] |= set(range(i, i + size))
+                seen.add(run)
+        if not again:
+            break
+    return {d: [x for i, x in enumerate(ls) if i not in gone[d]] for d, ls in lines.items()}

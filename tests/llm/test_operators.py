@@ -241,6 +241,25 @@ def test_line_runs_equal_brute_force(spark, docs, texts):
     assert {d: t for d, (t,) in got.items()} == brute.kept_lines(many)
 
 
+def test_repeated_runs_of_any_length_go(spark):
+    def kept(df, rule=line_runs.Rule()):
+        got = by_id(line_runs.dedup_lines(df, rule).select("doc.doc_id", "text"), "text")
+        return {d: [x for x in (t or "").split("\n") if brute.SPACED.search(x)] for d, (t,) in got.items()}
+
+    three = "\n".join(" ".join(f"{x}{i}" for i in range(n)) for x, n in (("p", 9), ("q", 7), ("r", 12)))
+    two = spark.createDataFrame([(1, f"one\n{three}\ntwo"), (2, f"three\n{three}\nfour")], "doc_id long, text string")
+    assert kept(two)[2] == ["three", "four"]
+    rng = random.Random(6)
+    for words in (1, 7, 20, 33):
+        lines = [" ".join(rng.choices("abcdefgh", k=rng.choice((0, 1, 2, 4, 9, 25)))) for _ in range(80)]
+        rows = []
+        for i in range(80):
+            a, n = rng.randrange(70), rng.randint(1, 45)
+            rows.append((i, "\n".join([lines[rng.randrange(80)], *lines[a : a + n], f"end {i}", lines[rng.randrange(80)]])))
+        got = kept(spark.createDataFrame(rows, "doc_id long, text string"), line_runs.Rule(words))
+        assert got == brute.kept_lines_of_all_runs(rows, words)
+
+
 def test_lines_of_awkward_tables(docs, awkward, empty, texts):
     assert line_runs.dedup_lines(empty).count() == 0
     assert line_runs.dedup_lines(awkward).count() == 8
