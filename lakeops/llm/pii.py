@@ -1,8 +1,10 @@
 """Personal data by bootstrapped contextual extraction (operator 10, built-in functions only).
 
-Patterns for e-mail, IP, card and phone numbers give the base spans. The tokens they start in are the
-seeds: instances of identifiers. The word before a token is its context, and contexts and instances
-form a graph. Rounds go back and forth: a context's score is the summed confidence of the instances that
+Patterns for e-mail, IP, card and phone numbers give the base spans. Whole spans, normalised, are the
+seeds: instances of identifiers, of any length and however they are spaced. Other instances are tokens with
+a digit or @ that touch no base span and have ``Rule.least_chars`` characters. The word before a token, or
+before the token that a span starts in, is its context; several spans in one token share its weight. Contexts
+and instances form a graph. Rounds go back and forth: a context's score is the summed confidence of the instances that
 follow it, over all its occurrences before any word of the corpus; a context with ``Rule.support``
 distinct confident instances and a score of ``Rule.score`` or more is trusted, and gives its score
 to every identifier-like token (one with a digit or @) that follows it. Tokens whose confidence passes
@@ -94,19 +96,25 @@ def _valid(kind: str) -> Column:
     return F.lit(True)
 
 
+def _normal(kind: str) -> Column:
+    """A span as an instance: one value however it is written."""
+    digits = F.regexp_replace("match", "[^0-9]", "")
+    return {"email": F.lower("match"), "ip": F.col("match"), "card": digits, "phone": F.concat(F.lit("+"), digits)}[kind]
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
-    """Rows (id, h, kind, start, end): ``kind`` is a number, in the order of ``KINDS``."""
+    """Rows (id, h, kind, start, end, value): ``kind`` is a number, in the order of ``KINDS``."""
     rows, out = _keyed(docs), None
     for number, kind in enumerate(KINDS):
         needs = F.col("text").contains(_NEEDS[kind]) if _NEEDS[kind] else F.col("text").rlike("[0-9]{2}|[0-9][ -][0-9]")
         found = _matches(rows, _PATTERNS[kind], needs & F.col("text").rlike(_PATTERNS[kind])).withColumn("kind", F.lit(number))
-        found = found.withColumn("ok", _valid(kind))
+        found = found.withColumn("ok", _valid(kind)).withColumn("value", _normal(kind))
         out = found if out is None else out.unionByName(found)
-    return _with_starts(out.drop("before"), "kind").where("ok").select("id", "h", "kind", F.col("start").cast("int"), F.col("end").cast("int"))
+    return _with_starts(out.drop("before"), "kind").where("ok").select("id", "h", "kind", F.col("start").cast("int"), F.col("end").cast("int"), "value")
 
 
 def _tokens(docs: DataFrame) -> DataFrame:
@@ -132,22 +140,25 @@ def found_spans(docs: DataFrame, base: DataFrame, rule: Rule = Rule()) -> DataFr
     tokens = stored(_tokens(docs), "tokens")
     touch = tokens.join(base, _same(tokens, base) & (tokens["start"] < base["end"]) & (base["start"] < tokens["end"]))
     starts_here = (base["start"] >= tokens["start"]) & (base["start"] < tokens["end"])
-    touched = touch.groupBy(tokens["id"], tokens["h"], tokens["start"]).agg(F.min(F.when(starts_here, base["kind"])).alias("kind"))
-    touched = touched.select(F.col("id").alias("t_id"), F.col("h").alias("t_h"), F.col("start").alias("t_start"), "kind", F.lit(True).alias("base"))
+    touched = touch.groupBy(tokens["id"], tokens["h"], tokens["start"]).agg(F.collect_set(F.when(starts_here, F.struct(base["kind"], base["value"]))).alias("seeds"))
+    touched = touched.select(F.col("id").alias("t_id"), F.col("h").alias("t_h"), F.col("start").alias("t_start"), "seeds", F.lit(True).alias("base"))
     tokens = tokens.join(
         touched, tokens["id"].eqNullSafe(F.col("t_id")) & (tokens["h"] == F.col("t_h")) & (tokens["start"] == F.col("t_start")), "left"
-    ).select("id", "h", tokens["start"], "end", "context", "value", "kind", F.coalesce("base", F.lit(False)).alias("base"))
+    ).select("id", "h", tokens["start"], "end", "context", tokens["value"], "seeds", F.coalesce("base", F.lit(False)).alias("base"))
     tokens = stored(tokens, "instances")
 
     # The graph, and how often each context stands before any word at all.
-    edges = tokens.where((F.length("value") >= rule.least_chars) & (F.col("context") != "")).groupBy("context", "value").agg(F.count(F.lit(1)).alias("n"))
+    seeds = tokens.where("base").select("context", (1 / F.size("seeds")).alias("n"), F.explode("seeds").alias("seed"))
+    seeds = seeds.select("context", "seed.value", "seed.kind", "n")
+    others = tokens.where(~F.col("base") & (F.length("value") >= rule.least_chars)).select("context", "value", F.lit(1.0).alias("n"))
+    edges = seeds.drop("kind").unionByName(others).where(F.col("context") != "").groupBy("context", "value").agg(F.sum("n").alias("n"))
     wide = edges.groupBy("context").agg(F.count(F.lit(1)).alias("values")).where(F.col("values") >= rule.support).select("context")
     edges = stored(edges.join(wide, "context"), "edges")
     words = _keyed(docs).select(F.explode(F.split(F.lower("text"), r"[ \t\n\x0B\f\r]+")).alias("context"))
     totals = words.groupBy("context").agg(F.count(F.lit(1)).alias("total")).join(edges.select("context").distinct(), "context")
     totals = stored(totals, "totals")
 
-    trust = stored(tokens.where("kind IS NOT NULL").groupBy("value").agg(F.min("kind").alias("kind"), F.lit(1.0).alias("trust")), "trust")
+    trust = stored(seeds.groupBy("value").agg(F.min("kind").alias("kind"), F.lit(1.0).alias("trust")), "trust")
     for _ in range(rule.rounds):
         known = edges.join(trust, "value")
         by_kind = known.groupBy("context", "kind").agg(F.sum(F.col("n") * F.col("trust")).alias("mass"), F.count(F.lit(1)).alias("values"))
@@ -179,7 +190,7 @@ def _text(spans: Column) -> Column:
 def personal_data(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_hash, base and spans (sorted arrays of kind, start, end)."""
     base = stored(base_spans(docs), "base-spans")
-    every = base.withColumn("base", F.lit(True)).unionByName(found_spans(docs, base, rule).withColumn("base", F.lit(False)))
+    every = base.drop("value").withColumn("base", F.lit(True)).unionByName(found_spans(docs, base, rule).withColumn("base", F.lit(False)))
     span = F.struct("kind", "start", "end")
     lists = every.groupBy("id", "h").agg(
         F.array_sort(F.collect_list(F.when(F.col("base"), span))).alias("base"), F.array_sort(F.collect_list(span)).alias("spans")

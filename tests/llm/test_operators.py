@@ -388,6 +388,18 @@ def test_contexts_lead_to_unseen_identifiers(spark):
     assert got[9] == ("", 0)
 
 
+@pytest.mark.parametrize("kind", ["phone", "card"])
+def test_spaced_numbers_are_seeds(spark, kind):
+    numbers = {
+        "phone": [f"+1 (017) 555-771{i}" for i in range(4)],
+        "card": ["4111 1111 1111 1111", "4012 8888 8888 1881", "5555 5555 5555 4444", "5105 1051 0510 5100"],
+    }[kind]
+    rows = [f"number: {x} today" for x in numbers] + ["number: kt-99812-z today", "see kt-99812-z", "the 12345 cats"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = by_id(pii.digest(pii.personal_data(docs)), "spans")
+    assert [got[i][0] for i in (4, 5, 6)] == [f"{kind}:8:18", f"{kind}:4:14", ""]
+
+
 def test_personal_data_of_awkward_tables(awkward, empty):
     assert pii.personal_data(empty).count() == 0
     got = pii.digest(pii.personal_data(awkward)).collect()
