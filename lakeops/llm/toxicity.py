@@ -7,9 +7,11 @@ text is the set of its slots. The score of slots x is
 
 so two slots may say together what neither says alone. Learning uses at most
 ``Settings.sample`` labelled rows, chosen by the hash of their id, outside the held-out
-quarter; equal texts count once. Slots that go with the label (or against it) more than chance
-allows, and by a fair factor, are kept; the rest never enters the model. The fit runs on the sample's kept slots only, a
-few MB; scoring covers every whole text.
+quarter; equal texts count once. Two kinds of slots enter the model: those that go with the label (or
+against it) more than chance allows, by whatever factor, at most ``Settings.kept_slots``; and both slots of every
+pair that says more together than apart, whether or not either alone goes with the label. Pairs are
+screened among the ``Settings.paired_slots`` slots that vary most over the sample. The fit runs on the sample's kept
+slots only, a few MB; scoring covers every whole text.
 
 Edge cases: a null or empty text has no slots and gets the base rate. Without labels, or with labels
 of one kind, the model is that base rate, (toxic + 0.05) / (rows + 1). Labels that are null, or have
@@ -38,8 +40,9 @@ class Settings:
     sample: int = 12_000
     least_rows: int = 4
     least_z: float = 3.0
-    least_lift: float = 1.5
     kept_slots: int = 2048
+    paired_slots: int = 2048
+    least_pair_z: float = 6.0  # some two million pairs are looked at
     factors: int = 8
     steps: int = 2000
     batch: int = 256
@@ -134,6 +137,28 @@ def _sample_slots(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
     return rows.groupBy("text_hash").agg(F.max("toxic").alias("toxic"), F.first("slots").alias("slots")).select("toxic", "slots")
 
 
+def _pair_strength(toxic: np.ndarray, rows: list[np.ndarray], n_slots: int, s: Settings) -> np.ndarray:
+    """For each slot the largest |z| of the contrast p11 - p10 - p01 + p00 of toxic shares over its pairs."""
+    x = np.zeros((len(rows), n_slots), dtype=np.float32)
+    for i, row in enumerate(rows):
+        x[i, row] = 1
+    both, hits = x.T @ x, x[toxic == 1].T @ x[toxic == 1]  # counts below 2^24 are exact
+    n, pos = np.diag(both).astype(float), np.diag(hits).astype(float)
+    total, positive, best = len(rows), float(toxic.sum()), np.zeros(n_slots)
+    share = positive / total
+    for at in range(0, n_slots, 256):
+        part = slice(at, at + 256)
+        n11, p11 = both[part].astype(float), hits[part].astype(float)
+        n10, n01, p10, p01 = n[part, None] - n11, n[None] - n11, pos[part, None] - p11, pos[None] - p11
+        n00, p00 = total - n11 - n10 - n01, positive - p11 - p10 - p01
+        enough = np.minimum(np.minimum(n11, n10), np.minimum(n01, n00)) >= s.least_rows
+        n11, n10, n01, n00 = (np.maximum(c, 1) for c in (n11, n10, n01, n00))
+        contrast = np.abs(p11 / n11 - p10 / n10 - p01 / n01 + p00 / n00)
+        z = contrast / np.sqrt(share * (1 - share) * (1 / n11 + 1 / n10 + 1 / n01 + 1 / n00))
+        best[part] = np.where(enough, z, 0).max(axis=1)
+    return best
+
+
 def _fit(toxic: np.ndarray, rows: list[np.ndarray], n_slots: int, s: Settings) -> tuple[float, np.ndarray, np.ndarray]:
     """Adam on the logistic loss in shuffled mini-batches, with a falling rate."""
     rng = np.random.default_rng(s.seed)
@@ -178,34 +203,49 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model
         return none
     share = positive / n
     z = (F.col("pos") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share))
-    lift = F.col("pos") / (F.col("n") * share)
-    kept = (
+    counts = (
         rows.select("toxic", F.explode("slots").alias("slot"))
         .groupBy("slot")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("pos"))
         .where(F.col("n") >= s.least_rows)
         .withColumn("z", F.abs(z))
-        .where((F.col("z") >= s.least_z) & ((lift >= s.least_lift) | (lift <= 1 / s.least_lift)))
-        .orderBy(F.desc("z"), "slot")
-        .limit(s.kept_slots)
-        .toPandas()["slot"]
     )
-    slots = np.sort(kept.to_numpy(dtype=np.int64))
-    if len(slots) == 0:
+    counts = stored(counts, "slot-counts")
+    alone = counts.where(F.col("z") >= s.least_z).orderBy(F.desc("z"), "slot").limit(s.kept_slots).toPandas()["slot"].to_numpy(dtype=np.int64)
+    varied = counts.orderBy(F.desc(F.col("n") * (F.lit(n) - F.col("n"))), "slot").limit(s.paired_slots).toPandas()["slot"].to_numpy(dtype=np.int64)
+
+    def narrowed(slots: np.ndarray):
+        """The sample with numbers for ``slots``: at most Settings.sample rows of as many numbers."""
+        index = np.full(1 << SLOT_BITS, -1, dtype=np.int32)
+        index[slots] = np.arange(len(slots), dtype=np.int32)
+
+        def task(batches):
+            for batch in batches:
+                lists = [index[np.asarray(x, dtype=np.int64)] for x in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array([x[x >= 0].tolist() for x in lists], pa.list_(pa.int32()))], ["toxic", "slots"]
+                )
+
+        sample = rows.orderBy(F.xxhash64("slots"), "toxic").mapInArrow(task, "toxic int, slots array<int>").toPandas()
+        return sample["toxic"].to_numpy(dtype=float), [np.asarray(x, dtype=np.int64) for x in sample["slots"]]
+
+    # One pass gives the numbers for both steps.
+    wanted = np.union1d(alone, varied)
+    if len(wanted) == 0:
         return none
-    index = np.full(1 << SLOT_BITS, -1, dtype=np.int32)
-    index[slots] = np.arange(len(slots), dtype=np.int32)
+    toxic, lists = narrowed(wanted)
 
-    def narrow(batches):
-        for batch in batches:
-            lists = [index[np.asarray(x)] for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([x[x >= 0].tolist() for x in lists], pa.list_(pa.int32()))], ["toxic", "slots"]
-            )
-
-    # At most Settings.sample rows of at most Settings.kept_slots numbers.
-    sample = rows.orderBy(F.xxhash64("slots"), "toxic").mapInArrow(narrow, "toxic int, slots array<int>").toPandas()
-    w0, w, v = _fit(sample["toxic"].to_numpy(dtype=float), [np.asarray(x, dtype=np.int64) for x in sample["slots"]], len(slots), s)
+    def only(slots: np.ndarray) -> list[np.ndarray]:
+        index = np.full(len(wanted), -1, dtype=np.int64)
+        index[np.searchsorted(wanted, slots)] = np.arange(len(slots))
+        return [x[x >= 0] for x in (index[row] for row in lists)]
+
+    varied = np.sort(varied)
+    paired = varied[_pair_strength(toxic, only(varied), len(varied), s) >= s.least_pair_z]
+    slots = np.union1d(alone, paired)
+    if len(slots) == 0:
+        return none
+    w0, w, v = _fit(toxic, only(slots), len(slots), s)
     return Model(w0, slots, w, v)
 
 

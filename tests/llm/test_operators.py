@@ -300,6 +300,22 @@ def test_pairs_of_terms_are_learned(judged):
     assert left.join(labels, "doc_id").agg(F.avg("toxic")).first()[0] < 0.02
 
 
+@pytest.mark.parametrize("often, rule", [(0.85, lambda a, b: a and b), (0.5, lambda a, b: a == b)])
+def test_pairs_of_which_neither_term_shows_are_learned(spark, often, rule):
+    """Frequent terms of small lift at a high toxic share; and terms that alone say nothing at all."""
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(3000):
+        insult, group = rng.random() < often, rng.random() < often
+        w = [f"w{rng.randrange(400)}" for _ in range(20)] + ["insulting"] * insult + ["grouping"] * group
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(rule(insult, group))))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    found = toxicity.score(docs, toxicity.train(docs, labels)).join(labels, "doc_id").where(toxicity.held_out(F.col("doc_id"))).collect()
+    right = sum((r["score"] >= 0.5) == bool(r["toxic"]) for r in found)
+    assert len(found) > 500 and right / len(found) > 0.95
+
+
 def test_labels_of_the_held_out_rows_are_not_read(judged):
     docs, labels = judged
     swapped = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
