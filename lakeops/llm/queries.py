@@ -272,3 +272,94 @@ SELECT doc_id, any_value(n)::BIGINT AS n_words, sum(e - s)::BIGINT AS n_repeated
   string_agg(s || ':' || e, ',' ORDER BY s) AS spans, coalesce(any_value(removed), '') AS removed
 FROM a1 LEFT JOIN r USING (doc_id) GROUP BY doc_id
 """
+
+
+@_query
+def op11_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .interleave import Rule, interleaved
+
+    docs = _table(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit(""))
+    # Size and checksum are taken where the text is read; the text itself need not move.
+    sized = docs.select("doc_id", "source", (F.octet_length(text) + 1).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"))
+    return interleaved(sized, Rule(shards=16)).select(
+        "doc.doc_id", "doc.size", "doc.text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+# The table of the public CRC-32 checksum comes from its polynomial, 0xEDB88320.
+_CRC_SQL = """
+crc_table AS MATERIALIZED (
+  SELECT list(list_reduce(range(0, 8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) ORDER BY i) AS t
+  FROM (SELECT unnest(range(0, 256)) AS i)
+)"""
+
+
+def _crc_sql(text: str) -> str:
+    # An initial value keeps the first byte from being taken for the state.
+    return f"""xor(4294967295, list_reduce(list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda b: ('0x' || b)::BIGINT),
+    lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]), 4294967295::BIGINT))::BIGINT"""
+
+
+def _unit_sql(text: str) -> str:
+    return f"('0x' || substr(md5({text}), 1, 13))::BIGINT"
+
+
+ORACLE["op11_interleave"] = f"""
+WITH {_CRC_SQL},
+d AS (
+  SELECT doc_id, coalesce(source, '') AS s, (strlen(coalesce(text, '')) + 1)::BIGINT AS size, {_crc_sql("coalesce(text, '')")} AS text_crc32,
+    row_number() OVER (PARTITION BY source ORDER BY {_unit_sql("'1:' || doc_id")}, doc_id) - 1 AS r, count(*) OVER (PARTITION BY source) AS m, source
+  FROM documents, crc_table
+),
+f AS (SELECT *, (r + ({_unit_sql("'1:' || s")}::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE) / m AS share FROM d),
+g AS (SELECT *, row_number() OVER (ORDER BY share, source NULLS FIRST, r) - 1 AS n, count(*) OVER () AS k FROM f),
+h AS (SELECT *, n * 16 // k AS shard FROM g)
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INTEGER AS shard, (n - (shard * k + 15) // 16)::BIGINT AS slot, NULL::INTEGER AS grown_shard FROM h
+"""
+
+
+@_query
+def op13_orchard_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .orchard import Rule, clustered
+
+    found = clustered(_table(spark, sf_dir, "embeddings"), Rule(clusters=8, rounds=10, dims=64, scale=1024, seed="3"))
+    code = F.sha2(F.array_join(F.transform("centroid", lambda x: x.cast("string")), ","), 256)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", code.alias("centroid_sha256"))
+
+
+def _cluster_sql(rounds: int = 10) -> str:
+    far = "list_sum(list_transform(range(1, 65), lambda i: (k.q[i] - c.q[i]) * (k.q[i] - c.q[i])))::BIGINT"
+    steps = "".join(
+        f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, any_value(q) AS q, arg_min(c, (d, c)) AS c, min(d) AS d FROM (SELECT k.vec_id, k.q, c.c, {far} AS d FROM k, c{r} c) GROUP BY vec_id
+),
+"""
+        + (
+            f"""m{r} AS (
+  SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS q
+  FROM (SELECT c, i, sum(x)::HUGEINT AS s, count(*) AS n FROM (SELECT c, unnest(q) AS x, unnest(range(0, 64)) AS i FROM a{r}) GROUP BY c, i) GROUP BY c
+),
+c{r + 1} AS MATERIALIZED (SELECT c, coalesce(m.q, o.q)::BIGINT[] AS q FROM c{r} o LEFT JOIN m{r} m USING (c)),
+"""
+            if r < rounds
+            else ""
+        )
+        for r in range(rounds + 1)
+    )
+    return f"""
+WITH k AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = 64
+),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h) - 1 AS c, q FROM (SELECT sha256('3:' || vec_id) AS h, q FROM k) ORDER BY h LIMIT 8
+),
+{steps}t AS (SELECT c, sum(d)::BIGINT AS cluster_inertia FROM a{rounds} GROUP BY c)
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, cluster_inertia, (SELECT sum(d)::BIGINT FROM a{rounds}) AS inertia,
+  sha256(array_to_string(o.q, ',')) AS centroid_sha256
+FROM a{rounds} JOIN t USING (c) JOIN c{rounds} o USING (c)
+"""
+
+
+ORACLE["op13_orchard_clusters"] = _cluster_sql()
