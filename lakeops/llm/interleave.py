@@ -2,9 +2,8 @@
 
 The rows of each source are put into a seeded random order and ranked. A row's fractional rank is
 (rank + phase) / size of its source, the phase being a seeded number per source, so that small sources do
-not all meet in the middle. Sorted by fractional rank, every stretch of the table holds each source in
-its share, to within a row per source; the sorted table is cut into shards whose counts differ by one at
-most. Within a shard rows keep that order, so every prefix of a shard has the mixture too.
+not all meet in the middle. Sorted by fractional rank, every stretch of fractional ranks holds each source in
+its share, to within a row; the sorted table is cut into shards whose counts differ by one at most. Within a shard rows keep that order, so every prefix of a shard has the mixture too.
 
 Both rankings sort narrow rows over all tasks by keys that end with a row number, and get exact ranks from
 counts per range (``ranks``): a source that holds most rows is spread over many tasks. Whole rows move

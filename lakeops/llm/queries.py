@@ -363,3 +363,45 @@ FROM a{rounds} JOIN t USING (c) JOIN c{rounds} o USING (c)
 
 
 ORACLE["op13_orchard_clusters"] = _cluster_sql()
+
+
+@_query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .trie import spliced_trie
+
+    return spliced_trie(_table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op12_prefix_trie"] = f"""
+WITH {_CRC_SQL},
+o AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS r, count(*) OVER (PARTITION BY conv_id) AS m
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_crc_sql("conv_id::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM o), crc_table),
+s AS (SELECT c.*, least(h, coalesce(m, 0)) AS taken FROM c LEFT JOIN (SELECT DISTINCT conv_id, m FROM o) b ON b.conv_id = c.base),
+u AS (
+  SELECT s.conv_id, r AS pos, role, text FROM s JOIN o ON o.conv_id = s.base AND r < h
+  UNION ALL SELECT conv_id, taken + r - h, role, text FROM s JOIN o USING (conv_id) WHERE r >= h
+),
+p AS (
+  SELECT conv_id, pos + 1 AS d, length(text) AS chars,
+    md5(string_agg(md5(length(role) || ':' || role || text), ',') OVER (PARTITION BY conv_id ORDER BY pos)) AS id FROM u
+),
+e AS (SELECT conv_id, 0 AS d, 0 AS chars, 'root' AS id FROM c UNION ALL SELECT * FROM p),
+member AS (SELECT *, max(d) OVER (PARTITION BY conv_id) AS last FROM e),
+n AS (
+  SELECT d, id, min(conv_id) AS c, count(*) AS n, any_value(chars) AS chars,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (d = last), '')) AS ends FROM member GROUP BY d, id
+),
+child AS (SELECT m.id, count(*) AS k FROM n JOIN member m ON m.conv_id = n.c AND m.d = n.d - 1 GROUP BY m.id),
+v AS (SELECT n.*, coalesce(k, 0) AS k FROM n LEFT JOIN child USING (id)),
+sub AS (
+  SELECT m.id, sum((v.n - 1) * v.chars) AS saved, count(*) FILTER (v.k = 0) AS leaves FROM v JOIN member m ON m.conv_id = v.c AND m.d <= v.d GROUP BY m.id
+),
+up AS (SELECT v.id, q.c AS parent FROM v JOIN member m ON m.conv_id = v.c AND m.d = v.d - 1 JOIN v q ON q.id = m.id)
+SELECT c AS conv_id, d::BIGINT AS depth, parent AS parent_conv_id, n AS n_convs, k AS n_children, leaves AS n_leaves,
+  saved::BIGINT AS saved_tokens, ends AS ends_sha256
+FROM v JOIN sub USING (id) LEFT JOIN up USING (id)
+"""
