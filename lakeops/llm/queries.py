@@ -140,19 +140,19 @@ SELECT *, ('0x' || substr(md5('1:' || doc_id || ':' || mix_copy), 1, 13))::BIGIN
 
 
 def _line_sql(words: int = 20) -> str:
-    levels = max(0, (words - 1).bit_length())
+    # Every line of a run has a word, so a line in a later run of ``words`` words lies in one of ``words`` lines at most.
     steps = "".join(
-        f"""r{t + 1} AS (
-  SELECT * FROM (SELECT doc_id, n, words + lead(words, {1 << t}) OVER o AS words, md5(name || lead(name, {1 << t}) OVER o) AS name
-  FROM r{t} WINDOW o AS (PARTITION BY doc_id ORDER BY n)) WHERE name IS NOT NULL
+        f"""r{size} AS MATERIALIZED (
+  SELECT * FROM (SELECT doc_id, n, words1, name1, words + lead(words1, {size - 1}) OVER o AS words, md5(name || lead(name1, {size - 1}) OVER o) AS name
+  FROM r{size - 1} WINDOW o AS (PARTITION BY doc_id ORDER BY n))
 ),
 """
-        for t in range(levels)
+        for size in range(2, words + 1)
     )
     gone = " UNION ".join(
-        f"""SELECT doc_id, unnest(range(n, n + {1 << t})) AS n
-  FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY doc_id, n) AS place FROM r{t}) WHERE place > 1 AND words >= {words}"""
-        for t in range(levels + 1)
+        f"""SELECT doc_id, unnest(range(n, n + {size})) AS n
+  FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY doc_id, n) AS place FROM r{size} WHERE name IS NOT NULL) WHERE place > 1 AND words >= {words}"""
+        for size in range(1, words + 1)
     )
     return f"""
 WITH a AS (
@@ -160,7 +160,7 @@ WITH a AS (
 ),
 b AS (SELECT *, regexp_matches(line, '{_SPACED}') AS full_ FROM a),
 c AS (SELECT *, sum(full_::INT) OVER (PARTITION BY doc_id ORDER BY pos)::BIGINT - 1 AS n FROM b),
-r0 AS (SELECT doc_id, n, len(regexp_extract_all(line, '{_SPACED}')) AS words, md5(line) AS name FROM c WHERE full_),
+r1 AS MATERIALIZED (SELECT *, words1 AS words, name1 AS name FROM (SELECT doc_id, n, len(regexp_extract_all(line, '{_SPACED}')) AS words1, md5(line) AS name1 FROM c WHERE full_)),
 {steps}gone AS ({gone}),
 left_ AS (
   SELECT c.doc_id, string_agg(line, chr(10) ORDER BY pos) FILTER (gone.n IS NULL) AS text,

@@ -98,21 +98,29 @@ def quality(text):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), again, len(hit)
 
 
-def kept_lines(docs, words=20):
-    """[(doc_id, text)] in order of doc_id -> {doc_id: text}: runs of 1, 2, 4, ... lines seen earlier go."""
-    seen, gone = set(), defaultdict(set)
+def later_lines(docs, words=20):
+    """{doc_id: numbers of its lines with a word} that lie in a run of any number of lines seen earlier."""
     lines = {d: [x for x in (t or "").split("\n") if SPACED.search(x)] for d, t in docs}
-    size = 1
-    while size < 2 * words:
-        seen = set()
+    count = {d: [len(SPACED.findall(x)) for x in ls] for d, ls in lines.items()}
+    gone = defaultdict(set)
+    for size in range(1, max(map(len, lines.values()), default=0) + 1):
+        seen, again = set(), False
         for d in sorted(lines):
             for i in range(len(lines[d]) - size + 1):
                 run = tuple(lines[d][i : i + size])
-                if run in seen and sum(len(SPACED.findall(x)) for x in run) >= words:
-                    gone[d] |= set(range(i, i + size))
+                if run in seen:
+                    again = True
+                    if sum(count[d][i : i + size]) >= words:
+                        gone[d] |= set(range(i, i + size))
                 seen.add(run)
-        size *= 2
-    out = {}
+        if not again:
+            break
+    return gone
+
+
+def kept_lines(docs, words=20):
+    """[(doc_id, text)] in order of doc_id -> {doc_id: text} without the later lines."""
+    gone, out = later_lines(docs, words), {}
     for d, t in docs:
         if t is None:
             out[d] = None
@@ -165,20 +173,56 @@ def sha(parts):
 
 
 def kept_lines_of_all_runs(docs, words=20):
-    """[(doc_id, text)] -> {doc_id: lines with a word that stay}: runs of every length seen earlier go."""
-    lines = {d: [x for x in (t or "").split("\n") if SPACED.search(x)] for d, t in docs}
-    count = {d: [len(SPACED.findall(x)) for x in ls] for d, ls in lines.items()}
-    gone = defaultdict(set)
-    for size in range(1, max(map(len, lines.values()), default=0) + 1):
-        seen, again = set(), False
-        for d in sorted(lines):
-            for i in range(len(lines[d]) - size + 1):
-                run = tuple(lines[d][i : i + size])
-                if run in seen:
-                    again = True
-                    if sum(count[d][i : i + size]) >= words:
-                        gone[d] |= set(range(i, i + size))
-                seen.add(run)
-        if not again:
-            break
-    return {d: [x for i, x in enumerate(ls) if i not in gone[d]] for d, ls in lines.items()}
+    """{doc_id: lines with a word that stay}"""
+    gone = later_lines(docs, words)
+    return {d: [x for i, x in enumerate(x for x in (t or "").split("\n") if SPACED.search(x)) if i not in gone[d]] for d, t in docs}
+
+
+def trie(convs):
+    """{conv_id: [(role, text)]} -> {(conv_id, depth): (parent, n_convs, n_children, n_leaves, saved, ends)} of all prefixes."""
+    members, ends, children = defaultdict(set), defaultdict(list), defaultdict(set)
+    for c, turns in sorted(convs.items()):
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].add(c)
+            if d:
+                children[tuple(turns[: d - 1])].add(tuple(turns[:d]))
+        ends[tuple(turns)].append(str(c))
+    out = {}
+    for node, who in members.items():
+        below = [x for x in members if x[: len(node)] == node]
+        saved = sum((len(members[x]) - 1) * len(x[-1][1]) for x in below if x)
+        leaves = sum(1 for x in below if not children[x])
+        parent = min(members[node[:-1]]) if node else None
+        out[min(who), len(node)] = (parent, len(who), len(children[node]), leaves, saved, sha(ends[node]))
+    return out
+
+
+def clusters(vectors, k, rounds, seed="3"):
+    """[(vec_id, [whole numbers])] -> {vec_id: (cluster, distance)} and the centroids; every centroid is measured."""
+    centroids = [list(v) for _, _, v in sorted((hashlib.sha256(f"{seed}:{i}".encode()).hexdigest(), i, v) for i, v in vectors)[:k]]
+    for r in range(rounds + 1):
+        found = {i: min((sum((a - b) ** 2 for a, b in zip(v, c)), n) for n, c in enumerate(centroids)) for i, v in vectors}
+        if r < rounds:
+            for n in range(len(centroids)):
+                own = [v for i, v in vectors if found[i][1] == n]
+                if own:
+                    centroids[n] = [sum(x) // len(own) for x in zip(*own)]
+    return {i: (n, d) for i, (d, n) in found.items()}, centroids
+
+
+def interleaved(rows, shards, seed=1):
+    """[(doc_id, source)] -> {doc_id: (shard, slot)}"""
+    unit = lambda text: int(hashlib.md5(text.encode()).hexdigest()[:13], 16)
+    own = defaultdict(list)
+    for i, source in rows:
+        own[source].append((unit(f"{seed}:{i}"), i))
+    order = []
+    for source, found in own.items():
+        phase = (unit(f"{seed}:{source or ''}") + 0.5) / 2**52
+        order += [((r + phase) / len(found), source is not None, source or "", r, i) for r, (_, i) in enumerate(sorted(found))]
+    out, used = {}, Counter()
+    for n, row in enumerate(sorted(order)):
+        shard = n * shards // len(order)
+        out[row[-1]] = (shard, used[shard])
+        used[shard] += 1
+    return out
