@@ -28,4 +28,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> None:
     """Import the modules that register queries."""
-    from . import analytics, cleaning, increments, layers, quality, storage  # noqa: F401
+    from . import analytics, cleaning, increments, layers, quality, runs, storage  # noqa: F401

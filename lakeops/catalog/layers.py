@@ -595,7 +595,7 @@ def _facts(tables, label):
 def _(spark, sf):
     """The whole run: six cleaned and thirteen curated tables, month layout, quarantine."""
     tables = registry.run(
-        spark, B.raw_tables(spark, sf), scratch_path(spark, "all"), list(registry.TABLES), SETTINGS
+        spark, B.raw_tables(spark, sf), scratch_path(spark, "all"), list(_ROWS_OF), SETTINGS
     )
     return _facts(tables, "amount")
 
@@ -652,4 +652,4 @@ def _(spark, sf):
 def _(spark, sf):
     root, raw = scratch_path(spark, "counts"), B.raw_tables(spark, sf)
     registry.run(spark, raw, root, registry.layer_targets("silver"), SETTINGS)
-    return registry.run_counts(spark, raw, root)
+    return registry.run_counts(spark, root)

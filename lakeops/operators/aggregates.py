@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import mean, total
+from ..functions.numbers import mean, total, units
 
 
 def amount_stats(
@@ -38,6 +38,46 @@ def amount_stats(
     return df.groupBy(*keys).agg(*[shapes[s]().alias(name) for s, name in names.items()])
 
 
+def amount_partials(
+    df: DataFrame, keys: Sequence[str], amount: str, row_id: str, date: str, scale: int | None = None
+) -> DataFrame:
+    """Per key what any statistic of ``amount_stats`` can be put together from, however often merged.
+
+    Keyed by entity and month, the rows of a month can be thrown away and made again without looking at
+    other months; minima and maxima then follow as well, which no difference of old and new could give.
+    """
+    a = F.col(amount)
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(row_id).alias("ids"),
+        F.count(a).alias("amounts"),
+        F.sum(a if scale is None else units(a, scale)).alias("sum"),
+        F.min(a).alias("low"),
+        F.max(a).alias("high"),
+        F.min(date).alias("first"),
+        F.max(date).alias("last"),
+    )
+
+
+def merged_stats(
+    partials: DataFrame, keys: Sequence[str], names: Mapping[str, str], scale: int | None = None
+) -> DataFrame:
+    """The statistics of ``amount_stats`` from ``amount_partials``; ``rows`` is one more of them. With a
+    ``scale`` both give the same values bit for bit."""
+    whole = F.sum("sum") if scale is None else F.sum("sum") / F.lit(float(10**scale))
+    shapes = {
+        "total": whole,
+        "count": F.sum("ids"),
+        "mean": F.try_divide(whole, F.sum("amounts")),
+        "max": F.max("high"),
+        "min": F.min("low"),
+        "first": F.min("first"),
+        "last": F.max("last"),
+        "rows": F.sum("rows"),
+    }
+    return partials.groupBy(*keys).agg(*[shapes[s].alias(name) for s, name in names.items()])
+
+
 def amount_where(condition: Column, amount: Column, scale: int | None = None) -> Column:
     """Sum of the amount over rows where the condition is TRUE, 0 elsewhere."""
     return total(F.when(condition, amount).otherwise(F.lit(0.0)), scale)

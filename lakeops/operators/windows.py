@@ -24,8 +24,13 @@ def per_entity(
         .agg(F.count(F.lit(1)).alias("__rows"), *[m.alias(name) for name, m in metrics.items()])
         .filter("__rows > 0")
     )
-    hot = grouped.orderBy(F.desc("__rows"), *keys).limit(HOT_ROWS).drop("__rows")
-    return grouped.drop("__rows"), hot
+    return with_hot(grouped, keys, "__rows")
+
+
+def with_hot(grouped: DataFrame, keys: Sequence[str], rows: str) -> tuple[DataFrame, DataFrame]:
+    """Per-entity rows without their row count ``rows``, and those of the most frequent entities."""
+    hot = grouped.orderBy(F.desc(rows), *keys).limit(HOT_ROWS).drop(rows)
+    return grouped.drop(rows), hot
 
 
 def entity_metrics(

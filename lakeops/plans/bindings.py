@@ -35,8 +35,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def donations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").selectExpr(
+def donations(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    orders = orders if orders is not None else table(spark, sf_dir, "orders")
+    return orders.selectExpr(
         "o_orderkey AS id_donacion",
         "CASE WHEN o_orderkey % 10 <> 0 THEN o_custkey END AS id_donante",
         "CASE WHEN o_orderkey % 15 <> 0 THEN o_orderkey % 2000 END AS id_caso",
@@ -53,9 +54,10 @@ def donations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+def expenses(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """Line items; the key (order, line) repeats, which gives the deduplication real work."""
-    return table(spark, sf_dir, "lineitem").selectExpr(
+    lines = lines if lines is not None else table(spark, sf_dir, "lineitem")
+    return lines.selectExpr(
         "l_orderkey * 10 + l_linenumber AS id_gasto",
         "concat('gasto ', l_returnflag) AS nombre_gasto",
         "l_shipdate AS fecha_pago",

@@ -17,12 +17,12 @@ from ..functions.dates import AsOf, days_since, month_key, months_since, partiti
 from ..functions.numbers import log_amount, mean, ratio, ratio_or_zero, total
 from ..functions.text import lower_trim, pattern_category
 from ..operators import quality as dq
-from ..operators.aggregates import amount_stats, amount_where, monthly_rollup
+from ..operators.aggregates import amount_partials, amount_stats, amount_where, merged_stats, monthly_rollup
 from ..operators.calendar import date_range, with_calendar
 from ..operators.filters import in_status, positive_and_dated
 from ..operators.joins import calendar_join, lookup_join
 from ..operators.reconcile import stack
-from ..operators.windows import per_entity, running_total, trailing_total
+from ..operators.windows import per_entity, running_total, trailing_total, with_hot
 from . import rules as R
 
 CALENDAR_SPAN = (dt.date(2020, 1, 1), dt.date(2030, 12, 31))
@@ -120,13 +120,51 @@ def dim_homes(homes: DataFrame, cases: DataFrame) -> DataFrame:
 # Facts -----------------------------------------------------------------------------------
 
 
+Metrics = tuple[DataFrame, DataFrame]  # a row per entity, and those of the most frequent ones
+
+
+def completed(donations: DataFrame) -> DataFrame:
+    return donations.filter(in_status("estado", R.DONATION_DONE))
+
+
+def paid_expenses(expenses: DataFrame) -> DataFrame:
+    return expenses.filter(in_status("estado", R.EXPENSE_DONE))
+
+
+def donor_months(donations: DataFrame, scale: int | None = None) -> DataFrame:
+    """Mergeable statistics of completed donations by donor and month."""
+    return _by_month(completed(donations), "id_donante", "id_donacion", "fecha_donacion", scale)
+
+
+def supplier_months(expenses: DataFrame, scale: int | None = None) -> DataFrame:
+    return _by_month(paid_expenses(expenses), "id_proveedor", "id_gasto", "fecha_pago", scale)
+
+
+def case_months(expenses: DataFrame, scale: int | None = None) -> DataFrame:
+    return _by_month(paid_expenses(expenses), "id_caso", "id_gasto", "fecha_pago", scale)
+
+
+def _by_month(rows: DataFrame, key: str, row_id: str, date: str, scale: int | None) -> DataFrame:
+    months = rows.drop("y", "m").withColumns(_months(date))
+    return amount_partials(months, [key, "y", "m"], "monto", row_id, date, scale)
+
+
+def donor_last(months: DataFrame) -> Metrics:
+    """Latest completed donation of each donor, from its months."""
+    return with_hot(merged_stats(months, ["id_donante"], {"last": "__last", "rows": "__rows"}), ["id_donante"], "__rows")
+
+
 def fact_donations(
-    donations: DataFrame, as_of: AsOf = None, critical: float = R.DONATION_CRITICAL
+    donations: DataFrame,
+    as_of: AsOf = None,
+    critical: float = R.DONATION_CRITICAL,
+    last: Metrics | None = None,
 ) -> DataFrame:
-    """Completed donations with per-row and per-donor recency."""
+    """Completed donations with per-row and per-donor recency. ``last`` gives the donors' latest dates
+    where ``donations`` are not all of them."""
     date, amount = F.col("fecha_donacion"), F.col("monto")
-    done = donations.filter(in_status("estado", R.DONATION_DONE))
-    last, hot = per_entity(done, ["id_donante"], {"__last": F.max("fecha_donacion")})
+    done = completed(donations)
+    last, hot = last or per_entity(done, ["id_donante"], {"__last": F.max("fecha_donacion")})
     out = lookup_join(done, last, ["id_donante"], hot=hot, null_safe=True, salt=["id_donacion"])
     return out.select(
         "id_donacion",
@@ -147,8 +185,7 @@ def fact_donations(
 
 def fact_expenses(expenses: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Paid expenses."""
-    paid = expenses.filter(in_status("estado", R.EXPENSE_DONE))
-    return paid.select(
+    return paid_expenses(expenses).select(
         "id_gasto",
         "id_caso",
         "id_proveedor",
@@ -167,26 +204,41 @@ def fact_expenses(expenses: DataFrame, as_of: AsOf = None) -> DataFrame:
 # Features --------------------------------------------------------------------------------
 
 
+_DONOR_STATS = {
+    "total": "total_donado",
+    "count": "num_donaciones",
+    "mean": "promedio_donacion",
+    "first": "primera_donacion",
+    "last": "ultima_donacion",
+    "max": "monto_maximo",
+    "min": "monto_minimo",
+}
+_CASE_STATS = {
+    "total": "costo_total_caso",
+    "count": "num_gastos_caso",
+    "mean": "promedio_gasto_caso",
+    "max": "gasto_maximo_caso",
+}
+_SUPPLIER_STATS = {
+    "total": "total_gastado_proveedor",
+    "count": "num_transacciones",
+    "mean": "promedio_transaccion",
+    "last": "ultimo_pago_proveedor",
+}
+
+
+def _stats(rows: DataFrame, key: str, row_id: str, names: dict, date: str, scale: int | None) -> DataFrame:
+    """Statistics per entity, of fact rows or of their months."""
+    if row_id in rows.columns:
+        return amount_stats(rows, [key], "monto", row_id, names, date=date, scale=scale)
+    return merged_stats(rows, [key], names, scale)
+
+
 def feat_donors(
     dim: DataFrame, fact: DataFrame, as_of: AsOf = None, scale: int | None = None
 ) -> DataFrame:
-    stats = amount_stats(
-        fact,
-        ["id_donante"],
-        "monto",
-        "id_donacion",
-        {
-            "total": "total_donado",
-            "count": "num_donaciones",
-            "mean": "promedio_donacion",
-            "first": "primera_donacion",
-            "last": "ultima_donacion",
-            "max": "monto_maximo",
-            "min": "monto_minimo",
-        },
-        date="fecha_donacion",
-        scale=scale,
-    )
+    """``fact`` may also be the donors' months."""
+    stats = _stats(fact, "id_donante", "id_donacion", _DONOR_STATS, "fecha_donacion", scale)
     given = F.col("total_donado")
     return dim.join(stats, "id_donante", "left").withColumns(
         {
@@ -200,19 +252,8 @@ def feat_donors(
 
 
 def feat_cases(dim: DataFrame, fact: DataFrame, scale: int | None = None) -> DataFrame:
-    stats = amount_stats(
-        fact,
-        ["id_caso"],
-        "monto",
-        "id_gasto",
-        {
-            "total": "costo_total_caso",
-            "count": "num_gastos_caso",
-            "mean": "promedio_gasto_caso",
-            "max": "gasto_maximo_caso",
-        },
-        scale=scale,
-    )
+    """``fact`` may also be the cases' months."""
+    stats = _stats(fact, "id_caso", "id_gasto", _CASE_STATS, "fecha_pago", scale)
     cost = F.col("costo_total_caso")
     return dim.join(stats, "id_caso", "left").withColumns(
         {
@@ -226,20 +267,8 @@ def feat_cases(dim: DataFrame, fact: DataFrame, scale: int | None = None) -> Dat
 def feat_suppliers(
     suppliers: DataFrame, fact: DataFrame, scale: int | None = None, importance=R.SUPPLIER_IMPORTANCE
 ) -> DataFrame:
-    stats = amount_stats(
-        fact,
-        ["id_proveedor"],
-        "monto",
-        "id_gasto",
-        {
-            "total": "total_gastado_proveedor",
-            "count": "num_transacciones",
-            "mean": "promedio_transaccion",
-            "last": "ultimo_pago_proveedor",
-        },
-        date="fecha_pago",
-        scale=scale,
-    )
+    """``fact`` may also be the suppliers' months."""
+    stats = _stats(fact, "id_proveedor", "id_gasto", _SUPPLIER_STATS, "fecha_pago", scale)
     return suppliers.join(stats, "id_proveedor", "left").withColumn(
         "importancia_proveedor", bucket(F.col("total_gastado_proveedor"), *importance)
     )
@@ -258,17 +287,46 @@ def _with_attributes(metrics: tuple[DataFrame, DataFrame], lookup: DataFrame, ke
     return every.join(lookup, key, "left"), hot.join(lookup, key, "left")
 
 
+DONOR_ATTRIBUTES = ["donante", "correo", "ciudad", "pais", "canal_origen"]
+
+
+def donor_metrics(months: DataFrame, scale: int | None = None) -> Metrics:
+    names = {
+        "count": "frecuencia_donaciones",
+        "total": "monto_total_donado",
+        "mean": "promedio_donacion_donante",
+        "max": "monto_maximo_donante",
+        "min": "monto_minimo_donante",
+        "last": "__last",
+        "rows": "__rows",
+    }
+    return with_hot(merged_stats(months, ["id_donante"], names, scale), ["id_donante"], "__rows")
+
+
+def supplier_metrics(months: DataFrame, scale: int | None = None) -> Metrics:
+    names = {
+        "count": "frecuencia_gastos",
+        "total": "monto_total_gastado",
+        "max": "monto_maximo_gasto",
+        "min": "monto_minimo_gasto",
+        "rows": "__rows",
+    }
+    return with_hot(merged_stats(months, ["id_proveedor"], names, scale), ["id_proveedor"], "__rows")
+
+
 def dash_donations(
     fact: DataFrame,
     dim: DataFrame,
     as_of: AsOf = None,
     scale: int | None = None,
     size=R.DONATION_SIZE,
+    metrics: Metrics | None = None,
 ) -> DataFrame:
-    """Donations with donor attributes and the donor's recency, frequency and value."""
+    """Donations with donor attributes and the donor's recency, frequency and value. ``metrics``
+    (``donor_metrics``) stand in where ``fact`` does not hold all rows."""
     amount, date = F.col("monto"), F.col("fecha_donacion")
-    attributes = ["donante", "correo", "ciudad", "pais", "canal_origen"]
-    metrics = per_entity(
+    attributes = DONOR_ATTRIBUTES
+    metrics = metrics or per_entity(
         fact,
         ["id_donante"],
         {
@@ -306,8 +364,10 @@ def dash_expenses(
     as_of: AsOf = None,
     scale: int | None = None,
     amounts=R.EXPENSE_AMOUNT,
+    metrics: Metrics | None = None,
 ) -> DataFrame:
-    """Expenses with supplier and case attributes, supplier metrics and budget status."""
+    """Expenses with supplier and case attributes, supplier metrics and budget status. ``metrics``
+    (``supplier_metrics``) stand in where ``fact`` does not hold all rows."""
     amount, date = F.col("monto"), F.col("fecha_pago")
     of_supplier = dim_suppliers.select(
         "id_proveedor",
@@ -323,7 +383,7 @@ def dash_expenses(
         "presupuesto_estimado",
         "fecha_salida",
     )
-    metrics = per_entity(
+    metrics = metrics or per_entity(
         fact,
         ["id_proveedor"],
         {
@@ -369,12 +429,12 @@ def finance_rows(
     per-supplier metrics, so it does not wait for the dashboards. The month is a date here,
     which spares formatting and parsing a text per row.
     """
-    done = donations.filter(in_status("estado", R.DONATION_DONE)).select(
+    done = completed(donations).select(
         "id_donante",
         "monto",
         F.trunc("fecha_donacion", "month").alias("anio_mes"),
     )
-    paid = expenses.filter(in_status("estado", R.EXPENSE_DONE)).select(
+    paid = paid_expenses(expenses).select(
         "id_proveedor",
         "id_caso",
         "monto",
@@ -464,7 +524,17 @@ def dash_finance(donations: DataFrame, expenses: DataFrame, scale: int | None =
 
     The windows run over one row per month; everything heavy happens before them.
     """
-    months = side_totals(donations, expenses, scale)
+    return balanced(side_totals(donations, expenses, scale), scale)
+
+
+SIDE_TOTALS = [
+    "anio_mes", "total_donado", "total_gastado", "gastos_sobrepresupuesto",
+    "casos_activos_mes", "donantes_activos_mes", "proveedores_activos_mes",
+]
+
+
+def balanced(months: DataFrame, scale: int | None = None) -> DataFrame:
+    """The balances over one row of ``SIDE_TOTALS`` per month."""
     income, spend = F.col("total_donado"), F.col("total_gastado")
     out = months.withColumns(
         {

@@ -15,49 +15,87 @@ time is assumed. ``expire`` removes what only old manifests refer to.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import json
+import re
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.dedup import latest_by_key
 from ..session import scratch_path
-from ..sources.paths import read_if_present, remove
+from ..sources.paths import listed, remove
 from .writers import gathered
 
 _VERSION = "table_version"
-_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
-_MANIFEST = "partition string, version int, ddl string"
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+_MANIFEST = "partition string, version int, ddl string, counts string"
 KEPT_VERSIONS = 20
+NULL_KEYS = 10_000  # keys with a NULL in them that are ever broadcast
 
 
 @dataclass(frozen=True)
 class Manifest:
-    """State of a table: its newest version, schema, and the version of each partition."""
+    """State of a table: its newest version, schema, and the version of each partition; ``counts``
+    holds what was counted while the version was written."""
 
     number: int = 0
     ddl: str = ""
     where: dict[str, int] = field(default_factory=dict)
+    counts: dict[str, int] = field(default_factory=dict)
+
+    @property
+    def columns(self) -> dict[str, str]:
+        return {f.name: f.dataType.simpleString() for f in T.StructType.fromDDL(self.ddl).fields} if self.ddl else {}
+
+
+# Manifests never change once written, so each is read once per file.
+_known: dict[tuple[str, int], Manifest] = {}
+_KNOWN = 1024
 
 
 def _manifests(spark: SparkSession, root: str) -> list[int]:
     """Numbers of the manifests there are, at most a little over ``KEPT_VERSIONS``."""
-    history = read_if_present(spark, f"{root}/manifest", f"{_MANIFEST}, n int")
-    return [] if history is None else sorted(r[0] for r in history.select("n").distinct().collect())
+    return sorted(_files(spark, root))
+
+
+def _files(spark: SparkSession, root: str) -> dict[int, tuple[str, int]]:
+    found = listed(spark, root, "manifest/n=*/*.parquet")
+    return {int(re.search(r"/n=(\d+)/[^/]+$", path)[1]): (path, changed) for path, changed in found}
+
+
+def _manifest(spark: SparkSession, number: int, file: tuple[str, int]) -> Manifest:
+    if file not in _known:
+        if len(_known) >= _KNOWN:
+            _known.clear()
+        rows = spark.read.schema(_MANIFEST).parquet(file[0]).collect()
+        where = {r["partition"]: r["version"] for r in rows if r["partition"] is not None}
+        _known[file] = Manifest(number, rows[0]["ddl"], where, json.loads(rows[0]["counts"] or "{}"))
+    return _known[file]
 
 
-def _manifest(spark: SparkSession, root: str, number: int) -> Manifest:
-    rows = spark.read.schema(_MANIFEST).parquet(f"{root}/manifest/n={number}").collect()
-    where = {r["partition"]: r["version"] for r in rows if r["partition"] is not None}
-    return Manifest(number, rows[0]["ddl"], where)
+def manifest(spark: SparkSession, root: str, number: int | None = None) -> Manifest:
+    """The manifest of a version, by default the newest; an empty one (number 0) for a table that was
+    never written."""
+    if number == 0:
+        return Manifest()
+    files = _files(spark, root)
+    if number is None:
+        number = max(files, default=0)
+        if not number:
+            return Manifest()
+    if number not in files:
+        raise FileNotFoundError(f"version {number} of {root} is gone")
+    return _manifest(spark, number, files[number])
 
 
-def manifest(spark: SparkSession, root: str) -> Manifest:
-    """Newest manifest; an empty one for a table that was never written."""
-    numbers = _manifests(spark, root)
-    return _manifest(spark, root, numbers[-1]) if numbers else Manifest()
+def changed(old: Manifest, new: Manifest) -> set[str]:
+    """Partitions whose files differ between two states of a table."""
+    return {p for p in {*old.where, *new.where} if old.where.get(p) != new.where.get(p)}
 
 
 def _scan(spark: SparkSession, root: str, ddl: str, where: dict[str, int]) -> DataFrame:
@@ -72,12 +110,17 @@ def exists(spark: SparkSession, root: str) -> bool:
     return bool(_manifests(spark, root))
 
 
-def read_current(spark: SparkSession, root: str, below: str = "") -> DataFrame:
-    """The table as of its newest commit, or its partitions whose path starts with ``below``."""
-    state = manifest(spark, root)
+def read(spark: SparkSession, root: str, number: int | None = None, only: Callable[[str], bool] = lambda p: True) -> DataFrame:
+    """The table as of a version (the newest by default), or those of its partitions that ``only`` names."""
+    state = manifest(spark, root, number)
     if not state.number:
         raise FileNotFoundError(f"no committed rows at {root}")
-    return _scan(spark, root, state.ddl, {p: v for p, v in state.where.items() if p.startswith(below)})
+    return _scan(spark, root, state.ddl, {p: v for p, v in state.where.items() if only(p)})
+
+
+def read_current(spark: SparkSession, root: str, below: str = "") -> DataFrame:
+    """The table as of its newest commit, or its partitions whose path starts with ``below``."""
+    return read(spark, root, None, lambda p: p.startswith(below))
 
 
 def _path_of(columns: dict[str, Column]) -> Column:
@@ -85,7 +128,7 @@ def _path_of(columns: dict[str, Column]) -> Column:
     return F.concat_ws(
         "/",
         *[
-            F.concat(F.lit(f"{n}="), F.coalesce(c.cast("string"), F.lit(_NO_VALUE)))
+            F.concat(F.lit(f"{n}="), F.coalesce(c.cast("string"), F.lit(NO_VALUE)))
             for n, c in columns.items()
         ],
     )
@@ -119,8 +162,10 @@ def upsert(
     order: Sequence[str],
     partitions: dict[str, Column],
     tie_breakers: Sequence[str] | None = None,
+    base: int | None = None,
+    **commit_options,
 ) -> int:
-    """Merge a batch by key and return the table's version.
+    """Merge a batch by key and return the table's version; ``base`` and further options as in ``commit``.
 
     Partitions to rewrite are found by key, not only by the batch's own dates, so a row
     whose date moved to another month leaves no copy behind; partitions for which the batch has
@@ -132,9 +177,9 @@ def upsert(
     """
     names = list(partitions)
     batch = batch.drop(*names)
-    state = manifest(spark, root)
+    state = manifest(spark, root, base)
     if not state.where:
-        return commit(spark, root, latest_by_key(batch, keys, order, tie_breakers), partitions)
+        return commit(spark, root, latest_by_key(batch, keys, order, tie_breakers), partitions, base=base, **commit_options)
     copy = scratch_path(spark, "batch")  # read twice below
     batch.write.parquet(copy)
     batch = spark.read.schema(batch.schema).parquet(copy)
@@ -149,7 +194,66 @@ def upsert(
         old = _scan(spark, root, state.ddl, affected).drop(*names)
         rows = old.unionByName(into, allowMissingColumns=True)
     new = latest_by_key(rows, keys, order, tie_breakers)
-    return commit(spark, root, new, partitions, replaced=lambda p: p in touched)
+    return commit(spark, root, new, partitions, lambda p: p in touched, base, **commit_options)
+
+
+def _any_null(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+
+
+def of_keys(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is among the distinct keys ``known``, NULL keys included.
+
+    Rows with a NULL in the key never go through the shuffled join, where they would meet in one task:
+    their keys, few by nature, are looked up in a broadcast if there are fewer than ``NULL_KEYS``.
+    """
+    plain = rows.join(known, list(keys), "left_semi")
+    odd = known.filter(_any_null(keys)).limit(NULL_KEYS + 1).collect()
+    if not odd:
+        return plain
+    names = [f"__k_{k}" for k in keys]
+    side = known.filter(_any_null(keys)).select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    side = F.broadcast(side) if len(odd) <= NULL_KEYS else side
+    return plain.unionByName(rows.filter(_any_null(keys)).join(side, match, "left_semi"))
+
+
+def without_keys(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The other rows. For stored tables, which hold a key, also a NULL one, once."""
+    names = [f"__k_{k}" for k in keys]
+    side = known.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    return rows.join(side, match, "left_anti")
+
+
+def replace_keys(
+    spark: SparkSession,
+    root: str,
+    known: DataFrame,
+    rows: DataFrame,
+    keys: Sequence[str],
+    partitions: dict[str, Column],
+    base: int | None = None,
+    **commit_options,
+) -> int:
+    """Put ``rows`` in the place of all stored rows whose key is among ``known`` (distinct, stored).
+
+    Partitions that lose or gain a row are rewritten, wherever they are, and no others. Keys are looked
+    for in the key columns of the whole table; ``rows`` (stored as well) are read twice.
+    """
+    state = manifest(spark, root, base)
+    names = list(partitions)
+    rows = rows.drop(*names)
+    new = {r["p"] for r in rows.select(_path_of(partitions).alias("p")).distinct().collect()}  # months
+    if state.where:
+        old = _scan(spark, root, state.ddl, state.where)
+        held = of_keys(old.select(*keys, _partition_of_file().alias("p")), known, keys)
+        new |= {r["p"] for r in held.select("p").distinct().collect()}
+    touched = {p: v for p, v in state.where.items() if p in new}
+    if touched:
+        kept = without_keys(_scan(spark, root, state.ddl, touched), known, keys).drop(*names)
+        rows = kept.unionByName(rows, allowMissingColumns=True)
+    return commit(spark, root, rows, partitions, lambda p: p in new, base, **commit_options)
 
 
 def commit(
@@ -158,21 +262,34 @@ def commit(
     rows: DataFrame,
     partitions: dict[str, Column],
     replaced: Callable[[str], bool] = lambda p: True,
+    base: int | None = None,
+    counts: Mapping[str, Column | int] | None = None,
+    pinned: Collection[int] = (),
 ) -> int:
     """Write ``rows`` as a new version and switch readers over to it.
 
     Partitions that ``replaced`` names (all by default) come from ``rows`` alone, and are gone if
-    it has none of their rows; the others stay.
+    it has none of their rows; the others stay as they are in the version ``base`` (the newest by
+    default, 0 for none). ``counts`` are aggregates over the written rows, taken by the tasks that write
+    them, or numbers the caller has; they are kept in the manifest. Versions in ``pinned`` do not expire.
     """
-    state = manifest(spark, root)
-    version = state.number + 1
+    state = manifest(spark, root, base)
+    version = max(_manifests(spark, root), default=0) + 1
     target = f"{root}/data/table_version={version}"
     names = list(partitions)
-    out = rows.withColumns(partitions) if partitions else rows
-    gathered(out, names).write.mode("overwrite").partitionBy(*names).parquet(target)
+    out = gathered(rows.withColumns(partitions) if partitions else rows, names)
     ddl = out.schema.toDDL()
-    written = spark.read.schema(ddl).parquet(target).select(_partition_of_file().alias("p")).distinct()
-    present = {r["p"] for r in written.collect()}  # a name per partition
+    numbers = {n: c for n, c in (counts or {}).items() if isinstance(c, int)}
+    aggregates = [c.alias(n) for n, c in (counts or {}).items() if n not in numbers]
+    counted = Observation() if aggregates else None
+    if counted:
+        # After the exchange of ``gathered``, in the tasks that write: a task that is run again counts once.
+        out = out.observe(counted, *aggregates)
+    out.write.mode("overwrite").partitionBy(*names).parquet(target)
+    present = {""}
+    if names:
+        folders = [path for path, _ in listed(spark, target, "/".join(f"{n}=*" for n in names))]
+        present = {"/".join(path.rsplit("/", len(names))[1:]) for path in folders}  # a name per partition
     keep = {p: v for p, v in state.where.items() if not replaced(p) and p not in present}
     where = sorted({**keep, **{p: version for p in present}}.items()) or [(None, version)]
     entries = pa.table(
@@ -180,6 +297,7 @@ def commit(
             "partition": pa.array([p for p, _ in where], pa.string()),
             "version": pa.array([v for _, v in where], pa.int32()),
             "ddl": pa.array([ddl] * len(where), pa.string()),
+            "counts": pa.array([json.dumps(numbers | (counted.get if counted else {}))] * len(where), pa.string()),
         }
     )
     (
@@ -188,20 +306,23 @@ def commit(
         .write.mode("overwrite")
         .parquet(f"{root}/manifest/n={version}")
     )
-    expire(spark, root)
+    expire(spark, root, pinned=pinned)
     return version
 
 
-def expire(spark: SparkSession, root: str, kept: int = KEPT_VERSIONS) -> list[int]:
-    """Drop all but the newest manifests, then data versions that none of the rest lists."""
-    numbers = _manifests(spark, root)
-    old, rest = numbers[:-kept], numbers[-kept:]
+def expire(spark: SparkSession, root: str, kept: int = KEPT_VERSIONS, pinned: Collection[int] = ()) -> list[int]:
+    """Drop all but the newest and the pinned manifests, then data versions that none of the rest lists."""
+    files = _files(spark, root)
+    numbers = sorted(files)
+    rest = [n for n in numbers if n in numbers[-kept:] or n in pinned]
+    old = [n for n in numbers if n not in rest]
     if not old:
         return []
-    used = {v for n in rest for v in _manifest(spark, root, n).where.values()}
+    used = {v for n in rest for v in _manifest(spark, n, files[n]).where.values()}
     for n in old:
         remove(spark, f"{root}/manifest/n={n}")
-    dropped = [v for v in range(1, rest[0]) if v not in used]
+    stored = [int(path.rsplit("=", 1)[1]) for path, _ in listed(spark, root, f"data/{_VERSION}=*")]
+    dropped = [v for v in sorted(stored) if v < rest[-1] and v not in used and v not in rest]
     for v in dropped:
         remove(spark, f"{root}/data/table_version={v}")
     return dropped

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,3 +27,12 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever store Spark reaches; a missing one is fine."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def listed(spark: SparkSession, root: str, pattern: str) -> list[tuple[str, int]]:
+    """(path, change time) of what matches ``pattern`` below ``root``, asked of the file system itself:
+    no Spark job. For folders whose number is known to be small, such as months."""
+    escaped = re.sub(r"([\[\]{}*?\\])", r"\\\1", root)
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{escaped}/{pattern}")
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return sorted((f.getPath().toString(), f.getModificationTime()) for f in found or [])

@@ -272,5 +272,5 @@ def test_kept_table_keeps_its_types(spark, raw, tmp_path):
 
 
 def test_counts_of_a_run(spark, raw, tables):
-    got = by(registry.run_counts(spark, raw, tables["root"]), "table_name", "raw", "deduplicated", "valid", "rejected")
+    got = by(registry.run_counts(spark, tables["root"]), "table_name", "raw", "deduplicated", "valid", "rejected")
     assert got["silver.donaciones"] == (7, 6, 3, 3)
