@@ -26,7 +26,7 @@ _LATER = f"""later_orders AS (SELECT * REPLACE (
   later_lines AS (SELECT *, l_shipdate AS changed_at FROM lineitem UNION ALL
     SELECT * REPLACE (CASE WHEN l_orderkey % 4 = 0 THEN l_shipdate + INTERVAL 61 DAY ELSE l_shipdate END AS l_shipdate,
       CASE WHEN l_orderkey % 4 = 1 THEN l_extendedprice + 1 ELSE l_extendedprice END AS l_extendedprice),
-      TIMESTAMP '2001-06-01' FROM lineitem WHERE strftime(l_shipdate, '%Y-%m') = '{MONTH}' AND l_orderkey % 4 < 2)"""
+      TIMESTAMP '2003-01-01' FROM lineitem WHERE strftime(l_shipdate, '%Y-%m') = '{MONTH}' AND l_orderkey % 4 < 2)"""
 
 
 def _later(sql: str) -> str:
@@ -43,7 +43,7 @@ def _versions(spark, sf):
         dearer = F.when(F.col(key) % 4 == 1, F.col(amount) + 1).otherwise(F.col(amount))
         return rows.withColumns({day: moved, amount: dearer})
 
-    stamp = F.expr("TIMESTAMP_NTZ '2001-06-01 00:00:00'")
+    stamp = F.expr("TIMESTAMP_NTZ '2003-01-01 00:00:00'")
     first = {"donaciones": B.donations(spark, sf), "gastos": B.expenses(spark, sf)}
     new = {
         "donaciones": B.donations(spark, sf, later("orders", "o_orderkey", "o_orderdate", "o_totalprice")),

@@ -16,7 +16,7 @@ import datetime as dt
 import json
 import uuid
 from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 from graphlib import TopologicalSorter
 
@@ -280,14 +280,18 @@ def _path(root: str, table: Table) -> str:
 _VALID, _REJECTED = "rejected=false", "rejected=true"
 
 
-def _read(spark: SparkSession, root: str, name: str, version: int, months: set[str] | None = None) -> DataFrame:
-    """Rows of a version, of a cleaned table the valid ones; of some months or all."""
+def _read(spark: SparkSession, root: str, name: str, version: int) -> DataFrame:
+    """Rows of a version, of a cleaned table the valid ones."""
     table = TABLES[name]
-    head = f"{_VALID}/" if table.layer == "silver" else ""
-    wanted = None if months is None else {head + m for m in months}
-    only = lambda p: (p.startswith(_VALID) or not head) if wanted is None else p in wanted
-    rows = versioned.read(spark, _path(root, table), version, only)
-    return rows.drop(dq.ERRORS, "rejected") if head else rows
+    if table.layer != "silver":
+        return versioned.read(spark, _path(root, table), version)
+    return versioned.read(spark, _path(root, table), version, lambda p: p.startswith(_VALID)).drop(dq.ERRORS, "rejected")
+
+
+def _of_months(rows: DataFrame, months: set[str]) -> DataFrame:
+    """Rows of some partitions by month; a filter on partition columns alone, so no others are read."""
+    value = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(versioned.NO_VALUE))
+    return rows.filter(F.concat(F.lit("y="), value("y"), F.lit("/m="), value("m")).isin(sorted(months)))
 
 
 def read(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -318,12 +322,20 @@ class _Run:
         self.made = dict(self.base.settings)
         self.run_id = s.run_id or uuid.uuid4().hex
         self.settings = _fingerprint(s)
+        self.frames: dict[tuple[str, int], DataFrame] = {}
+
+    def _version(self, name: str, version: int, months: set[str] | None) -> DataFrame:
+        # Files of a version never change, so they are listed once in a run.
+        if (name, version) not in self.frames:
+            self.frames[name, version] = _read(self.spark, self.root, name, version)
+        rows = self.frames[name, version]
+        return rows if months is None else _of_months(rows, months)
 
     def read(self, name: str, months: set[str] | None = None) -> DataFrame:
-        return _read(self.spark, self.root, name, self.versions[name], months)
+        return self._version(name, self.versions[name], months)
 
     def _old(self, name: str, months: set[str] | None = None) -> DataFrame:
-        return _read(self.spark, self.root, name, self.base.tables[name], months)
+        return self._version(name, self.base.tables[name], months)
 
     def _changed(self, name: str) -> set[str]:
         path = _path(self.root, TABLES[name])
@@ -470,9 +482,22 @@ def run_counts(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, raw bigint, deduplicated bigint, valid bigint, rejected bigint")
 
 
-def _side_by_side(names: list[str], build: Callable[[str], None]) -> None:
-    with ThreadPoolExecutor(max_workers=len(names)) as pool:
-        list(pool.map(build, names))
+def _in_order(targets: list[str], build: Callable[[str], None], stored: bool = False) -> None:
+    """Build every table as soon as its inputs are there; tables that wait for nothing run side by side."""
+    sorter = TopologicalSorter(needed(targets, stored))
+    sorter.prepare()
+    running: dict[Future, str] = {}
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        while sorter.is_active():
+            for name in sorter.get_ready():
+                if name in TABLES:
+                    running[pool.submit(build, name)] = name
+                else:
+                    sorter.done(name)
+            for done in wait(running, return_when=FIRST_COMPLETED).done:
+                name = running.pop(done)
+                done.result()
+                sorter.done(name)
 
 
 def _all(spark: SparkSession, job: _Run, targets: list[str], clean: Callable[[Table], None]) -> dict[str, DataFrame]:
@@ -483,8 +508,7 @@ def _all(spark: SparkSession, job: _Run, targets: list[str], clean: Callable[[Ta
         else:
             job.curate(table, {n: job.read(n) for n in table.inputs})
 
-    for generation in generations(targets, stored=True):
-        _side_by_side(generation, build)
+    _in_order(targets, build, stored=True)
     job.publish()
     return {name: job.read(name) for name in targets}
 
@@ -553,6 +577,5 @@ def _report(
             df = spark.read.schema(df.schema).parquet(path)
         done[name] = df
 
-    for generation in generations(targets):
-        _side_by_side(generation, build)
+    _in_order(targets, build)
     return {name: done[name] for name in targets}
