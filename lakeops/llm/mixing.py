@@ -15,8 +15,9 @@ Columns called ``mix_copy`` or ``mix_key`` are replaced.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import math
 from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from .store import stored
 
 _UNIT = 1 << 52
 _SCALE = 1 << 20
+_PART_CHARS = 1 << 26
 
 
 @dataclass(frozen=True)
@@ -74,14 +76,21 @@ def _distributions(means: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """All copies in shuffled order, with ``mix_copy`` (1, 2, ...) and ``mix_key`` (their order)."""
-    table = stored(_distributions(rates(docs, mix)), "distributions").select(F.col("source").alias("__source"), "cdf")
+    spark = docs.sparkSession
+    means = rates(docs, mix)
+    table = stored(_distributions(means), "distributions").select(F.col("source").alias("of"), "cdf")
+    chars = means.agg(F.sum(F.col("chars") * F.col("rate"))).first()[0] or 0
     names = [c for c in docs.columns if c not in ("mix_copy", "mix_key")]
-    own = docs.select(*[F.col(f"`{c}`") for c in names])
-    own = own.join(table, own["source"].eqNullSafe(table["__source"]))
-    at = (_unit(F.lit(mix.seed), _name()).cast("double") + 0.5) / F.lit(float(_UNIT))
-    own = own.withColumn("__at", at)
-    copies = F.size(F.filter("cdf", lambda c: c < F.col("__at")))
-    own = own.withColumn("__n", copies).where("__n > 0").drop("cdf", "__at", "__source")
-    own = own.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("__n")))).drop("__n")
-    own = own.withColumn("mix_key", _unit(F.lit(mix.seed), _name(), F.col("mix_copy").cast("string")))
-    return own.orderBy("mix_key", "doc_id", "mix_copy")
+    # The row travels as one value, so no name of its own can meet one of these.
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"), F.col("source").alias("source"), _name().alias("name"))
+    own = own.join(table, own["source"].eqNullSafe(table["of"]))
+    at = (_unit(F.lit(mix.seed), F.col("name")).cast("double") + 0.5) / F.lit(float(_UNIT))
+    own = own.select("doc", "name", "cdf", at.alias("at"))
+    own = own.select("doc", "name", F.size(F.filter("cdf", lambda c: c < F.col("at"))).alias("n")).where("n > 0")
+    own = own.select("doc", "name", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("mix_copy"))
+    own = own.select("doc", "mix_copy", _unit(F.lit(mix.seed), F.col("name"), F.col("mix_copy").cast("string")).alias("mix_key"))
+    # Keys are uniform, so equal ranges of keys are equal shares of the rows: no sample is needed to sort.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(chars / _PART_CHARS))
+    share = (F.col("mix_key").cast("double") / F.lit(float(_UNIT)) * parts).cast("int")
+    dealt = own.repartitionById(parts, share).sortWithinPartitions("mix_key", "doc.doc_id", "mix_copy")
+    return dealt.select(*[F.col(f"doc.`{c}`").alias(c) for c in names], "mix_copy", "mix_key")
