@@ -208,6 +208,7 @@ def contamination(docs: DataFrame, items: DataFrame, rule: Rule = Rule()) -> Dat
 def drop_contaminated(docs: DataFrame, items: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """``docs`` without the rows that share a window with any item."""
     _, spans, _ = overlaps(docs, items, rule)
-    hit = spans.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    own = docs.withColumn("__text_hash", F.xxhash64("text"))
-    return own.join(hit, own["doc_id"].eqNullSafe(hit["__id"]) & (own["__text_hash"] == hit["__hash"]), "left_anti").drop("__text_hash")
+    hit = spans.select(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash")).distinct()
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.xxhash64("text").alias("text_hash"))
+    left = own.join(hit, F.col("doc.doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash")), "left_anti")
+    return left.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
