@@ -309,12 +309,15 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         "classes",
     )
     spread = classes.select("key", F.explode("bands").alias("band"))
-    shared = spread.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # Stored, like every one-row side below that many rows are joined to: the adaptive skew join splits a
+    # join of two plain shuffles only.
+    shared = stored(spread.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "bands")
     members = stored(spread.join(shared, "band"), "members")
 
     company = members.groupBy("key").agg(F.sum("size").alias("company"))
     ranked = members.join(company, "key")
     pivots = ranked.groupBy("band").agg(F.max(F.struct("company", "key")).alias("top")).select("band", F.col("top.key").alias("pivot"))
+    pivots = stored(pivots, "pivots")
     pairs = members.join(pivots, "band").where("key <> pivot").select("key", "pivot").distinct()
     bits = classes.select("key", "bits")
     pairs = (
@@ -380,10 +383,10 @@ def keep_one_per_group(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """
     found = near_duplicates(docs, rule)
     names = docs.columns
-    kept = found.where("kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("group").alias("__group")).distinct()
-    own = docs.withColumn("__text_hash", F.xxhash64("text"))
-    own = own.join(kept, own["doc_id"].cast("bigint").eqNullSafe(kept["__id"]) & (own["__text_hash"] == kept["__hash"]))
-    order = Window.partitionBy("__group").orderBy(F.col("__id"), F.col("__hash"), F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in names]))
-    alone = own.where(F.col("__group").isNull()).select(*names)
-    first = own.where(F.col("__group").isNotNull()).withColumn("__n", F.row_number().over(order)).where("__n = 1").select(*names)
-    return first.unionByName(alone)
+    kept = found.where("kept").select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "group").distinct()
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"), F.xxhash64("text").alias("text_hash"))
+    own = own.join(kept, F.col("doc.doc_id").cast("bigint").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")))
+    order = Window.partitionBy("group").orderBy("id", "hash", F.xxhash64(*[F.col(f"doc.`{c}`").cast("string") for c in names]))
+    alone = own.where(F.col("group").isNull()).select("doc")
+    first = own.where(F.col("group").isNotNull()).withColumn("n", F.row_number().over(order)).where("n = 1").select("doc")
+    return first.unionByName(alone).select(*[F.col(f"doc.`{c}`").alias(c) for c in names])
