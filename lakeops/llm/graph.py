@@ -22,8 +22,8 @@ def _state(edges: DataFrame) -> tuple:
 def components(edges: DataFrame) -> DataFrame:
     """Rows (node, root) for every node of ``edges`` (u, v): root is its component's least node.
 
-    Alternating large-star and small-star steps; each is a combined aggregate plus a join whose
-    hot side the adaptive skew join can split, and each result is stored. No edges: no rows.
+    Alternating large-star and small-star steps; each is a combined aggregate, stored, plus a join to it,
+    which the adaptive skew join can split since both sides are plain shuffles. No edges: no rows.
     """
     now = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = None
@@ -33,11 +33,11 @@ def components(edges: DataFrame) -> DataFrame:
             break
         before = state
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = stored(large.where("u <> v").distinct(), "large")
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
+        least = stored(down.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         now = stored(small, "edges")

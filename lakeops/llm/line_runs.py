@@ -14,8 +14,13 @@ the shortest run that ends with the line lies in the copy, or they do not, and t
 copy's start goes past the line. Which run is shortest follows from its lines, so copies agree on it. It has
 ``Rule.words`` lines at most, so log2(words) rounds are all there is to find.
 
-Names are 128 bits of hash. Counting and first places combine before the shuffle; rows of a frequent
-line are then joined to one row each, which adaptive execution splits.
+Names are 128 bits of hash. Counting and first places combine before the shuffle and are stored; rows of a
+frequent line are then joined to its one stored row, a join of two plain shuffles, which the adaptive skew
+join splits.
+
+The longest-common-prefix intervals of the method are the sets of equal names: all suffixes that share
+their first lines up to a length have one name at that length. Suffixes are never put in order; which copy is
+first is asked of places, not of ranks.
 
 Edge cases: null and empty texts have no lines and stay. Blank lines are never deleted and do not
 separate runs. Rows equal in ``doc_id`` and text count as one document and get the same text. Rows
@@ -75,9 +80,9 @@ def line_rows(docs: DataFrame, least: int) -> DataFrame:
 
 def _repeated(rows: DataFrame) -> DataFrame:
     """Rows whose name occurs at two places or more; ``later`` tells all but the first place."""
-    place = F.struct("k", "n")
+    place, rows = F.struct("k", "n"), stored(rows, "named")
     names = rows.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
-    return rows.join(names.select("a", "b", "first"), ["a", "b"]).withColumn("later", place != F.col("first")).drop("first")
+    return rows.join(stored(names.select("a", "b", "first"), "names"), ["a", "b"]).withColumn("later", place != F.col("first")).drop("first")
 
 
 def _between(now: DataFrame, size: int) -> DataFrame:
