@@ -4,7 +4,7 @@ Patterns for e-mail, IP, card and phone numbers give the base spans. Whole spans
 seeds: instances of identifiers, of any length and however they are spaced. Other instances are tokens with
 a digit or @ that touch no base span and have ``Rule.least_chars`` characters. The word before a token, or
 before the token that a span starts in, is its context; several spans in one token share its weight. Contexts
-and instances form a graph. Rounds go back and forth: a context's score is the summed confidence of the instances that
+and instances form a graph. Rounds go back and forth until one changes nothing: a context's score is the summed confidence of the instances that
 follow it, over all its occurrences before any word of the corpus; a context with ``Rule.support``
 distinct confident instances and a score of ``Rule.score`` or more is trusted, and gives its score
 to every identifier-like token (one with a digit or @) that follows it. Tokens whose confidence passes
@@ -28,6 +28,9 @@ from pyspark.sql import functions as F
 
 from .store import stored
 
+# Scores count in steps of this part, so that rounds come to an end by themselves.
+_STEPS = 1024
+
 KINDS = ("email", "ip", "card", "phone")
 
 # The base rules, in a form that Java's matcher runs without recursion or repeated scans:
@@ -47,17 +50,23 @@ _LEAD, _TRAIL = r"^[\"'(\[{<]+", r"[.,;:!?\"')\]}>|#*$%&]+$"
 
 @dataclass(frozen=True)
 class Rule:
-    rounds: int = 3
     support: int = 3
     score: float = 0.6
     least_chars: int = 5
 
 
+def _last_word(piece: Column) -> Column:
+    """The last word of a piece of any length; most often its last 200 characters show it whole."""
+    near = F.regexp_extract(F.right(piece, F.lit(200)), r"\s(\S++)\s*+$", 1)
+    blank = F.translate(piece, "\t\n\x0b\f\r", "     ")
+    return F.when(near != "", near).otherwise(F.substring_index(F.rtrim(blank), " ", -1))
+
+
 def _matches(rows: DataFrame, pattern: str, found: Column) -> DataFrame:
     """Rows (id, h, i, gap, before, match) of ``rows`` (id, h, text) where ``found`` holds: the i-th
     match, the length of the piece before it and that piece's last word."""
     pairs = F.arrays_zip(
-        F.transform(F.split("text", pattern, -1), lambda p: F.struct(F.length(p).alias("n"), F.regexp_extract(F.right(p, F.lit(200)), r"(\S+)\s*$", 1).alias("word"))).alias("piece"),
+        F.transform(F.split("text", pattern, -1), lambda p: F.struct(F.length(p).alias("n"), _last_word(p).alias("word"))).alias("piece"),
         F.regexp_extract_all("text", F.lit(pattern), 0).alias("match"),
     )
     out = rows.where(found).select("id", "h", F.posexplode(pairs).alias("i", "x"))
@@ -131,43 +140,69 @@ def _tokens(docs: DataFrame) -> DataFrame:
     )
 
 
-def _same(left: DataFrame, right: DataFrame) -> Column:
-    return left["id"].eqNullSafe(right["id"]) & (left["h"] == right["h"])
+def _state(trust: DataFrame) -> tuple:
+    """Number of instances and sum of their confidence in whole steps; neither ever falls."""
+    return tuple(trust.agg(F.count(F.lit(1)), F.sum(F.round(F.col("trust") * _STEPS).cast("bigint"))).first())
+
+
+def _seeded(tokens: DataFrame, base: DataFrame) -> DataFrame:
+    """``tokens`` with ``base``, whether a base span touches them, and ``seeds``, the spans that start in them.
+
+    Both are sorted by place within their document and looked at once: the farthest end of the spans so
+    far and the next span tell whether one touches, the token before tells where a span starts.
+    """
+    places = tokens.withColumns({"span": F.lit(False), "kind": F.lit(None).cast("int")}).unionByName(
+        base.select("id", "h", "start", "end", F.lit(None).cast("string").alias("context"), "value", F.lit(True).alias("span"), "kind")
+    )
+    own = Window.partitionBy("id", "h")
+    ahead = own.orderBy(F.col("start"), F.col("span").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    behind = own.orderBy(F.col("start").desc(), F.col("span")).rowsBetween(Window.unboundedPreceding, 0)
+    inside = own.orderBy(F.col("start"), F.col("span")).rowsBetween(Window.unboundedPreceding, 0)
+    a_span = F.col("span")
+    places = places.withColumns(
+        {
+            "reached": F.max(F.when(a_span, F.col("end"))).over(ahead),
+            "next": F.last(F.when(a_span, F.col("start")), True).over(behind),
+            "token": F.last(F.when(~a_span, F.struct("start", "end")), True).over(inside),
+        }
+    )
+    seeds = places.where(a_span & (F.col("token.end") > F.col("start")))
+    seeds = seeds.groupBy("id", "h", F.col("token.start").alias("start")).agg(F.collect_set(F.struct("kind", "value")).alias("seeds"))
+    seeds = seeds.select(F.col("id").alias("s_id"), F.col("h").alias("s_h"), F.col("start").alias("s_start"), "seeds")
+    touched = F.coalesce(F.col("reached") > F.col("start"), F.lit(False)) | F.coalesce(F.col("next") < F.col("end"), F.lit(False))
+    out = places.where(~a_span).select("id", "h", "start", "end", "context", "value", touched.alias("base"))
+    found = out.join(seeds, out["id"].eqNullSafe(F.col("s_id")) & (out["h"] == F.col("s_h")) & (out["start"] == F.col("s_start")), "left")
+    return found.select("id", "h", "start", "end", "context", "value", F.coalesce("seeds", F.array().cast("array<struct<kind:int,value:string>>")).alias("seeds"), "base")
 
 
 def found_spans(docs: DataFrame, base: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """Rows (id, h, kind, start, end) that trusted contexts add to ``base``."""
-    tokens = stored(_tokens(docs), "tokens")
-    touch = tokens.join(base, _same(tokens, base) & (tokens["start"] < base["end"]) & (base["start"] < tokens["end"]))
-    starts_here = (base["start"] >= tokens["start"]) & (base["start"] < tokens["end"])
-    touched = touch.groupBy(tokens["id"], tokens["h"], tokens["start"]).agg(F.collect_set(F.when(starts_here, F.struct(base["kind"], base["value"]))).alias("seeds"))
-    touched = touched.select(F.col("id").alias("t_id"), F.col("h").alias("t_h"), F.col("start").alias("t_start"), "seeds", F.lit(True).alias("base"))
-    tokens = tokens.join(
-        touched, tokens["id"].eqNullSafe(F.col("t_id")) & (tokens["h"] == F.col("t_h")) & (tokens["start"] == F.col("t_start")), "left"
-    ).select("id", "h", tokens["start"], "end", "context", tokens["value"], "seeds", F.coalesce("base", F.lit(False)).alias("base"))
-    tokens = stored(tokens, "instances")
+    tokens = stored(_seeded(stored(_tokens(docs), "tokens"), base), "instances")
 
     # The graph, and how often each context stands before any word at all.
     seeds = tokens.where("base").select("context", (1 / F.size("seeds")).alias("n"), F.explode("seeds").alias("seed"))
     seeds = seeds.select("context", "seed.value", "seed.kind", "n")
     others = tokens.where(~F.col("base") & (F.length("value") >= rule.least_chars)).select("context", "value", F.lit(1.0).alias("n"))
     edges = seeds.drop("kind").unionByName(others).where(F.col("context") != "").groupBy("context", "value").agg(F.sum("n").alias("n"))
+    edges = stored(edges, "all-edges")
     wide = edges.groupBy("context").agg(F.count(F.lit(1)).alias("values")).where(F.col("values") >= rule.support).select("context")
-    edges = stored(edges.join(wide, "context"), "edges")
+    edges = stored(edges.join(stored(wide, "wide"), "context"), "edges")
     words = _keyed(docs).select(F.explode(F.split(F.lower("text"), r"[ \t\n\x0B\f\r]+")).alias("context"))
     totals = words.groupBy("context").agg(F.count(F.lit(1)).alias("total")).join(edges.select("context").distinct(), "context")
     totals = stored(totals, "totals")
 
     trust = stored(seeds.groupBy("value").agg(F.min("kind").alias("kind"), F.lit(1.0).alias("trust")), "trust")
-    for _ in range(rule.rounds):
+    state = None
+    while state != (state := _state(trust)):
         known = edges.join(trust, "value")
         by_kind = known.groupBy("context", "kind").agg(F.sum(F.col("n") * F.col("trust")).alias("mass"), F.count(F.lit(1)).alias("values"))
         contexts = by_kind.groupBy("context").agg(
             F.sum("mass").alias("mass"), F.sum("values").alias("values"), F.max(F.struct("mass", (-F.col("kind")).alias("kind"))).alias("top")
         )
         contexts = contexts.join(totals, "context").where(F.col("values") >= rule.support)
-        contexts = contexts.select("context", F.least(F.lit(1.0), F.col("mass") / F.col("total")).alias("score"), (-F.col("top.kind")).alias("lead"))
-        contexts = contexts.where(F.col("score") >= rule.score)
+        score = F.floor(F.least(F.lit(1.0), F.col("mass") / F.col("total")) * _STEPS) / _STEPS
+        contexts = contexts.select("context", score.alias("score"), (-F.col("top.kind")).alias("lead"))
+        contexts = stored(contexts.where(F.col("score") >= rule.score), "contexts")
         reached = edges.join(contexts, "context").groupBy("value").agg(F.max(F.struct("score", (-F.col("lead")).alias("lead"))).alias("best"))
         reached = reached.select("value", F.col("best.score").alias("trust"), (-F.col("best.lead")).alias("kind"))
         seen = trust.select("value", F.col("trust").alias("old"), F.col("kind").alias("old_kind"))
