@@ -24,6 +24,7 @@ import bisect
 import gzip
 import hashlib
 import json
+import math
 import re
 import struct
 import uuid
@@ -34,6 +35,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import HOT_ROWS, lookup_join
 from .store import stored
 
 BLOCK = 256
@@ -129,8 +131,11 @@ def write_archives(pages: DataFrame, root: str, least_bytes: int = 0, date: str
     own = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     own = own.withColumn("sha", F.sha1("html"))
     place = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "url")
-    groups = own.groupBy("sha").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
-    rows = own.join(groups.select("sha", "first"), "sha", "left").select(
+    groups = own.select("sha", "page_id", "url").groupBy("sha").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count(F.lit(1)).alias("n"))
+    groups = stored(groups.where("first <> last"), "repeated")
+    # Pages of the most frequent payloads find their group in a broadcast of those few and go anywhere.
+    hot = groups.orderBy(F.desc("n"), "sha").limit(HOT_ROWS).select("sha", "first")
+    rows = lookup_join(own, groups.select("sha", "first"), ["sha"], hot=hot, salt=["page_id", "url"]).select(
         "page_id",
         "url",
         "html",
@@ -295,8 +300,12 @@ def read_captures(captures: DataFrame, root: str, payloads: bool = False) -> Dat
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
 
-    # Ranges of one file are read in order; slices of 16 MB let a large file be shared.
-    dealt = captures.repartition("file", F.shiftright("start", 24)).sortWithinPartitions("file", "start")
+    # Ranges of one file are read in order; slices of 16 MB let a large file be shared. The rows are small, the
+    # work is in the files: the number of tasks comes from their bytes.
+    captures = stored(captures, "wanted")
+    size = captures.agg(F.sum("length")).first()[0] or 0
+    parts = max(int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / (1 << 26)))
+    dealt = captures.repartition(parts, "file", F.shiftright("start", 24)).sortWithinPartitions("file", "start")
     return dealt.select("key", "file", "start", "length").mapInArrow(task, schema)
 
 
