@@ -168,6 +168,70 @@ def base_spans(text):
     return out
 
 
+_FULL = r"[^ \t\n\x0b\f\r]"
+
+
+def _instances(text):
+    """(start, end, context, value, touches a base span, base spans that start in it) of identifier-like tokens."""
+    kinds = list(_PII)
+    base = []
+    for span in base_spans(text):
+        kind, a, b = span.split(":")
+        match = text[int(a) : int(b)]
+        digits = re.sub("[^0-9]", "", match)
+        value = {"email": match.lower(), "ip": match, "card": digits, "phone": "+" + digits}[kind]
+        base.append((int(a), int(b), kinds.index(kind), value))
+    out, last, before = [], 0, ""
+    for m in re.finditer(rf"(?<!{_FULL}){_FULL}*[0-9@]{_FULL}*", text):
+        words = re.findall(f"{_FULL}+", text[last : m.start()])
+        lead = len(re.match(r"[\"'(\[{<]*", m[0])[0])
+        body = re.sub(r"[.,;:!?\"')\]}>|#*$%&]+$", "", m[0][lead:])
+        a, b = m.start() + lead, m.start() + lead + len(body)
+        touch = any(x < b and a < y for x, y, _, _ in base)
+        out.append((a, b, (words[-1] if words else before).lower(), body.lower(), touch, {(k, v) for x, y, k, v in base if a <= x < b}))
+        last, before = m.end(), m[0]
+    return out
+
+
+def personal(docs, support=3, score=0.6, least=5):
+    """[(doc_id, text)] -> {doc_id: ["kind:start:end"]}: base spans, and what trusted contexts lead to."""
+    edges, trust, total = defaultdict(lambda: defaultdict(float)), {}, Counter()
+    tokens = {d: _instances(t or "") for d, t in docs}
+    for d, t in docs:
+        total.update(re.split(r"[ \t\n\x0b\f\r]+", (t or "").lower()))
+        for _, _, context, value, touch, seeds in tokens[d]:
+            for kind, seed in seeds:
+                edges[context][seed] += 1 / len(seeds)
+                trust[seed] = (1.0, min(kind, trust.get(seed, (0, 9))[1]))
+            if not touch and len(value) >= least:
+                edges[context][value] += 1.0
+    edges = {c: vs for c, vs in edges.items() if c and len(vs) >= support}
+    while True:
+        best = {}
+        for c, vs in edges.items():
+            mass, n = Counter(), 0
+            for v, times in vs.items():
+                if v in trust:
+                    mass[trust[v][1]] += times * trust[v][0]
+                    n += 1
+            s = int(min(1.0, sum(mass.values()) / total[c]) * 1024) / 1024
+            if n >= support and s >= score:
+                lead = max((m, -k) for k, m in mass.items())[1]
+                for v in vs:
+                    best[v] = max(best.get(v, (0, 0)), (s, lead))
+        new = {v: (max(s, trust[v][0]), trust[v][1]) if v in trust else (s, -k) for v, (s, k) in best.items()}
+        if all(trust.get(v) == x for v, x in new.items()):
+            break
+        trust |= new
+    out = {}
+    for d, t in docs:
+        kinds = list(_PII)
+        spans = [(kinds.index(k), int(a), int(b)) for k, a, b in (s.split(":") for s in base_spans(t))]
+        spans += [(trust[v][1], a, b) for a, b, _, v, touch, _ in tokens[d] if not touch and len(v) >= least and trust.get(v, (0,))[0] >= score]
+        out[d] = [f"{kinds[k]}:{a}:{b}" for k, a, b in sorted(spans)]
+    return out
+
+
 def sha(parts):
     return hashlib.sha256(",".join(parts).encode()).hexdigest()
 

@@ -404,6 +404,30 @@ def test_contexts_lead_to_unseen_identifiers(spark):
     assert got[9] == ("", 0)
 
 
+def bootstrap_rows():
+    rng = random.Random(11)
+    base = [f"u{i}@mail.org" for i in range(12)] + ["10.0.0.7", "+1 (017) 555-7713", "4111 1111 1111 1111"]
+    rows = []
+    for hop in range(7):  # values of one hop stand after its context and after the next one's
+        own = [f"id-{hop}-{i}xx" for i in range(4)]
+        seen = base[:6] if hop == 0 else [f"id-{hop - 1}-{i}xx" for i in range(4)]
+        rows += [f"Ctx{hop}: {v} end" for v in seen * 30] + [f"say ctx{hop}: ({v})." for v in own]
+    rows += [f"{rng.choice(['mail', 'ref', 'the', 'ctx3:'])} {rng.choice(base + ['12345', 'no1', 'abc', 'x@'])} {rng.choice(base)}" for _ in range(150)]
+    rows += ["ctx0:" + " " * 500 + "id-0-0xx", "w" * 300 + "7 " + "long" * 100 + " id-9-9xx", "id-0-1xx", "", None, "ctx0: " + "\t\n" * 150 + "Id-0-2xx,"]
+    rows.append(" ".join(f"ctx0: a{i}@b.org,c{i}@d.org" for i in range(600)))  # many spans in one text
+    return rows
+
+
+def test_bootstrap_equals_brute_force(spark):
+    rows = list(enumerate(bootstrap_rows()))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute.personal(rows)
+    got = by_id(pii.digest(pii.personal_data(docs)), "spans")
+    assert {d: s for d, (s,) in got.items()} == {d: ",".join(s) for d, s in want.items()}
+    hops = {v for v in range(7) if any(s for d, s in want.items() if rows[d][1] == f"say ctx{v}: (id-{v}-0xx).")}
+    assert hops >= {0, 1, 2, 3, 4}  # farther than three hops from a seed
+
+
 @pytest.mark.parametrize("kind", ["phone", "card"])
 def test_spaced_numbers_are_seeds(spark, kind):
     numbers = {
@@ -420,3 +444,49 @@ def test_personal_data_of_awkward_tables(awkward, empty):
     assert pii.personal_data(empty).count() == 0
     got = pii.digest(pii.personal_data(awkward)).collect()
     assert len(got) == 8 and {r["base_sha256"] for r in got} == {brute.sha([])}
+
+
+# all -------------------------------------------------------------------------------------
+
+
+def test_columns_named_like_inner_ones(spark, texts, items):
+    names = ["__id", "__hash", "__group", "__n", "__text_hash", "__at", "__source", "cdf", "doc", "name", "id", "hash", "group", "n", "hit_id", "of", "at", "source"]
+    rows = [(i, t, *[f"v{k}" for k in range(len(names))]) for i, t in texts[:60]]
+    docs = spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", *[f"`{n}` string" for n in names]]))
+    values = {r["doc_id"]: tuple(r) for r in docs.collect()}
+    for out in (minhash.keep_one_per_group(docs), decontaminate.drop_contaminated(docs, items), mixing.mixed(docs, mixing.Mix(size=3.0))):
+        got = out.collect()
+        assert len(got) > 20 and out.columns[: len(docs.columns)] == docs.columns
+        assert all(tuple(r)[: len(docs.columns)] == values[r["doc_id"]] for r in got)
+    lines = line_runs.drop_repeated_lines(docs)
+    assert lines.columns == docs.columns and all(tuple(r)[2:] == values[r["doc_id"]][2:] for r in lines.collect())
+
+
+def test_joins_of_hot_rows_are_split(spark):
+    """A frequent line and a node with very many links: the join of their rows is split by size."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16",
+        "spark.sql.files.maxPartitionBytes": "64k",
+        "spark.sql.files.openCostInBytes": "1k",
+    }
+    old = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        place = F.struct(F.col("id").alias("id"), F.lit(0).cast("long").alias("h"))
+        a = F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).cast("long")
+        rows = spark.range(60_000, numPartitions=12).select(place.alias("k"), F.lit(0).alias("n"), a.alias("a"), a.alias("b"))
+        joined = line_runs._repeated(rows)
+        joined.write.format("noop").mode("overwrite").save()
+        hot = joined._jdf.queryExecution()
+        joined.collect()
+        assert "skew=true" in hot.executedPlan().toString() or "isSkewJoin=true" in hot.executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
