@@ -12,8 +12,10 @@ from ..operators import aggregates as A
 from ..operators import joins as J
 from ..operators import windows as Wn
 from ..operators.calendar import calendar_span, with_calendar
+from ..operators.reconcile import stack
 from ..plans import bindings as B
 from ..plans import gold as G
+from ..session import scratch_path
 from . import query
 
 def _sum(col):
@@ -195,6 +197,24 @@ def _(spark, sf):
     )
 
 
+@query(
+    "agg_distinct_bitmaps",
+    """SELECT 'month' AS span, CAST(date_trunc('month', l_shipdate) AS DATE) AS first_day, count(DISTINCT l_partkey) AS parts,
+         count(DISTINCT l_suppkey) AS suppliers, count(DISTINCT l_orderkey) AS orders FROM lineitem GROUP BY 2
+       UNION ALL SELECT 'year', CAST(date_trunc('year', l_shipdate) AS DATE), count(DISTINCT l_partkey),
+         count(DISTINCT l_suppkey), count(DISTINCT l_orderkey) FROM lineitem GROUP BY 2""",
+)
+def _(spark, sf):
+    """Exact distinct counts by month, and by year from the same bitmaps, which are stored in between."""
+    names = {"l_partkey": "parts", "l_suppkey": "suppliers", "l_orderkey": "orders"}
+    rows = _lines(spark, sf).withColumn("month", F.to_date(F.date_trunc("month", "l_shipdate")))
+    path = scratch_path(spark, "bitmaps")
+    A.distinct_bitmaps(rows, ["month"], list(names)).write.parquet(path)
+    kept = spark.read.parquet(path)
+    spans = [("month", kept), ("year", kept.withColumn("month", F.to_date(F.date_trunc("year", "month"))))]
+    return stack([A.bitmap_counts(df, ["month"], names).select(F.lit(s).alias("span"), F.col("month").alias("first_day"), *names.values()) for s, df in spans])
+
+
 @query(
     "agg_monthly",
     f"""SELECT CAST(year(o_orderdate) AS INTEGER) AS anio, CAST(month(o_orderdate) AS INTEGER) AS mes,

@@ -101,6 +101,23 @@ def _(spark, sf):
     )
 
 
+@query(
+    "inc_stream_bounded",
+    """SELECT o_orderkey, o_totalprice, o_orderdate FROM orders""",
+)
+def _(spark, sf):
+    """All orders, written as eight files, streamed two files a batch; every batch commits with its number."""
+    root = scratch_path(spark, "bounded")
+    orders = B.table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    orders.repartition(8, "o_orderkey").write.parquet(f"{root}/files")
+    source = incremental.stream_files(spark, f"{root}/files", orders.schema, files_per_batch=2)
+    incremental.stream_upserts(
+        spark, source, f"{root}/table", f"{root}/checkpoint", ["o_orderkey"], ["o_orderdate"],
+        {"y": F.year("o_orderdate")},
+    )
+    return versioned.read_current(spark, f"{root}/table").select("o_orderkey", "o_totalprice", "o_orderdate")
+
+
 def _clean(df, as_of):
     return S.donations(df, as_of, first_day=dt.date(1990, 1, 1))
 

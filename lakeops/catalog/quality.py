@@ -12,6 +12,7 @@ from ..operators import reconcile as RC
 from ..plans import bindings as B
 from ..plans import rules as R
 from ..session import scratch_path
+from ..sinks import versioned
 from ..sinks import writers as W
 from . import query
 
@@ -287,3 +288,23 @@ def _(spark, sf):
 @query("dq_change_span", "SELECT min(ts) AS min_change, max(ts) AS max_change FROM events")
 def _(spark, sf):
     return RC.change_span(B.table(spark, sf, "events"), "ts")
+
+
+@query(
+    "dq_content_differences",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 29 = 0 THEN 'lost' ELSE 'changed' END AS status FROM orders
+       WHERE year(o_orderdate) = 1997 AND (o_orderkey % 29 = 0 OR o_orderkey % 31 = 0)
+       UNION ALL SELECT -o_orderkey, 'added' FROM orders WHERE year(o_orderdate) = 1998 AND o_orderkey % 997 = 0""",
+)
+def _(spark, sf):
+    """Two stored layers compared by content: rows that one lacks, and rows whose values differ."""
+    root = scratch_path(spark, "layers")
+    rows = B.table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderdate")
+    y = F.year("o_orderdate")
+    changed = F.when((y == 1997) & (F.col("o_orderkey") % 31 == 0), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    other = rows.filter(~((y == 1997) & (F.col("o_orderkey") % 29 == 0))).withColumn("o_totalprice", changed)
+    extra = rows.filter((y == 1998) & (F.col("o_orderkey") % 997 == 0)).withColumn("o_orderkey", -F.col("o_orderkey"))
+    for name, df in (("a", rows), ("b", other.unionByName(extra))):
+        versioned.commit(spark, f"{root}/{name}", df, {"y": y, "m": F.month("o_orderdate")})
+    sides = [versioned.read_current(spark, f"{root}/{n}") for n in ("a", "b")]
+    return RC.content_differences(*sides, ["o_orderkey"], ["y", "m"])[0]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,6 +79,31 @@ def merged_stats(
     return partials.groupBy(*keys).agg(*[shapes[s].alias(name) for s, name in names.items()])
 
 
+def distinct_bitmaps(df: DataFrame, by: Sequence[str], ids: Sequence[str]) -> DataFrame:
+    """(by..., id_name, bucket, bits): which ids occur in each group, as bitmaps of 32,768 ids each (AGG-6).
+
+    Bitmaps of finer groups merge into those of coarser ones (``bitmap_counts``), so months kept this way give
+    exact distinct counts of any longer time without their rows. Each id column is combined on the map side
+    by itself; rows are not copied per column. For whole-number ids that lie close together: every
+    bucket that is used takes 4 KB, so ids drawn at random from 64 bits belong in ``count_distinct``.
+    """
+    parts = [
+        df.filter(F.col(c).isNotNull())
+        .groupBy(*by, F.lit(c).alias("id_name"), F.bitmap_bucket_number(c).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(c)).alias("bits"))
+        for c in ids
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def bitmap_counts(bitmaps: DataFrame, by: Sequence[str], names: Mapping[str, str]) -> DataFrame:
+    """Exact distinct counts per group from ``distinct_bitmaps`` of the same or finer groups; ``names`` maps
+    id columns to the names of their counts."""
+    merged = bitmaps.groupBy(*by, "id_name", "bucket").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("n"))
+    count = lambda c: F.coalesce(F.sum(F.when(F.col("id_name") == c, F.col("n"))), F.lit(0)).cast("long")
+    return merged.groupBy(*by).agg(*[count(c).alias(name) for c, name in names.items()])
+
+
 def amount_where(condition: Column, amount: Column, scale: int | None = None) -> Column:
     """Sum of the amount over rows where the condition is TRUE, 0 elsewhere."""
     return total(F.when(condition, amount).otherwise(F.lit(0.0)), scale)

@@ -33,7 +33,8 @@ from .writers import gathered
 
 _VERSION = "table_version"
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
-_MANIFEST = "partition string, version int, ddl string, counts string"
+_MANIFEST = "partition string, version int, ddl string, counts string, key string, low bigint, high bigint"
+_SHARES = 1024  # parts of a batch's key range that are looked at one by one
 KEPT_VERSIONS = 20
 NULL_KEYS = 10_000  # keys with a NULL in them that are ever broadcast
 
@@ -41,12 +42,15 @@ NULL_KEYS = 10_000  # keys with a NULL in them that are ever broadcast
 @dataclass(frozen=True)
 class Manifest:
     """State of a table: its newest version, schema, and the version of each partition; ``counts``
-    holds what was counted while the version was written."""
+    holds what was counted while the version was written, ``ranges`` the least and greatest ``key`` of
+    partitions for which that is known."""
 
     number: int = 0
     ddl: str = ""
     where: dict[str, int] = field(default_factory=dict)
     counts: dict[str, int] = field(default_factory=dict)
+    key: str | None = None
+    ranges: dict[str, tuple[int, int]] = field(default_factory=dict)
 
     @property
     def columns(self) -> dict[str, str]:
@@ -74,7 +78,8 @@ def _manifest(spark: SparkSession, number: int, file: tuple[str, int]) -> Manife
             _known.clear()
         rows = spark.read.schema(_MANIFEST).parquet(file[0]).collect()
         where = {r["partition"]: r["version"] for r in rows if r["partition"] is not None}
-        _known[file] = Manifest(number, rows[0]["ddl"], where, json.loads(rows[0]["counts"] or "{}"))
+        ranges = {r["partition"]: (r["low"], r["high"]) for r in rows if r["low"] is not None}
+        _known[file] = Manifest(number, rows[0]["ddl"], where, json.loads(rows[0]["counts"] or "{}"), rows[0]["key"], ranges)
     return _known[file]
 
 
@@ -139,7 +144,7 @@ def _partition_of_file() -> Column:
 
 
 def _changes(
-    old: DataFrame,
+    old: DataFrame | None,
     batch: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
@@ -147,6 +152,8 @@ def _changes(
 ) -> DataFrame:
     """Partition names of the batch rows that are new or newer than the stored row of their key,
     and of those stored rows. Reads the key and order columns of the table only."""
+    if old is None:
+        return batch.select(_path_of(partitions).alias("p")).distinct()
     held = old.select(*keys, F.struct(*order).alias("__old"), _partition_of_file().alias("__at"))
     rows = batch.select(*keys, F.struct(*order).alias("__new"), _path_of(partitions).alias("__to"))
     both = rows.join(held, list(keys), "left")
@@ -154,6 +161,31 @@ def _changes(
     return newer.select(F.explode(F.array("__to", "__at")).alias("p")).filter("p IS NOT NULL").distinct()
 
 
+def may_hold(state: Manifest, batch: DataFrame, keys: Sequence[str]) -> dict[str, int]:
+    """Partitions of a table that may hold a key of the batch, by the key ranges in its manifest.
+
+    The batch's own range is cut into ``_SHARES`` parts; a partition stays out if its range meets no part
+    with a key in it. Where keys grow with time, a batch then reads the keys of a few months.
+    """
+    if state.key is None or list(keys) != [state.key]:
+        return state.where
+    key = F.col(state.key).cast("bigint")
+    low, high = batch.agg(F.min(key), F.max(key)).first()
+    if low is None:
+        return {p: v for p, v in state.where.items() if p not in state.ranges}
+    width = (high - low) // _SHARES + 1
+    share = F.call_function("div", key - F.lit(low), F.lit(width))
+    used = {r[0] for r in batch.filter(key.isNotNull()).select(share).distinct().collect()}
+
+    def met(p: str) -> bool:
+        if p not in state.ranges:
+            return True
+        a, b = state.ranges[p]
+        return any(i in used for i in range(max(0, (a - low) // width), min(_SHARES, (b - low) // width) + 1))
+
+    return {p: v for p, v in state.where.items() if met(p)}
+
+
 def upsert(
     spark: SparkSession,
     root: str,
@@ -179,11 +211,13 @@ def upsert(
     batch = batch.drop(*names)
     state = manifest(spark, root, base)
     if not state.where:
-        return commit(spark, root, latest_by_key(batch, keys, order, tie_breakers), partitions, base=base, **commit_options)
+        rows = latest_by_key(batch, keys, order, tie_breakers)
+        return commit(spark, root, rows, partitions, base=base, key=_whole_number_key(batch, keys), **commit_options)
     copy = scratch_path(spark, "batch")  # read twice below
     batch.write.parquet(copy)
     batch = spark.read.schema(batch.schema).parquet(copy)
-    old = _scan(spark, root, state.ddl, state.where)
+    near = may_hold(state, batch, keys)
+    old = _scan(spark, root, state.ddl, near) if near else None
     touched = {r["p"] for r in _changes(old, batch, keys, order, partitions).collect()}  # months
     if not touched:
         return state.number
@@ -194,7 +228,13 @@ def upsert(
         old = _scan(spark, root, state.ddl, affected).drop(*names)
         rows = old.unionByName(into, allowMissingColumns=True)
     new = latest_by_key(rows, keys, order, tie_breakers)
-    return commit(spark, root, new, partitions, lambda p: p in touched, base, **commit_options)
+    return commit(spark, root, new, partitions, lambda p: p in touched, base, key=_whole_number_key(batch, keys), **commit_options)
+
+
+def _whole_number_key(rows: DataFrame, keys: Sequence[str]) -> str | None:
+    """The key, if it is one column of whole numbers."""
+    whole = len(keys) == 1 and dict(rows.dtypes)[keys[0]] in ("bigint", "int", "smallint", "tinyint")
+    return keys[0] if whole else None
 
 
 def _any_null(keys: Sequence[str]) -> Column:
@@ -265,13 +305,15 @@ def commit(
     base: int | None = None,
     counts: Mapping[str, Column | int] | None = None,
     pinned: Collection[int] = (),
+    key: str | None = None,
 ) -> int:
     """Write ``rows`` as a new version and switch readers over to it.
 
     Partitions that ``replaced`` names (all by default) come from ``rows`` alone, and are gone if
     it has none of their rows; the others stay as they are in the version ``base`` (the newest by
     default, 0 for none). ``counts`` are aggregates over the written rows, taken by the tasks that write
-    them, or numbers the caller has; they are kept in the manifest. Versions in ``pinned`` do not expire.
+    them, or numbers the caller has; they are kept in the manifest, as is the range of ``key`` in each
+    partition. Versions in ``pinned`` do not expire.
     """
     state = manifest(spark, root, base)
     version = max(_manifests(spark, root), default=0) + 1
@@ -280,6 +322,7 @@ def commit(
     out = gathered(rows.withColumns(partitions) if partitions else rows, names)
     ddl = out.schema.toDDL()
     numbers = {n: c for n, c in (counts or {}).items() if isinstance(c, int)}
+    numbers = {n: c for n, c in state.counts.items() if n.startswith("batch ")} | numbers  # of other streams
     aggregates = [c.alias(n) for n, c in (counts or {}).items() if n not in numbers]
     counted = Observation() if aggregates else None
     if counted:
@@ -291,6 +334,11 @@ def commit(
         folders = [path for path, _ in listed(spark, target, "/".join(f"{n}=*" for n in names))]
         present = {"/".join(path.rsplit("/", len(names))[1:]) for path in folders}  # a name per partition
     keep = {p: v for p, v in state.where.items() if not replaced(p) and p not in present}
+    ranges = {p: r for p, r in state.ranges.items() if p in keep} if key == state.key else {}
+    if key:
+        written = spark.read.schema(ddl).parquet(target).select(_partition_of_file().alias("p"), F.col(key).cast("bigint").alias("k"))
+        found = written.groupBy("p").agg(F.min("k").alias("low"), F.max("k").alias("high")).collect()  # months
+        ranges |= {r["p"]: (r["low"], r["high"]) for r in found if r["low"] is not None}
     where = sorted({**keep, **{p: version for p in present}}.items()) or [(None, version)]
     entries = pa.table(
         {
@@ -298,6 +346,9 @@ def commit(
             "version": pa.array([v for _, v in where], pa.int32()),
             "ddl": pa.array([ddl] * len(where), pa.string()),
             "counts": pa.array([json.dumps(numbers | (counted.get if counted else {}))] * len(where), pa.string()),
+            "key": pa.array([key] * len(where), pa.string()),
+            "low": pa.array([ranges.get(p, (None, None))[0] for p, _ in where], pa.int64()),
+            "high": pa.array([ranges.get(p, (None, None))[1] for p, _ in where], pa.int64()),
         }
     )
     (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -102,6 +103,16 @@ def read_valid(spark: SparkSession, root: str, table: str) -> DataFrame:
     return rows.drop(dq.ERRORS, "rejected")
 
 
+def stream_files(spark: SparkSession, path: str, schema, files_per_batch: int = 1000, **options: str) -> DataFrame:
+    """A folder of Parquet files as a stream whose batches, the first one too, take so many files at most."""
+    return spark.readStream.schema(schema).options(**options).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The stream's own id, which a checkpoint keeps for good."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def stream_upserts(
     spark: SparkSession,
     source: DataFrame,
@@ -114,15 +125,18 @@ def stream_upserts(
 ) -> None:
     """Drain a streaming source into a keyed table and stop.
 
-    The checkpoint remembers which files were read, so the next call only sees new ones. A
-    batch that is replayed after a failure merges into the same result.
+    The checkpoint remembers which files were read, so the next call only sees new ones; the source says how
+    many files make a batch (``stream_files``). A batch's number is committed with its rows. One that is
+    replayed, because the job died between that commit and the checkpoint's, is told by its number and not
+    merged again; a batch that died before is merged like a new one.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            versioned.upsert(
-                batch.sparkSession, root, batch, keys, order, partitions, tie_breakers
-            )
+        session = batch.sparkSession
+        mark = f"batch {_stream_id(session, checkpoint)}"
+        if versioned.manifest(session, root).counts.get(mark, -1) >= batch_id or batch.isEmpty():
+            return
+        versioned.upsert(session, root, batch, keys, order, partitions, tie_breakers, counts={mark: batch_id})
 
     (
         source.writeStream.foreachBatch(merge)

@@ -238,3 +238,33 @@ def test_placeholder_join_equals_the_plain_join(spark):
     plain = joins.lookup_join(fact, lookup, ["k"])
     salted = joins.lookup_join(fact, lookup, ["k"], hot=[541], salt=["id"])
     assert sorted(map(str, salted.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_bitmaps_count_exactly_and_merge(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [(rng.choice([1, 2, None]), rng.choice([1, 2]), rng.choice([None, rng.randint(-70_000, 70_000), 5]), rng.randint(0, 9)) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "y int, m int, a long, b int")
+    bitmaps = A.distinct_bitmaps(df, ["y", "m"], ["a", "b"])
+    for by in (["y", "m"], ["y"], []):
+        want = df.groupBy(*by).agg(F.countDistinct("a").alias("n_a"), F.countDistinct("b").alias("n_b"))
+        got = A.bitmap_counts(bitmaps, by, {"a": "n_a", "b": "n_b"})
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    plan = A.bitmap_counts(bitmaps, ["y"], {"a": "n_a", "b": "n_b"})._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan
+
+
+def test_content_differences_descend_only_where_needed(spark):
+    rows = [(i, i // 100, f"v{i}", None if i % 7 else 1.5) for i in range(2000)] + [(None, 3, "x", None), (None, None, "y", 2.0)]
+    left = spark.createDataFrame(rows, "k long, part int, v string, w double")
+    assert RC.content_differences(left, left.repartition(3), ["k"], ["part"])[0].count() == 0
+    other = [(k, p, v, w) for k, p, v, w in rows if k != 310]
+    other = [(k, 12 if k == 555 else p, "other" if k == 321 else v, 9.0 if k == 1405 else w) for k, p, v, w in other] + [(7777, None, "z", None), (7777, None, "z", None)]
+    right = spark.createDataFrame(other, "k long, part int, v string, w double").withColumn("extra", F.lit(1))
+    got, cost = RC.content_differences(left, right, ["k"], ["part"], fan_out=64)
+    assert {r["k"]: r["status"] for r in got.collect()} == {310: "lost", 321: "changed", 555: "changed", 1405: "changed", 7777: "added"}
+    assert cost["partitions"] == len(rows) + len(other)
+    assert cost["buckets"] < 1100 and cost["keys"] < 200  # five partitions of twenty; five buckets of 64
+    swapped = spark.createDataFrame([(k, p, v if k != 1 else "v2", w) if k != 2 else (k, p, "v1", w) for k, p, v, w in rows], left.schema)
+    assert {r["k"] for r in RC.content_differences(left, swapped, ["k"], ["part"])[0].collect()} == {1, 2}

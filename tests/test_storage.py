@@ -268,3 +268,49 @@ def test_loads_of_every_policy(spark, path):
     # A forced reload replaces.
     load(first.filter("id_donacion = 2"), "donaciones", S.donations, full=True)
     assert table("donaciones", "id_donacion") == [(2,)]
+
+
+def test_batches_read_the_months_that_may_hold_their_keys(spark, path, monkeypatch):
+    """Keys that grow with time: a batch of late keys and one early correction scan two months."""
+    days = [f"2024-{m:02d}-{d:02d}" for m in range(1, 9) for d in (3, 17)]
+    versioned.upsert(spark, path, batch(spark, *[(100 * i + j, 1, d, "a") for i, d in enumerate(days) for j in range(20)]), ["k"], ["t"], months())
+    state = versioned.manifest(spark, path)
+    assert state.key == "k" and state.ranges["y=2024/m=01"] == (0, 119) and len(state.ranges) == 8
+    change = batch(spark, (105, 2, "2024-01-17", "b"), (1510, 2, "2024-08-17", "b"), (5000, 2, "2024-08-18", "new"), (None, 2, "2024-08-18", "null"))
+    assert set(versioned.may_hold(state, change, ["k"])) == {"y=2024/m=01", "y=2024/m=08"}
+    scanned = []
+    monkeypatch.setattr(versioned, "_changes", lambda old, *a, f=versioned._changes: (scanned.extend(old.inputFiles()), f(old, *a))[1])
+    versioned.upsert(spark, path, change, ["k"], ["t"], months())
+    assert {f.split("/m=")[1][:2] for f in scanned} == {"01", "08"}
+    got = {r["k"]: r["v"] for r in versioned.read_current(spark, path).filter("t = 2").collect()}
+    assert got == {105: "b", 1510: "b", 5000: "new", None: "null"} and versioned.read_current(spark, path).count() == 322
+    assert versioned.manifest(spark, path).ranges["y=2024/m=08"][1] == 5000
+    assert versioned.may_hold(state, change.filter("k = 5000"), ["k"]) == {}
+    text = change.selectExpr("CAST(k AS string) AS k", "t", "day", "v")
+    assert versioned._whole_number_key(text, ["k"]) is None and versioned._whole_number_key(change, ["k", "t"]) is None
+
+
+def test_stream_takes_batches_and_tells_replays(spark, path, monkeypatch):
+    import shutil
+
+    schema = "k int, t int, day date, v string"
+    for n in range(4):
+        batch(spark, (n, 1, "2024-01-05", f"a{n}"), (9, n, "2024-02-05", f"n{n}")).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    merged = []
+    monkeypatch.setattr(versioned, "upsert", lambda *a, f=versioned.upsert, **o: (merged.append(o), f(*a, **o))[1])
+
+    def drain():
+        source = incremental.stream_files(spark, f"{path}/in", schema, files_per_batch=1)
+        incremental.stream_upserts(spark, source, f"{path}/table", f"{path}/check", ["k"], ["t"], months())
+
+    drain()
+    assert len(merged) == 4 and versioned.manifest(spark, f"{path}/table").number == 4
+    # The job died after the last table commit and before the checkpoint's.
+    for name in ("3", ".3.crc"):
+        target = f"{path}/check/commits/{name}"
+        if os.path.exists(target):
+            shutil.move(target, f"{path}/{name}.gone")
+    drain()
+    assert len(merged) == 4 and versioned.manifest(spark, f"{path}/table").number == 4
+    got = {r["k"]: r["v"] for r in versioned.read_current(spark, f"{path}/table").collect()}
+    assert got == {0: "a0", 1: "a1", 2: "a2", 3: "a3", 9: "n3"}
