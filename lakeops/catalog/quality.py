@@ -294,7 +294,7 @@ def _(spark, sf):
     "dq_content_differences",
     """SELECT o_orderkey, CASE WHEN o_orderkey % 29 = 0 THEN 'lost' ELSE 'changed' END AS status FROM orders
        WHERE year(o_orderdate) = 1997 AND (o_orderkey % 29 = 0 OR o_orderkey % 31 = 0)
-       UNION ALL SELECT -o_orderkey, 'added' FROM orders WHERE year(o_orderdate) = 1998 AND o_orderkey % 997 = 0""",
+       UNION ALL SELECT -1 - o_orderkey, 'added' FROM orders WHERE year(o_orderdate) = 1998 AND o_orderkey % 997 = 0""",
 )
 def _(spark, sf):
     """Two stored layers compared by content: rows that one lacks, and rows whose values differ."""
@@ -303,7 +303,7 @@ def _(spark, sf):
     y = F.year("o_orderdate")
     changed = F.when((y == 1997) & (F.col("o_orderkey") % 31 == 0), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
     other = rows.filter(~((y == 1997) & (F.col("o_orderkey") % 29 == 0))).withColumn("o_totalprice", changed)
-    extra = rows.filter((y == 1998) & (F.col("o_orderkey") % 997 == 0)).withColumn("o_orderkey", -F.col("o_orderkey"))
+    extra = rows.filter((y == 1998) & (F.col("o_orderkey") % 997 == 0)).withColumn("o_orderkey", -1 - F.col("o_orderkey"))
     for name, df in (("a", rows), ("b", other.unionByName(extra))):
         versioned.commit(spark, f"{root}/{name}", df, {"y": y, "m": F.month("o_orderdate")})
     sides = [versioned.read_current(spark, f"{root}/{n}") for n in ("a", "b")]

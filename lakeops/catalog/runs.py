@@ -110,3 +110,21 @@ def _(spark, sf):
     except AnalysisException:
         return _facts({n: registry.read(spark, root, n) for n in _SETS}, "amount")
     raise AssertionError("a threshold from an unknown column was accepted")
+
+
+@query("pip_judge_again", f"WITH {FINANCE} SELECT * FROM fin")
+def _(spark, sf):
+    """Monthly finance after a run with too strict a first day, whose rejected rows are then judged again."""
+    root, name = scratch_path(spark, "judged"), "gold.dashboard_financiero"
+    strict = replace(SETTINGS, first_day=SETTINGS.first_day.replace(year=1998))
+    registry.run(spark, B.raw_tables(spark, sf), root, [name], strict)
+    return registry.judge_again(spark, root, SETTINGS, [name])[name]
+
+
+@query("src_empty_input", f"WITH {DON} SELECT id_donacion, monto FROM don")
+def _(spark, sf):
+    """A load that brings no rows leaves the table as it is."""
+    root, name = scratch_path(spark, "empty"), "silver.donaciones"
+    raw = B.donations(spark, sf)
+    registry.run(spark, {"donaciones": raw}, root, [name], SETTINGS)
+    return registry.run(spark, {"donaciones": raw.filter("id_donacion IS NULL")}, root, [name], SETTINGS)[name].select("id_donacion", "monto")

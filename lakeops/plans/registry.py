@@ -66,7 +66,8 @@ class Settings:
 @dataclass(frozen=True)
 class Table:
     """``reads`` names the columns a table takes from an input, where it does not take most of them.
-    ``refresh`` makes the table again from what changed, see ``plans.refresh``."""
+    ``refresh`` makes the table again from what changed, see ``plans.refresh``. ``rules`` are those that
+    reject rows of a cleaned table."""
 
     name: str
     layer: str
@@ -77,11 +78,12 @@ class Table:
     row_wise: bool = False  # a projection of its inputs: reading it again is just a scan
     reads: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
     refresh: Callable[[N.Change], N.Refreshed] | None = None
+    rules: Callable[[Settings], list] | None = None
 
 
-def _silver(name: str, build, partition_date=None) -> Table:
+def _silver(name: str, build, partition_date=None, rules=None) -> Table:
     partitions = ("y", "m") if partition_date else ()
-    return Table(f"silver.{name}", "silver", (f"raw.{name}",), build, partition_date, partitions)
+    return Table(f"silver.{name}", "silver", (f"raw.{name}",), build, partition_date, partitions, rules=rules)
 
 
 MONTHS = ("y", "m")
@@ -108,10 +110,19 @@ def _gold(name: str, inputs, build, partitions=(), row_wise=False, reads=None, r
 TABLES = {
     t.name: t
     for t in [
-        _silver("donaciones", lambda spark, s, i: S.donations(i["raw.donaciones"], s.as_of, first_day=s.first_day), "fecha_donacion"),
+        _silver(
+            "donaciones",
+            lambda spark, s, i: S.donations(i["raw.donaciones"], s.as_of, first_day=s.first_day),
+            "fecha_donacion",
+            lambda s: S.donation_rules(s.as_of, s.first_day),
+        ),
         _silver("gastos", lambda spark, s, i: S.expenses(i["raw.gastos"], s.as_of), "fecha_pago"),
-        _silver("donantes", lambda spark, s, i: S.donors(i["raw.donantes"], s.as_of)),
-        _silver("casos", lambda spark, s, i: S.cases(i["raw.casos"], s.as_of, s.first_day)),
+        _silver("donantes", lambda spark, s, i: S.donors(i["raw.donantes"], s.as_of), rules=lambda s: S.donor_rules()),
+        _silver(
+            "casos",
+            lambda spark, s, i: S.cases(i["raw.casos"], s.as_of, s.first_day),
+            rules=lambda s: S.case_rules(s.as_of, s.first_day),
+        ),
         _silver("proveedores", lambda spark, s, i: S.suppliers(i["raw.proveedores"])),
         _silver("hogar_de_paso", lambda spark, s, i: S.homes(i["raw.hogar_de_paso"], s.as_of)),
         _parts("donante_mes", "silver.donaciones", G.donor_months, _DONATION),
@@ -430,6 +441,21 @@ class _Run:
         if until is not None and (since is None or until > since):
             self.marks[name] = until.isoformat()
 
+    def judge(self, table: Table) -> None:
+        """A stored cleaned table under other rules: the rows whose verdict changes move, no other is written.
+
+        The table holds the current version of each key, rejected or not, so what is admitted again is that
+        version and not an older one, and nothing is read from the raw rows.
+        """
+        path = _path(self.root, table)
+        rows = versioned.read(self.spark, path, self.base.tables[table.name]).drop("rejected", *self._months(table))
+        again = dq.tag(rows.withColumnRenamed(dq.ERRORS, "__old"), table.rules(self.s))
+        moved = self._scratch(again.filter(F.col(dq.ERRORS) != F.col("__old")).drop("__old"), f"{table.name}-judged")
+        if moved.isEmpty():
+            self.made[table.name] = self.settings
+            return
+        self._put(table, moved, self._scratch(moved.select(_key(table)).distinct(), f"{table.name}-keys"))
+
     def _scratch(self, df: DataFrame, label: str) -> DataFrame:
         path = scratch_path(self.spark, label, f"{self.root}/scratch")
         df.write.parquet(path)
@@ -513,6 +539,20 @@ def _all(spark: SparkSession, job: _Run, targets: list[str], clean: Callable[[Ta
     return {name: job.read(name) for name in targets}
 
 
+def judge_again(
+    spark: SparkSession, root: str, settings: Settings, targets: Iterable[str] | None = None
+) -> dict[str, DataFrame]:
+    """Apply changed rules (``settings``) to the stored cleaned tables: rejected rows that pass now are
+    admitted, valid ones that fail are rejected, and the targets (all stored curated tables by default) follow
+    in the same commit (SNK-4, DQ-17). Equal to a full run with these rules over the same raw rows.
+    """
+    job = _Run(spark, root, settings)
+    if targets is None:
+        targets = [n for n in job.base.tables if TABLES[n].layer != "silver"]
+    judged = [t for t in TABLES.values() if t.rules and t.name in job.base.tables]
+    return _all(spark, job, [*targets, *[t.name for t in judged]], lambda t: job.judge(t) if t in judged else job.clean(t, None))
+
+
 def run_increment(
     spark: SparkSession,
     sources: Mapping[str, DataFrame],

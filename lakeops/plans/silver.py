@@ -38,6 +38,30 @@ def _text(name: str, clean, default: str) -> Column:
     return or_default(clean(F.col(name)), default)
 
 
+def donation_rules(as_of: AsOf = None, first_day: dt.date = R.FIRST_VALID_DAY) -> list[dq.Rule]:
+    return [
+        dq.negative("MONTO_NEGATIVO", "monto"),
+        dq.in_future("FECHA_FUTURA", "fecha_donacion", as_of),
+        dq.missing("ID_NULO", "id_donacion"),
+        dq.before("FECHA_ANTERIOR_A_2010", "fecha_donacion", first_day),
+    ]
+
+
+def donor_rules() -> list[dq.Rule]:
+    return [
+        dq.bad_email("EMAIL_INVALIDO", "correo", R.DONOR_EMAIL),
+        dq.missing("ID_NULO", "id_donante"),
+    ]
+
+
+def case_rules(as_of: AsOf = None, first_day: dt.date = R.FIRST_VALID_DAY) -> list[dq.Rule]:
+    return [
+        dq.missing("ID_CASO_NULO", "id_caso"),
+        dq.outside("FECHA_INGRESO_INVALIDA", "fecha_ingreso", first_day, as_of),
+        dq.still_default("NOMBRE_CASO_NULO", "nombre_caso", R.CASE_NAME),
+    ]
+
+
 def donations(
     raw: DataFrame,
     as_of: AsOf = None,
@@ -65,15 +89,7 @@ def donations(
     latest = latest_by_key(
         drop_partition_columns(clean), ["id_donacion"], ["last_modified_at"]
     )
-    return dq.tag(
-        latest,
-        [
-            dq.negative("MONTO_NEGATIVO", "monto"),
-            dq.in_future("FECHA_FUTURA", "fecha_donacion", as_of),
-            dq.missing("ID_NULO", "id_donacion"),
-            dq.before("FECHA_ANTERIOR_A_2010", "fecha_donacion", first_day),
-        ],
-    )
+    return dq.tag(latest, donation_rules(as_of, first_day))
 
 
 def expenses(
@@ -118,13 +134,7 @@ def donors(raw: DataFrame, as_of: AsOf = None) -> DataFrame:
         | _audit(as_of, "raw_donantes")
     )
     latest = latest_by_key(drop_partition_columns(clean), ["id_donante"], ["last_modified_at"])
-    return dq.tag(
-        latest,
-        [
-            dq.bad_email("EMAIL_INVALIDO", "correo", R.DONOR_EMAIL),
-            dq.missing("ID_NULO", "id_donante"),
-        ],
-    )
+    return dq.tag(latest, donor_rules())
 
 
 def cases(raw: DataFrame, as_of: AsOf = None, first_day: dt.date = R.FIRST_VALID_DAY) -> DataFrame:
@@ -142,14 +152,7 @@ def cases(raw: DataFrame, as_of: AsOf = None, first_day: dt.date = R.FIRST_VALID
         | _audit(as_of, "raw_casos")
     )
     latest = latest_by_key(drop_partition_columns(clean), ["id_caso"], ["last_modified_at"])
-    return dq.tag(
-        latest,
-        [
-            dq.missing("ID_CASO_NULO", "id_caso"),
-            dq.outside("FECHA_INGRESO_INVALIDA", "fecha_ingreso", first_day, as_of),
-            dq.still_default("NOMBRE_CASO_NULO", "nombre_caso", R.CASE_NAME),
-        ],
-    )
+    return dq.tag(latest, case_rules(as_of, first_day))
 
 
 def suppliers(raw: DataFrame) -> DataFrame:

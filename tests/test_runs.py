@@ -256,3 +256,18 @@ def test_parts_merge_to_the_same_statistics(spark, before):
     want = G.feat_donors(dim, G.completed(rows), SETTINGS.as_of, 2)
     got = G.feat_donors(dim, G.donor_months(rows, 2), SETTINGS.as_of, 2)
     assert content(got) == content(want)
+
+
+@pytest.mark.parametrize("first", [dt.date(2024, 4, 1), dt.date(2023, 12, 1)])
+def test_changed_rules_equal_a_full_run(spark, after, tmp_path, first):
+    """Rules that admit more, and rules that admit less, applied to what is stored."""
+    root, start = str(tmp_path / "a"), replace(SETTINGS, first_day=dt.date(2024, 3, 1))
+    registry.run(spark, after, root, ALL, start)
+    new = replace(SETTINGS, first_day=first)
+    got = registry.judge_again(spark, root, new)
+    want = registry.run(spark, after, str(tmp_path / "b"), ALL, new)
+    assert differing(got, {n: want[n] for n in got}) == [] and set(got) >= {"silver.donaciones", "gold.dashboard_financiero"}
+    now = files(spark, root, "silver.donaciones")
+    assert 1 in now.values() and 2 in now.values()  # months that no verdict reaches keep their files
+    rejected = lambda r: content(versioned.read(spark, f"{r}/silver/donaciones", None, lambda p: p.startswith("rejected=true")))
+    assert rejected(root) == rejected(str(tmp_path / "b"))
