@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -15,6 +16,9 @@ def lower(text):
     return (text or "").translate(LOWER)
 
 
+lower_ = lower
+
+
 def contamination(docs, items, n=10):
     """[(doc_id, text)], [(item_id, text)] -> {doc_id: (n_words, n_hit, items)}"""
     windows = defaultdict(set)
@@ -232,6 +236,37 @@ def personal(docs, support=3, score=0.6, least=5):
     return out
 
 
+_M = (1 << 64) - 1
+
+
+def _spread(x):
+    x ^= x >> 30
+    x = x * 0xBF58476D1CE4E5B9 & _M
+    x ^= x >> 27
+    x = x * 0x94D049BB133111EB & _M
+    return x ^ (x >> 31)
+
+
+def _hash(data):
+    return _spread(sum((b + 1) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, b in enumerate(data)) & _M)
+
+
+def machine_score(text, base, weights, factors):
+    """Factorization machine over {slot: weight} and {slot: [factor]}: every pair of the text's slots is added up."""
+    lower = "".join(chr(ord(c) + 32) if 0xC0 <= ord(c) <= 0xDE and ord(c) != 0xD7 else c for c in lower_(text))
+    slots = set()
+    for word in ALNUM.findall(lower):
+        data = word.encode()
+        slots.add(_hash(data) >> 46)
+        slots |= {_spread(_hash(data[:n]) + n & _M) >> 46 for n in range(4, 9) if len(data) >= n}
+    known = sorted(slots & set(weights))
+    z = base + sum(weights[s] for s in known)
+    for i, a in enumerate(known):
+        for b in known[:i]:
+            z += sum(x * y for x, y in zip(factors[a], factors[b]))
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+
 def sha(parts):
     return hashlib.sha256(",".join(parts).encode()).hexdigest()
 

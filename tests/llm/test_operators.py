@@ -3,6 +3,7 @@ rows, empty tables, extra columns with clashing names."""
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -316,6 +317,21 @@ def test_pairs_of_which_neither_term_shows_are_learned(spark, often, rule):
     assert len(found) > 500 and right / len(found) > 0.95
 
 
+def test_scores_equal_a_sum_over_all_pairs(spark, judged, texts):
+    """Every score against slots hashed and pairs added one by one."""
+    learned = toxicity.train(*judged)
+    rng = random.Random(2)
+    slots = sorted({*learned.slots.tolist(), *rng.sample(range(1 << 18), 60_000)})
+    made = toxicity.Model(-0.4, np.array(slots), np.array([rng.gauss(0, 0.2) for _ in slots]), np.array([[rng.gauss(0, 0.2) for _ in range(3)] for _ in slots]))
+    short = [(i, t) for i, t in texts if not t or len(t) < 3000] + [(900, "Élan ÉLAN élan ÷× Àb 日本 Ünïted insulting grouping"), (901, "insulting w1"), (902, "grouping insulting")]
+    docs = spark.createDataFrame(short, "doc_id long, text string")
+    for model in (learned, made):
+        weights, factors = dict(zip(model.slots.tolist(), model.weights)), dict(zip(model.slots.tolist(), model.factors))
+        got = by_id(toxicity.score(docs, model), "score")
+        for i, t in short:
+            assert abs(got[i][0] - brute.machine_score(t, model.base, weights, factors)) < 1e-9
+
+
 def test_labels_of_the_held_out_rows_are_not_read(judged):
     docs, labels = judged
     swapped = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
