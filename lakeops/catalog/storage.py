@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.casts import conform
+from ..functions.numbers import total
 from ..operators.calendar import calendar_span
 from ..operators.reconcile import sample_with_counts, stack
 from ..plans import bindings as B
@@ -369,3 +370,31 @@ def _(spark, sf):
     for _ in range(2):  # the second load replaces the first
         published = W.publish_marts({"feat_donors": feature, "dim_donors": feature}, name)
     return spark.table(f"{name}.{published[0]}")
+
+
+@query(
+    "snk_clustered_months",
+    """SELECT o_custkey, count(*) AS orders, min(CAST(o_orderdate AS DATE)) AS first_day FROM orders GROUP BY 1""",
+)
+def _(spark, sf):
+    """All orders in monthly files clustered by customer and day, read back per customer."""
+    path = scratch_path(spark, "clustered")
+    W.write_clustered(W.with_partitions(_orders(spark, sf), "o_orderdate").drop("d"), path, by=["o_custkey", "o_orderdate"])
+    rows = R.read_table(spark, path)
+    return rows.groupBy("o_custkey").agg(F.count("*").alias("orders"), F.min(F.to_date("o_orderdate")).alias("first_day"))
+
+
+@query(
+    "jon_bucketed",
+    """SELECT c_custkey, c_mktsegment, count(o_orderkey) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+       FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2""",
+)
+def _(spark, sf):
+    """Customers with their orders, both stored in buckets by customer: neither is shuffled by the report."""
+    database = f"buckets_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'buckets')}'")
+    W.write_bucketed(_orders(spark, sf), f"{database}.orders", ["o_custkey"], 16)
+    W.write_bucketed(B.table(spark, sf, "customer"), f"{database}.customer", ["c_custkey"], 16)
+    stats = spark.table(f"{database}.orders").groupBy("o_custkey").agg(F.count("o_orderkey").alias("orders"), total(F.col("o_totalprice"), B.CENTS).alias("total"))
+    joined = spark.table(f"{database}.customer").join(stats, F.col("c_custkey") == F.col("o_custkey"), "left")
+    return joined.select("c_custkey", "c_mktsegment", F.coalesce("orders", F.lit(0).cast("long")).alias("orders"), "total")

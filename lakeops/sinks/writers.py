@@ -74,6 +74,54 @@ def overwrite_all_partitions(df: DataFrame, path: str, columns: Sequence[str] =
     )
 
 
+def write_clustered(
+    df: DataFrame,
+    path: str,
+    columns: Sequence[str] = ("y", "m"),
+    by: Sequence[str] = (),
+    row_group_bytes: int = 32 * 1024 * 1024,
+) -> None:
+    """Monthly files that each hold one range of ``by``, sorted, in row groups of bounded size (SNK-8, SNK-12).
+
+    Rows are dealt by ranges of (month, ``by``) and sorted there, so files and row groups of a month do not
+    overlap in ``by`` and a reader of one entity skips all but a few of them by their statistics. ``by`` should
+    go on to a day or a row id: then an entity with very many rows is cut over files as well. Ranges come from a
+    sample, which reads ``df`` twice. Where a month column is a literal, the writer sorts once more by month alone:
+    files still hold ranges, row groups do not.
+    """
+    order = [*columns, *by]
+    # For text that may be NULL the writer would put in a sort of its own, by month alone; the name it gives
+    # to missing values, put in here, reads back as NULL.
+    text = [c for c in columns if dict(df.dtypes)[c] == "string"]
+    named = df.withColumns({c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("__HIVE_DEFAULT_PARTITION__")) for c in text})
+    (
+        named.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .option("parquet.block.size", row_group_bytes)
+        .partitionBy(*columns)
+        .parquet(path)
+    )
+
+
+def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> None:
+    """A catalog table in buckets by entity, sorted by it. Tables with the same keys and bucket count join, and
+    aggregate by these keys, where they lie: the fact is shuffled once, here, and by no later report (JON-1).
+
+    An entity lives in one bucket, so a placeholder key that holds much of the fact makes one large bucket; keep
+    such rows out (``joins.lookup_join`` takes them) or use enough buckets for the rest.
+    """
+    (
+        df.repartition(buckets, *keys)
+        .write.mode("overwrite")
+        .format("parquet")
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .saveAsTable(table)
+    )
+
+
 def write_layer(df: DataFrame, path: str, columns: Sequence[str] = ("anio", "mes")) -> None:
     """Generic cleaned-layer write: partitioned if the frame has the columns, flat if not."""
     if all(c in df.columns for c in columns):

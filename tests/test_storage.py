@@ -314,3 +314,45 @@ def test_stream_takes_batches_and_tells_replays(spark, path, monkeypatch):
     assert len(merged) == 4 and versioned.manifest(spark, f"{path}/table").number == 4
     got = {r["k"]: r["v"] for r in versioned.read_current(spark, f"{path}/table").collect()}
     assert got == {0: "a0", 1: "a1", 2: "a2", 3: "a3", 9: "n3"}
+
+
+def test_clustered_months_skip_row_groups(spark, path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    df = spark.range(120_000).selectExpr("id", "CAST(pmod(id * 7919, 5000) AS long) AS donor", "CAST(id % 28 AS int) AS day", "2024 + CAST(id DIV 100000000 AS int) AS y", "lpad(cast(id % 3 + 1 AS string), 2, '0') AS m")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        W.write_clustered(df.repartition(8), path, by=["donor", "day"], row_group_bytes=64 * 1024)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    touched = every = 0
+    for file in glob.glob(f"{path}/y=*/m=*/*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        at = [meta.row_group(0).column(c).path_in_schema for c in range(meta.num_columns)].index("donor")
+        for g in range(meta.num_row_groups):
+            stats = meta.row_group(g).column(at).statistics
+            every += 1
+            touched += stats.min <= 1234 <= stats.max
+    assert touched <= 6 and every >= 12 and touched / every <= 0.25, (touched, every)
+    back = spark.read.parquet(path)
+    assert back.count() == 120_000 and back.filter("donor = 1234").count() == df.filter("donor = 1234").count()
+
+
+def test_bucketed_facts_are_not_shuffled(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS bucket_test")
+    fact = spark.range(5000).selectExpr("id", "id % 97 AS donor", "CAST(id AS double) AS amount")
+    W.write_bucketed(fact, "bucket_test.fact", ["donor"], 6)
+    W.write_bucketed(spark.range(100).selectExpr("id AS donor", "concat('d', id) AS name"), "bucket_test.dim", ["donor"], 6)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stats = spark.table("bucket_test.fact").groupBy("donor").agg(F.sum("amount").alias("s"))
+        out = spark.table("bucket_test.fact").join(stats, "donor").join(spark.table("bucket_test.dim"), "donor")
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 5000 and out.filter("donor = 3").select("s").distinct().count() == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP DATABASE bucket_test CASCADE")
