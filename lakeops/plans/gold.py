@@ -7,6 +7,7 @@ Cleaned frames in, curated frames out. ``scale`` asks for exact money sums (see
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from ..operators.filters import in_status, positive_and_dated
 from ..operators.joins import calendar_join, lookup_join
 from ..operators.reconcile import stack
 from ..operators.windows import per_entity, running_total, trailing_total, with_hot
+from ..session import stored
 from . import rules as R
 
 CALENDAR_SPAN = (dt.date(2020, 1, 1), dt.date(2030, 12, 31))
@@ -121,6 +123,15 @@ def dim_homes(homes: DataFrame, cases: DataFrame) -> DataFrame:
 
 
 Metrics = tuple[DataFrame, DataFrame]  # a row per entity, and those of the most frequent ones
+Layout = Callable[[DataFrame], DataFrame]  # brings the rows of a month together, or leaves them where they are
+
+
+def as_is(rows: DataFrame) -> DataFrame:
+    return rows
+
+
+# Entities whose attributes and metrics, one row each, are ever broadcast as a whole.
+FEW_ENTITIES = 500_000
 
 
 def completed(donations: DataFrame) -> DataFrame:
@@ -321,9 +332,11 @@ def dash_donations(
     scale: int | None = None,
     size=R.DONATION_SIZE,
     metrics: Metrics | None = None,
+    layout: Layout = as_is,
 ) -> DataFrame:
     """Donations with donor attributes and the donor's recency, frequency and value. ``metrics``
-    (``donor_metrics``) stand in where ``fact`` does not hold all rows."""
+    (``donor_metrics``) stand in where ``fact`` does not hold all rows. ``layout`` is applied to the joined
+    rows; what follows from one row alone is added after it and travels through no shuffle."""
     amount, date = F.col("monto"), F.col("fecha_donacion")
     attributes = DONOR_ATTRIBUTES
     metrics = metrics or per_entity(
@@ -339,9 +352,16 @@ def dash_donations(
         },
     )
     lookup, hot = _with_attributes(metrics, dim.select("id_donante", *attributes), "id_donante")
-    out = lookup_join(fact, lookup, ["id_donante"], hot=hot, null_safe=True, salt=["id_donacion"])
+    again = {
+        "monto_log": log_amount(amount),
+        "recencia_donacion_dias": days_since(date, as_of),
+        "anio_mes_donacion": month_key(date),
+        "categoria_monto": bucket(amount, *R.DONATION_AMOUNT),
+    }
+    narrow = fact.drop(*again)
+    out = layout(lookup_join(narrow, lookup, ["id_donante"], hot=hot, null_safe=True, salt=["id_donacion"]))
     return out.select(
-        *fact.columns,
+        *[again[c].alias(c) if c in again else c for c in fact.columns],
         *attributes,
         F.year(date).alias("anio"),
         F.month(date).alias("mes"),
@@ -351,12 +371,29 @@ def dash_donations(
         "promedio_donacion_donante",
         "monto_maximo_donante",
         "monto_minimo_donante",
-        days_since(F.col("__last"), as_of).alias("recencia_dias"),
-        bucket(F.col("monto_total_donado"), *R.DONOR_TIER).alias("segmento_rfm"),
+        *[c.alias(n) for n, c in donor_values(as_of).items()],
         bucket(amount, *size).alias("tamano_donacion"),
     )
 
 
+def donor_values(as_of: AsOf = None) -> dict:
+    """What a donation's row says of its donor besides attributes and metrics."""
+    return {
+        "recencia_dias": days_since(F.col("__last"), as_of),
+        "segmento_rfm": bucket(F.col("monto_total_donado"), *R.DONOR_TIER),
+    }
+
+
+def supplier_attributes(dim: DataFrame) -> DataFrame:
+    return dim.select(
+        "id_proveedor",
+        "nombre_proveedor",
+        "categoria_proveedor",
+        F.col("ciudad_normalizada").alias("proveedor_ciudad"),
+        "tiene_id_valido",
+    )
+
+
 def dash_expenses(
     fact: DataFrame,
     dim_suppliers: DataFrame,
@@ -365,17 +402,13 @@ def dash_expenses(
     scale: int | None = None,
     amounts=R.EXPENSE_AMOUNT,
     metrics: Metrics | None = None,
+    layout: Layout = as_is,
 ) -> DataFrame:
     """Expenses with supplier and case attributes, supplier metrics and budget status. ``metrics``
-    (``supplier_metrics``) stand in where ``fact`` does not hold all rows."""
+    (``supplier_metrics``) stand in where ``fact`` does not hold all rows. ``layout`` as in ``dash_donations``;
+    values of suppliers are broadcast after it if there are no more than ``FEW_ENTITIES``."""
     amount, date = F.col("monto"), F.col("fecha_pago")
-    of_supplier = dim_suppliers.select(
-        "id_proveedor",
-        "nombre_proveedor",
-        "categoria_proveedor",
-        F.col("ciudad_normalizada").alias("proveedor_ciudad"),
-        "tiene_id_valido",
-    )
+    of_supplier = supplier_attributes(dim_suppliers)
     of_case = cases.select(
         "id_caso",
         "nombre_caso",
@@ -393,11 +426,18 @@ def dash_expenses(
             "monto_minimo_gasto": F.min(amount),
         },
     )
-    lookup, hot = _with_attributes(metrics, of_supplier, "id_proveedor")
-    out = lookup_join(fact, lookup, ["id_proveedor"], hot=hot, null_safe=True, salt=["id_gasto"])
-    out = lookup_join(out, of_case, ["id_caso"], hot=[R.NO_CASE], salt=["id_gasto"])
+    again = {"monto_log": log_amount(amount), "recencia_dias": days_since(date, as_of)}
+    out = fact.drop(*again)
+    every = stored(metrics[0].join(of_supplier, "id_proveedor", "left"), "suppliers")
+    few = every.count() <= FEW_ENTITIES
+    if not few:
+        hot = metrics[1].join(of_supplier, "id_proveedor", "left")
+        out = lookup_join(out, every, ["id_proveedor"], hot=hot, null_safe=True, salt=["id_gasto"])
+    out = layout(lookup_join(out, of_case, ["id_caso"], hot=[R.NO_CASE], salt=["id_gasto"]))
+    if few:
+        out = lookup_join(out, F.broadcast(every), ["id_proveedor"], null_safe=True)
     return out.select(
-        *fact.columns,
+        *[again[c].alias(c) if c in again else c for c in fact.columns],
         "nombre_proveedor",
         "categoria_proveedor",
         "proveedor_ciudad",

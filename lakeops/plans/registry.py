@@ -67,7 +67,7 @@ class Settings:
 class Table:
     """``reads`` names the columns a table takes from an input, where it does not take most of them.
     ``refresh`` makes the table again from what changed, see ``plans.refresh``. ``rules`` are those that
-    reject rows of a cleaned table."""
+    reject rows of a cleaned table. A ``laid_out`` table is built from tasks that hold few of its months each."""
 
     name: str
     layer: str
@@ -79,6 +79,7 @@ class Table:
     reads: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
     refresh: Callable[[N.Change], N.Refreshed] | None = None
     rules: Callable[[Settings], list] | None = None
+    laid_out: bool = False
 
 
 def _silver(name: str, build, partition_date=None, rules=None) -> Table:
@@ -103,8 +104,10 @@ def _parts(name: str, source: str, rows, columns) -> Table:
     )
 
 
-def _gold(name: str, inputs, build, partitions=(), row_wise=False, reads=None, refresh=None) -> Table:
-    return Table(f"gold.{name}", "gold", tuple(inputs), build, None, tuple(partitions), row_wise, reads or {}, refresh)
+def _gold(name: str, inputs, build, partitions=(), row_wise=False, reads=None, refresh=None, laid_out=False) -> Table:
+    return Table(
+        f"gold.{name}", "gold", tuple(inputs), build, None, tuple(partitions), row_wise, reads or {}, refresh, laid_out=laid_out
+    )
 
 
 TABLES = {
@@ -174,7 +177,8 @@ TABLES = {
             MONTHS,
             row_wise=True,
             reads={"silver.gastos": (*_EXPENSE, "medio_pago", "nombre_gasto", "created_at")},
-            refresh=N.by_month("silver.gastos", lambda c, new: G.fact_expenses(new, c.settings.as_of)),
+            refresh=N.by_month("silver.gastos", lambda c, new: G.fact_expenses(new, c.settings.as_of), row_wise=True),
+            laid_out=True,  # the same months as its input
         ),
         _gold(
             "feat_donantes",
@@ -212,10 +216,11 @@ TABLES = {
             ["gold.fact_donaciones", "gold.dim_donantes", "parts.donante_mes"],
             lambda spark, s, i: G.dash_donations(
                 i["gold.fact_donaciones"], i["gold.dim_donantes"], s.as_of, s.scale, s.size,
-                G.donor_metrics(i["parts.donante_mes"], s.scale),
+                G.donor_metrics(i["parts.donante_mes"], s.scale), N.by_months,
             ),
             MONTHS,
             refresh=N.dash_donations,
+            laid_out=True,
         ),
         _gold(
             "dashboard_gastos",
@@ -228,10 +233,12 @@ TABLES = {
                 s.scale,
                 s.expense_amount,
                 G.supplier_metrics(i["parts.proveedor_mes"], s.scale),
+                N.by_months,
             ),
             MONTHS,
             reads={"silver.casos": ("id_caso", "nombre_caso", "estado", "presupuesto_estimado", "fecha_salida")},
             refresh=N.dash_expenses,
+            laid_out=True,
         ),
         _gold(
             "dashboard_financiero",
@@ -470,13 +477,13 @@ class _Run:
             return
         if same and table.refresh and not any(self._whole(n) for n in looked_at - {table.name}):
             change = N.Change(self.spark, self.s, self.read, self._old, self._changed)
-            rows, months = table.refresh(change)
+            rows, months, laid_out = table.refresh(change)
             replaced = (lambda p: True) if months is None else (lambda p: p in months)
             if months is None or months:
-                self._done(table, versioned.commit(self.spark, path, rows, self._months(table), replaced, **options))
+                self._done(table, versioned.commit(self.spark, path, rows, self._months(table), replaced, laid_out=laid_out, **options))
             return
         rows = table.build(self.spark, self.s, inputs)
-        self._done(table, versioned.commit(self.spark, path, rows, self._months(table), **options))
+        self._done(table, versioned.commit(self.spark, path, rows, self._months(table), laid_out=table.laid_out, **options))
 
     def _whole(self, name: str) -> bool:
         """The table has other columns now, or all months of a dated one were written again: nothing to

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.dedup import latest_by_key
+from ..operators.dedup import latest_by_key, row_hash
 from ..session import scratch_path
 from ..sources.paths import listed, remove
 from .writers import gathered
@@ -37,6 +37,7 @@ _MANIFEST = "partition string, version int, ddl string, counts string, key strin
 _SHARES = 1024  # parts of a batch's key range that are looked at one by one
 KEPT_VERSIONS = 20
 NULL_KEYS = 10_000  # keys with a NULL in them that are ever broadcast
+FEW_KEYS = 3_000_000  # keys that are looked up in a broadcast, so that the table they are looked for in stays where it is
 
 
 @dataclass(frozen=True)
@@ -223,12 +224,20 @@ def upsert(
         return state.number
     affected = {p: v for p, v in state.where.items() if p in touched}
     into = batch.filter(_path_of(partitions).isin(sorted(touched)))
-    rows = into
-    if affected:
-        old = _scan(spark, root, state.ddl, affected).drop(*names)
-        rows = old.unionByName(into, allowMissingColumns=True)
-    new = latest_by_key(rows, keys, order, tie_breakers)
-    return commit(spark, root, new, partitions, lambda p: p in touched, base, key=_whole_number_key(batch, keys), **commit_options)
+    commit_options["key"] = _whole_number_key(batch, keys)
+    if not affected:
+        new = latest_by_key(into, keys, order, tie_breakers)
+        return commit(spark, root, new, partitions, lambda p: p in touched, base, **commit_options)
+    old = _scan(spark, root, state.ddl, affected).drop(*names)
+    if batch.count() > FEW_KEYS:
+        new = latest_by_key(old.unionByName(into, allowMissingColumns=True), keys, order, tie_breakers)
+        return commit(spark, root, new, partitions, lambda p: p in touched, base, **commit_options)
+    # Only rows of the batch's keys are ranked; all others are copied where they are.
+    known = into.select(*keys)
+    met = of_keys(old, known, keys).unionByName(into, allowMissingColumns=True)
+    kept = without_keys(old, known, keys)
+    new = _beside(kept, latest_by_key(met, keys, order, tie_breakers), partitions)
+    return commit(spark, root, new, partitions, lambda p: p in touched, base, laid_out=True, **commit_options)
 
 
 def _whole_number_key(rows: DataFrame, keys: Sequence[str]) -> str | None:
@@ -245,9 +254,11 @@ def of_keys(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame
     """Rows whose key is among the distinct keys ``known``, NULL keys included.
 
     Rows with a NULL in the key never go through the shuffled join, where they would meet in one task:
-    their keys, few by nature, are looked up in a broadcast if there are fewer than ``NULL_KEYS``.
+    their keys, few by nature, are looked up in a broadcast if there are fewer than ``NULL_KEYS``. All keys
+    are if they are no more than ``FEW_KEYS``; ``known`` is counted for that and should be stored.
     """
-    plain = rows.join(known, list(keys), "left_semi")
+    few = known.count() <= FEW_KEYS
+    plain = rows.join(F.broadcast(known) if few else known, list(keys), "left_semi")
     odd = known.filter(_any_null(keys)).limit(NULL_KEYS + 1).collect()
     if not odd:
         return plain
@@ -263,7 +274,7 @@ def without_keys(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> Data
     names = [f"__k_{k}" for k in keys]
     side = known.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
     match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
-    return rows.join(side, match, "left_anti")
+    return rows.join(F.broadcast(side) if known.count() <= FEW_KEYS else side, match, "left_anti")
 
 
 def replace_keys(
@@ -278,22 +289,45 @@ def replace_keys(
 ) -> int:
     """Put ``rows`` in the place of all stored rows whose key is among ``known`` (distinct, stored).
 
-    Partitions that lose or gain a row are rewritten, wherever they are, and no others. Keys are looked
-    for in the key columns of the whole table; ``rows`` (stored as well) are read twice.
+    Partitions that lose or gain a row, or hold one that changed, are rewritten, wherever they are, and no
+    others; without any there is no commit. Stored rows of the keys are compared with ``rows`` (stored as well,
+    read twice) by a hash of their values.
     """
     state = manifest(spark, root, base)
     names = list(partitions)
     rows = rows.drop(*names)
-    new = {r["p"] for r in rows.select(_path_of(partitions).alias("p")).distinct().collect()}  # months
-    if state.where:
+    place = _path_of(partitions)
+    if state.where and set(state.columns) == {*rows.columns, *names}:
         old = _scan(spark, root, state.ddl, state.where)
-        held = of_keys(old.select(*keys, _partition_of_file().alias("p")), known, keys)
-        new |= {r["p"] for r in held.select("p").distinct().collect()}
+        held = of_keys(old.withColumn("__p", _partition_of_file()), known, keys)
+        sides = [r.select(*keys, "__p", row_hash(r, rows.columns).alias("__h")) for r in (_in_order(held, rows), rows.withColumn("__p", place))]
+        odd = sides[0].unionByName(sides[1]).groupBy(*keys, "__p", "__h").agg(F.count(F.lit(1)).alias("__n")).filter("__n = 1")
+        new = {r["__p"] for r in odd.select("__p").distinct().collect()}  # months
+        if not new:
+            return state.number
+    else:
+        new = {r["p"] for r in rows.select(place.alias("p")).distinct().collect()}  # months
+        if state.where:
+            held = of_keys(_scan(spark, root, state.ddl, state.where).select(*keys, _partition_of_file().alias("p")), known, keys)
+            new |= {r["p"] for r in held.select("p").distinct().collect()}
+    rows = rows.filter(place.isin(sorted(new)))
     touched = {p: v for p, v in state.where.items() if p in new}
+    laid_out = bool(touched) and known.count() <= FEW_KEYS
     if touched:
         kept = without_keys(_scan(spark, root, state.ddl, touched), known, keys).drop(*names)
-        rows = kept.unionByName(rows, allowMissingColumns=True)
-    return commit(spark, root, rows, partitions, lambda p: p in new, base, **commit_options)
+        rows = _beside(kept, rows, partitions) if laid_out else kept.unionByName(rows, allowMissingColumns=True)
+    return commit(spark, root, rows, partitions, lambda p: p in new, base, laid_out=laid_out, **commit_options)
+
+
+def _beside(kept: DataFrame, rows: DataFrame, partitions: dict[str, Column]) -> DataFrame:
+    """``kept``, which stay in the tasks that scan their partitions, and ``rows`` gathered by partition."""
+    names = list(partitions)
+    return kept.unionByName(gathered(rows.withColumns(partitions), names).drop(*names), allowMissingColumns=True)
+
+
+def _in_order(held: DataFrame, rows: DataFrame) -> DataFrame:
+    """Stored rows with the columns of ``rows`` in their order, so that equal rows have equal hashes."""
+    return held.select(*rows.columns, "__p")
 
 
 def commit(
@@ -306,6 +340,7 @@ def commit(
     counts: Mapping[str, Column | int] | None = None,
     pinned: Collection[int] = (),
     key: str | None = None,
+    laid_out: bool = False,
 ) -> int:
     """Write ``rows`` as a new version and switch readers over to it.
 
@@ -313,13 +348,15 @@ def commit(
     it has none of their rows; the others stay as they are in the version ``base`` (the newest by
     default, 0 for none). ``counts`` are aggregates over the written rows, taken by the tasks that write
     them, or numbers the caller has; they are kept in the manifest, as is the range of ``key`` in each
-    partition. Versions in ``pinned`` do not expire.
+    partition. Versions in ``pinned`` do not expire. Rows that are ``laid_out`` come from tasks that hold few
+    partitions each, such as a scan of a table with the same ones, and are written by those tasks.
     """
     state = manifest(spark, root, base)
     version = max(_manifests(spark, root), default=0) + 1
     target = f"{root}/data/table_version={version}"
     names = list(partitions)
-    out = gathered(rows.withColumns(partitions) if partitions else rows, names)
+    out = rows.withColumns(partitions) if partitions else rows
+    out = out if laid_out else gathered(out, names)
     ddl = out.schema.toDDL()
     numbers = {n: c for n, c in (counts or {}).items() if isinstance(c, int)}
     numbers = {n: c for n, c in state.counts.items() if n.startswith("batch ")} | numbers  # of other streams
