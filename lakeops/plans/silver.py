@@ -101,9 +101,16 @@ def expenses(
     """Rows without amount or supplier are rejected outright; there is no quarantine."""
     typed = conform(partition_month_slice(raw, month), SCHEMAS["gastos"])
     typed = after_mark(typed, "last_modified_at", mark)
-    clean = require(typed, "monto", "id_proveedor").withColumns(
+    clean = require(typed, "monto", "id_proveedor").withColumn("id_caso", or_default(F.col("id_caso"), R.NO_CASE))
+    latest = latest_by_key(
+        drop_partition_columns(clean),
+        ["id_gasto"],
+        ["last_modified_at"],
+        ["created_at", "monto", "id_caso", "id_proveedor"],
+    )
+    # What plays no part in the ranking is cleaned after it: fewer rows, and less of them in the shuffle.
+    return latest.withColumns(
         {
-            "id_caso": or_default(F.col("id_caso"), R.NO_CASE),
             "medio_pago": pattern_category(
                 F.col("medio_pago"), R.EXPENSE_PAYMENT, when_null=R.PAYMENT_MISSING
             ),
@@ -113,12 +120,6 @@ def expenses(
         }
         | _audit(as_of, "raw_gastos")
     )
-    return latest_by_key(
-        drop_partition_columns(clean),
-        ["id_gasto"],
-        ["last_modified_at"],
-        ["created_at", "monto", "id_caso", "id_proveedor"],
-    )
 
 
 def donors(raw: DataFrame, as_of: AsOf = None) -> DataFrame:
