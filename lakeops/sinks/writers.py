@@ -6,7 +6,7 @@ import datetime as dt
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,15 +63,27 @@ def overwrite_partitions(df: DataFrame, path: str, columns: Sequence[str] = ("y"
     )
 
 
-def overwrite_all_partitions(df: DataFrame, path: str, columns: Sequence[str] = ("y", "m")) -> None:
-    """Replace a partitioned table as a whole, so that a month without rows disappears."""
+def overwrite_all_partitions(
+    df: DataFrame,
+    path: str,
+    columns: Sequence[str] = ("y", "m"),
+    laid_out: bool = False,
+    counts: Mapping[str, Column] | None = None,
+) -> dict:
+    """Replace a partitioned table as a whole, so that a month without rows disappears. Rows that are
+    ``laid_out`` come from tasks that hold few partitions each, and are written by those tasks. ``counts`` are
+    aggregates over the written rows, taken by the tasks that write them and returned."""
+    out = df if laid_out else gathered(df, columns)
+    counted = Observation() if counts else None
+    if counted:
+        out = out.observe(counted, *[c.alias(n) for n, c in counts.items()])
     (
-        gathered(df, columns)
-        .write.mode("overwrite")
+        out.write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(*columns)
         .parquet(path)
     )
+    return counted.get if counted else {}
 
 
 def write_clustered(
@@ -220,8 +232,8 @@ def month_export(df: DataFrame, month_column: str = "anio_mes") -> DataFrame:
     )
 
 
-def write_export(df: DataFrame, path: str, month_column: str = "anio_mes") -> None:
-    overwrite_all_partitions(month_export(df, month_column), path, STALE_PARTITIONS)
+def write_export(df: DataFrame, path: str, month_column: str = "anio_mes", laid_out: bool = False) -> None:
+    overwrite_all_partitions(month_export(df, month_column), path, STALE_PARTITIONS, laid_out)
 
 
 def register_external(spark: SparkSession, name: str, path: str, partitioned: bool = True) -> None:

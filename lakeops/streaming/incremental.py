@@ -32,17 +32,37 @@ def land(
     full: bool = False,
     run_id: str = "",
 ) -> DataFrame | None:
+    """What ``landed`` returns, without the change time."""
+    return landed(spark, source, table, root, since, run_ts, full, run_id)[0]
+
+
+def landed(
+    spark: SparkSession,
+    source: DataFrame,
+    table: str,
+    root: str,
+    since: dt.datetime | None,
+    run_ts: dt.datetime,
+    full: bool = False,
+    run_id: str = "",
+) -> tuple[DataFrame | None, dt.datetime | None]:
     """Extract what changed since the mark, once, and store it as raw files of this run.
 
     The rows land below ``raw/<table>/run=<id>`` by change day; everything later reads them, not the
-    source. None if there are none. A repeated run replaces its own folder.
+    source. None if there are none. The newest change time comes with them, as found by the tasks that write.
+    A repeated run replaces its own folder.
     """
     policy = POLICIES[table]
     rows = extract(source, policy, since, full=full)
     path = f"{root}/raw/{table}/run={run_id}"
-    overwrite_all_partitions(bronze_partitions(rows, run_ts, policy.change_column or ""), path, ["y", "m", "d"])
-    landed = read_if_present(spark, path, rows.schema.toDDL())
-    return None if landed is None or landed.isEmpty() else landed
+    counts = {"rows": F.count(F.lit(1))}
+    if policy.change_column:
+        counts["newest"] = marks.newest_change(rows, policy.change_column)
+    out = bronze_partitions(rows, run_ts, policy.change_column or "")
+    found = overwrite_all_partitions(out, path, ["y", "m", "d"], counts=counts)
+    if not found["rows"]:
+        return None, None
+    return read_if_present(spark, path, rows.schema.toDDL()), marks.from_micros(found.get("newest"))
 
 
 def load_increment(
@@ -75,10 +95,10 @@ def load_increment(
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     snapshot = full or policy.load is Load.SNAPSHOT or policy.change_column is None
     since = None if snapshot else marks.get_mark(spark, state, table)
-    landed = land(spark, source, table, root, since, run_ts, full, run_id)
-    if landed is None:
+    rows, until = landed(spark, source, table, root, since, run_ts, full, run_id)
+    if rows is None:
         return None
-    cleaned = clean(landed, as_of)
+    cleaned = clean(rows, as_of)
     tagged = dq.ERRORS in cleaned.columns
     flag = (F.size(dq.ERRORS) > 0) if tagged else F.lit(False)
     partitions = {"rejected": flag.cast("string")}
@@ -91,7 +111,6 @@ def load_increment(
     if tagged:
         now = versioned.read_current(spark, path, _REJECTED).drop(*partitions)
         append_quarantine(now, f"{root}/quarantine/{table}", run_id, table, once=True)
-    until = marks.latest_change(landed, policy.change_column) if policy.change_column else None
     if until is not None and (since is None or until > since):
         marks.set_mark(spark, state, table, until)
     return version

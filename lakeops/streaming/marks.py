@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import as_time
@@ -84,11 +84,19 @@ def set_all(
     set_marks(spark, state, rows, updated_at)
 
 
-def latest_change(df: DataFrame, change_column: str) -> dt.datetime | None:
-    """Newest change time of a frame as naive UTC, or None when it has none."""
+def newest_change(df: DataFrame, change_column: str) -> Column:
+    """Newest change time of the rows as an aggregate: microseconds since 1970 in UTC."""
     changed, kind = as_time(df, change_column)
     newest = F.max(changed)
     if kind == "timestamp_ntz":  # zone-free times are UTC
         newest = F.concat(newest.cast("string"), F.lit("Z"))
-    micros = df.agg(F.unix_micros(newest.cast("timestamp"))).first()[0]
+    return F.unix_micros(newest.cast("timestamp"))
+
+
+def from_micros(micros: int | None) -> dt.datetime | None:
     return None if micros is None else _EPOCH + dt.timedelta(microseconds=micros)
+
+
+def latest_change(df: DataFrame, change_column: str) -> dt.datetime | None:
+    """Newest change time of a frame as naive UTC, or None when it has none."""
+    return from_micros(df.agg(newest_change(df, change_column)).first()[0])
