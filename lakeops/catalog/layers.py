@@ -612,7 +612,7 @@ def _(spark, sf):
     )
     database = f"export_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/db'")
-    names = export_gold(spark, {n.split(".")[1]: df for n, df in gold.items()}, root, database)
+    names = export_gold(spark, {n.split(".")[1]: df for n, df in gold.items()}, root, database, stored=True)
     return _facts({f"gold.{n.split('.')[1]}": spark.table(n) for n in names}, "amount")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,17 +23,27 @@ MONTH_COLUMNS = {
     "dashboard_financiero": "anio_mes",
 }
 
+# Tables stored by the month they are exported by: a scan of one holds few months a task.
+BY_MONTH = ("dim_donantes", "dim_casos", "fact_donaciones", "fact_gastos", "dashboard_donaciones", "dashboard_gastos")
+
 
 def export_gold(
-    spark: SparkSession, tables: Mapping[str, DataFrame], root: str, database: str
+    spark: SparkSession, tables: Mapping[str, DataFrame], root: str, database: str, stored: bool = False
 ) -> list[str]:
-    """Write every table below ``root`` and register it as ``database.table``."""
-    for name, df in tables.items():
+    """Write every table below ``root`` and register it as ``database.table``. ``stored`` tables are read from
+    a run's own (``registry.read``); those of ``BY_MONTH`` then need no shuffle."""
+
+    def export(item: tuple[str, DataFrame]) -> None:
+        name, df = item
         path = f"{root}/{name}"
         month = MONTH_COLUMNS.get(name)
         if month:
-            W.write_export(df, path, month)
+            W.write_export(df, path, month, laid_out=stored and name in BY_MONTH)
         else:
             W.write_snapshot(df, path)
-        W.register_external(spark, f"{database}.{name}", path, partitioned=month is not None)
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        list(pool.map(export, tables.items()))
+    for name in tables:
+        W.register_external(spark, f"{database}.{name}", f"{root}/{name}", partitioned=name in MONTH_COLUMNS)
     return [f"{database}.{name}" for name in tables]
