@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -38,6 +39,7 @@ _SHARES = 1024  # parts of a batch's key range that are looked at one by one
 KEPT_VERSIONS = 20
 NULL_KEYS = 10_000  # keys with a NULL in them that are ever broadcast
 FEW_KEYS = 3_000_000  # keys that are looked up in a broadcast, so that the table they are looked for in stays where it is
+TASK_ROWS = 500_000  # rows that a task of an upsert sorts by partition and writes, whatever the size of the table
 
 
 @dataclass(frozen=True)
@@ -212,8 +214,8 @@ def upsert(
     batch = batch.drop(*names)
     state = manifest(spark, root, base)
     if not state.where:
-        rows = latest_by_key(batch, keys, order, tie_breakers)
-        return commit(spark, root, rows, partitions, base=base, key=_whole_number_key(batch, keys), **commit_options)
+        rows = _dealt(latest_by_key(batch, keys, order, tie_breakers), _sizes(batch, partitions), keys, partitions)
+        return commit(spark, root, rows, partitions, base=base, key=_whole_number_key(batch, keys), laid_out=True, **commit_options)
     copy = scratch_path(spark, "batch")  # read twice below
     batch.write.parquet(copy)
     batch = spark.read.schema(batch.schema).parquet(copy)
@@ -224,20 +226,24 @@ def upsert(
         return state.number
     affected = {p: v for p, v in state.where.items() if p in touched}
     into = batch.filter(_path_of(partitions).isin(sorted(touched)))
-    commit_options["key"] = _whole_number_key(batch, keys)
+    commit_options |= {"key": _whole_number_key(batch, keys), "laid_out": True}
+    sizes = _sizes(into, partitions)
     if not affected:
-        new = latest_by_key(into, keys, order, tie_breakers)
+        new = _dealt(latest_by_key(into, keys, order, tie_breakers), sizes, keys, partitions)
         return commit(spark, root, new, partitions, lambda p: p in touched, base, **commit_options)
-    old = _scan(spark, root, state.ddl, affected).drop(*names)
+    stored = _scan(spark, root, state.ddl, affected)
+    old = stored.drop(*names)
     if batch.count() > FEW_KEYS:
+        sizes += _sizes(stored, {n: F.col(n) for n in names})
         new = latest_by_key(old.unionByName(into, allowMissingColumns=True), keys, order, tie_breakers)
-        return commit(spark, root, new, partitions, lambda p: p in touched, base, **commit_options)
+        return commit(spark, root, _dealt(new, sizes, keys, partitions), partitions, lambda p: p in touched, base, **commit_options)
     # Only rows of the batch's keys are ranked; all others are copied where they are.
     known = into.select(*keys)
     met = of_keys(old, known, keys).unionByName(into, allowMissingColumns=True)
     kept = without_keys(old, known, keys)
-    new = _beside(kept, latest_by_key(met, keys, order, tie_breakers), partitions)
-    return commit(spark, root, new, partitions, lambda p: p in touched, base, laid_out=True, **commit_options)
+    new = _dealt(latest_by_key(met, keys, order, tie_breakers), sizes, keys, partitions)
+    new = kept.unionByName(new, allowMissingColumns=True)
+    return commit(spark, root, new, partitions, lambda p: p in touched, base, **commit_options)
 
 
 def _whole_number_key(rows: DataFrame, keys: Sequence[str]) -> str | None:
@@ -319,6 +325,36 @@ def replace_keys(
     return commit(spark, root, rows, partitions, lambda p: p in new, base, laid_out=laid_out, **commit_options)
 
 
+def _sizes(rows: DataFrame, partitions: dict[str, Column]) -> Counter:
+    """Rows by partition path (a month each)."""
+    found = rows.groupBy(_path_of(partitions).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+    return Counter({r["p"]: r["n"] for r in found})
+
+
+def _dealt(rows: DataFrame, sizes: Mapping[str, int], keys: Sequence[str], partitions: dict[str, Column]) -> DataFrame:
+    """Rows in tasks of about ``TASK_ROWS``, as ``sizes``, an upper bound by partition, has it.
+
+    The writer sorts a task's rows by partition. A rebalance sizes tasks by compressed bytes, of which narrow rows
+    have few, so such a task, and the row group it writes, grew with the table. Here small partitions share a
+    task and a large one is cut by the hash of the key; sizes steer, they never drop a row.
+    """
+    if not partitions:
+        return rows
+    places, task, room = [], 0, TASK_ROWS
+    for p, n in sorted(sizes.items()):
+        slices = max(1, -(-n // TASK_ROWS))
+        if slices > 1 or n > room:
+            task, room = task + (room < TASK_ROWS), TASK_ROWS
+        places.append((p, task, slices))
+        task, room = (task + slices, TASK_ROWS) if slices > 1 else (task, room - n)
+    tasks = max([1, *[first + slices for _, first, slices in places]])
+    side = rows.sparkSession.createDataFrame(places, "__p string, __first int, __slices int")
+    named = rows.withColumn("__p", _path_of(partitions)).join(F.broadcast(side), "__p", "left")
+    spread = F.xxhash64(*keys)
+    place = F.coalesce(F.col("__first") + F.pmod(spread, F.col("__slices")), F.pmod(spread, F.lit(tasks)))
+    return named.repartitionById(tasks, place.cast("int")).drop("__p", "__first", "__slices")
+
+
 def _beside(kept: DataFrame, rows: DataFrame, partitions: dict[str, Column]) -> DataFrame:
     """``kept``, which stay in the tasks that scan their partitions, and ``rows`` gathered by partition."""
     names = list(partitions)
