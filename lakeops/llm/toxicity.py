@@ -139,15 +139,19 @@ def _sample_slots(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
 
 def _pair_strength(toxic: np.ndarray, rows: list[np.ndarray], n_slots: int, s: Settings) -> np.ndarray:
     """For each slot the largest |z| of the contrast p11 - p10 - p01 + p00 of toxic shares over its pairs."""
-    x = np.zeros((len(rows), n_slots), dtype=np.float32)
-    for i, row in enumerate(rows):
-        x[i, row] = 1
-    both, hits = x.T @ x, x[toxic == 1].T @ x[toxic == 1]  # counts below 2^24 are exact
+    both, hits = (np.zeros((n_slots, n_slots), dtype=np.float32) for _ in range(2))  # counts below 2^24 are exact
+    for i in range(0, len(rows), 1024):  # the whole sample as one matrix would take 100 MB of the driver
+        x = np.zeros((min(1024, len(rows) - i), n_slots), dtype=np.float32)
+        for j, row in enumerate(rows[i : i + 1024]):
+            x[j, row] = 1
+        both += x.T @ x
+        x = x[toxic[i : i + 1024] == 1]
+        hits += x.T @ x
     n, pos = np.diag(both).astype(float), np.diag(hits).astype(float)
     total, positive, best = len(rows), float(toxic.sum()), np.zeros(n_slots)
     share = positive / total
-    for at in range(0, n_slots, 256):
-        part = slice(at, at + 256)
+    for at in range(0, n_slots, 64):
+        part = slice(at, at + 64)
         n11, p11 = both[part].astype(float), hits[part].astype(float)
         n10, n01, p10, p01 = n[part, None] - n11, n[None] - n11, pos[part, None] - p11, pos[None] - p11
         n00, p00 = total - n11 - n10 - n01, positive - p11 - p10 - p01
@@ -226,8 +230,10 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model
                     [batch.column(0), pa.array([x[x >= 0].tolist() for x in lists], pa.list_(pa.int32()))], ["toxic", "slots"]
                 )
 
-        sample = rows.orderBy(F.xxhash64("slots"), "toxic").mapInArrow(task, "toxic int, slots array<int>").toPandas()
-        return sample["toxic"].to_numpy(dtype=float), [np.asarray(x, dtype=np.int64) for x in sample["slots"]]
+        sample = rows.orderBy(F.xxhash64("slots"), "toxic").mapInArrow(task, "toxic int, slots array<int>").toArrow()
+        lists = sample.column("slots").combine_chunks()
+        flat, cut = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+        return sample.column("toxic").to_numpy().astype(float), [flat[a:b] for a, b in zip(cut, cut[1:])]
 
     # One pass gives the numbers for both steps.
     wanted = np.union1d(alone, varied)
@@ -236,7 +242,7 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model
     toxic, lists = narrowed(wanted)
 
     def only(slots: np.ndarray) -> list[np.ndarray]:
-        index = np.full(len(wanted), -1, dtype=np.int64)
+        index = np.full(len(wanted), -1, dtype=np.int32)
         index[np.searchsorted(wanted, slots)] = np.arange(len(slots))
         return [x[x >= 0] for x in (index[row] for row in lists)]
 
