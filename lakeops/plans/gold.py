@@ -143,8 +143,8 @@ def paid_expenses(expenses: DataFrame) -> DataFrame:
 
 
 def donor_months(donations: DataFrame, scale: int | None = None) -> DataFrame:
-    """Mergeable statistics of completed donations by donor and month."""
-    return _by_month(completed(donations), "id_donante", "id_donacion", "fecha_donacion", scale)
+    """Mergeable statistics of completed donations by donor and month, the rows of a month in few tasks."""
+    return _by_month(completed(donations), "id_donante", "id_donacion", "fecha_donacion", scale, dealt=True)
 
 
 def supplier_months(expenses: DataFrame, scale: int | None = None) -> DataFrame:
@@ -152,12 +152,23 @@ def supplier_months(expenses: DataFrame, scale: int | None = None) -> DataFrame:
 
 
 def case_months(expenses: DataFrame, scale: int | None = None) -> DataFrame:
-    return _by_month(paid_expenses(expenses), "id_caso", "id_gasto", "fecha_pago", scale)
+    """As ``donor_months``."""
+    return _by_month(paid_expenses(expenses), "id_caso", "id_gasto", "fecha_pago", scale, dealt=True)
 
 
-def _by_month(rows: DataFrame, key: str, row_id: str, date: str, scale: int | None) -> DataFrame:
+MONTH_SLICES = 8  # tasks at most that share a month of ``_by_month``
+
+
+def _by_month(rows: DataFrame, key: str, row_id: str, date: str, scale: int | None, dealt: bool = False) -> DataFrame:
+    """``dealt``: rows are brought together by month and a slice of the keys, which serves the aggregation and a
+    write by month in one shuffle. For entities with few rows a month, which combining in front of the shuffle
+    would hardly reduce."""
     months = rows.drop("y", "m").withColumns(_months(date))
-    return amount_partials(months, [key, "y", "m"], "monto", row_id, date, scale)
+    if not dealt:
+        return amount_partials(months, [key, "y", "m"], "monto", row_id, date, scale)
+    narrow = months.select(key, row_id, "monto", date, "y", "m", F.pmod(F.xxhash64(key), F.lit(MONTH_SLICES)).alias("__slice"))
+    grouped = amount_partials(narrow.repartition("y", "m", "__slice"), [key, "y", "m", "__slice"], "monto", row_id, date, scale)
+    return grouped.drop("__slice")
 
 
 def donor_last(months: DataFrame) -> Metrics:

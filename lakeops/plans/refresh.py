@@ -86,7 +86,8 @@ def _having(c: Change, table: str, keys: DataFrame, key: str) -> set[str]:
 def by_month(
     source: str, build: Callable[[Change, DataFrame], DataFrame], row_wise: bool = False
 ) -> Callable[[Change], Refreshed]:
-    """For tables whose rows come from one row (``row_wise``), or one month, of their source each."""
+    """For tables whose rows come from one row, or one month, of their source each. ``row_wise``: ``build`` leaves
+    rows in the tasks that hold their months, or brings them there."""
 
     def refresh(c: Change) -> Refreshed:
         months = c.months(source)

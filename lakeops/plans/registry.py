@@ -67,7 +67,8 @@ class Settings:
 class Table:
     """``reads`` names the columns a table takes from an input, where it does not take most of them.
     ``refresh`` makes the table again from what changed, see ``plans.refresh``. ``rules`` are those that
-    reject rows of a cleaned table. A ``laid_out`` table is built from tasks that hold few of its months each."""
+    reject rows of a cleaned table. A ``laid_out`` table is built from tasks that hold few of its months each.
+    ``uses`` names the settings that its values depend on besides its inputs; None stands for all."""
 
     name: str
     layer: str
@@ -80,6 +81,7 @@ class Table:
     refresh: Callable[[N.Change], N.Refreshed] | None = None
     rules: Callable[[Settings], list] | None = None
     laid_out: bool = False
+    uses: tuple[str, ...] | None = None
 
 
 def _silver(name: str, build, partition_date=None, rules=None) -> Table:
@@ -92,7 +94,7 @@ _DONATION = ("id_donacion", "id_donante", "monto", "fecha_donacion", "estado")
 _EXPENSE = ("id_gasto", "id_caso", "id_proveedor", "monto", "fecha_pago", "estado")
 
 
-def _parts(name: str, source: str, rows, columns) -> Table:
+def _parts(name: str, source: str, rows, columns, laid_out=False) -> Table:
     return Table(
         f"parts.{name}",
         "parts",
@@ -100,13 +102,15 @@ def _parts(name: str, source: str, rows, columns) -> Table:
         lambda spark, s, i: rows(i[source], s.scale),
         partitions=MONTHS,
         reads={source: columns},
-        refresh=N.by_month(source, lambda c, new: rows(new, c.settings.scale)),
+        refresh=N.by_month(source, lambda c, new: rows(new, c.settings.scale), laid_out),
+        laid_out=laid_out,
+        uses=("scale",),
     )
 
 
-def _gold(name: str, inputs, build, partitions=(), row_wise=False, reads=None, refresh=None, laid_out=False) -> Table:
+def _gold(name: str, inputs, build, partitions=(), row_wise=False, reads=None, refresh=None, laid_out=False, uses=None) -> Table:
     return Table(
-        f"gold.{name}", "gold", tuple(inputs), build, None, tuple(partitions), row_wise, reads or {}, refresh, laid_out=laid_out
+        f"gold.{name}", "gold", tuple(inputs), build, None, tuple(partitions), row_wise, reads or {}, refresh, laid_out=laid_out, uses=uses
     )
 
 
@@ -128,9 +132,9 @@ TABLES = {
         ),
         _silver("proveedores", lambda spark, s, i: S.suppliers(i["raw.proveedores"])),
         _silver("hogar_de_paso", lambda spark, s, i: S.homes(i["raw.hogar_de_paso"], s.as_of)),
-        _parts("donante_mes", "silver.donaciones", G.donor_months, _DONATION),
+        _parts("donante_mes", "silver.donaciones", G.donor_months, _DONATION, laid_out=True),
         _parts("proveedor_mes", "silver.gastos", G.supplier_months, _EXPENSE),
-        _parts("caso_mes", "silver.gastos", G.case_months, _EXPENSE),
+        _parts("caso_mes", "silver.gastos", G.case_months, _EXPENSE, laid_out=True),
         _gold("dim_calendario", [], lambda spark, s, i: G.dim_calendar(spark, *s.calendar), row_wise=True),
         _gold(
             "dim_donantes",
@@ -253,6 +257,7 @@ TABLES = {
                 "silver.casos": ("id_caso", "presupuesto_estimado"),
             },
             refresh=N.dash_finance,
+            uses=("scale",),
         ),
     ]
 }
@@ -322,12 +327,17 @@ def read(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def _fingerprint(s: Settings) -> str:
     """What the values of curated tables depend on besides their inputs; a run with other settings cannot
-    take rows from an older one."""
+    take rows from an older one, see ``Table.uses``."""
     values = {k: v for k, v in vars(s).items() if k not in ("month", "run_id")}
     values["as_of"] = s.as_of or dt.date.today()
     return json.dumps(values, default=str, sort_keys=True)
 
 
+def _used(table: Table, fingerprint: str) -> dict:
+    """The settings of a fingerprint that the table depends on."""
+    return {k: v for k, v in json.loads(fingerprint).items() if table.uses is None or k in table.uses}
+
+
 class _Run:
     """One stored run: the set it starts from, the versions it has written so far."""
 
@@ -472,8 +482,9 @@ class _Run:
         """A curated table: from what changed, where the base set allows it, else from its whole inputs."""
         path, options = _path(self.root, table), self._options(table)
         looked_at = {table.name, *table.inputs, *_BESIDES.get(table.name, ())}
-        same = looked_at <= set(self.base.tables) and all(self.made[n] == self.base.settings[n] == self.settings for n in looked_at)
+        same = looked_at <= set(self.base.tables) and self._comparable(table, looked_at)
         if same and all(self.versions[n] == self.base.tables[n] for n in looked_at):
+            self.made[table.name] = self.settings
             return
         if same and table.refresh and not any(self._whole(n) for n in looked_at - {table.name}):
             change = N.Change(self.spark, self.s, self.read, self._old, self._changed)
@@ -481,10 +492,20 @@ class _Run:
             replaced = (lambda p: True) if months is None else (lambda p: p in months)
             if months is None or months:
                 self._done(table, versioned.commit(self.spark, path, rows, self._months(table), replaced, laid_out=laid_out, **options))
+            self.made[table.name] = self.settings
             return
         rows = table.build(self.spark, self.s, inputs)
         self._done(table, versioned.commit(self.spark, path, rows, self._months(table), laid_out=table.laid_out, **options))
 
+    def _comparable(self, table: Table, looked_at: set[str]) -> bool:
+        """The base set was made with one group of settings, and those that the table depends on are the same now.
+        What other settings change in its inputs shows in their manifests."""
+        before = self.base.settings[table.name]
+        one = all(self.base.settings[n] == before for n in looked_at)
+        return one and _used(table, before) == _used(table, self.settings) and (
+            table.uses is not None or all(self.made[n] == before for n in looked_at)
+        )
+
     def _whole(self, name: str) -> bool:
         """The table has other columns now, or all months of a dated one were written again: nothing to
         gain from a comparison."""
