@@ -12,8 +12,15 @@ from pyspark.sql import functions as F
 
 
 def units(col: Column, scale: int) -> Column:
-    """Whole units; NULL for NaN, infinity and amounts beyond a long."""
-    return F.round(col * F.lit(float(10**scale))).try_cast("long")
+    """Whole units, halves away from zero; NULL for NaN, infinity and amounts beyond a long.
+
+    The same as ``F.round``, which makes a decimal of every double. What the whole part leaves of a double is
+    exact, so a half is told from what is just below one.
+    """
+    value = col * F.lit(float(10**scale))
+    whole = value.try_cast("long")
+    rest = value - whole
+    return whole + F.when(rest >= 0.5, F.lit(1)).when(rest <= -0.5, F.lit(-1)).otherwise(F.lit(0))
 
 
 def total(col: Column, scale: int | None = None) -> Column:

@@ -18,6 +18,7 @@ from ..sources.paths import read_if_present
 from ..sources.schemas import TIMESTAMP_COLUMNS
 
 STALE_PARTITIONS = ("y", "m", "d")
+MONTH_CUTS = 512  # parts that rows are dealt to by output partition; adaptive execution puts small ones together
 
 
 def drop_partition_columns(df: DataFrame, names: Sequence[str] = STALE_PARTITIONS) -> DataFrame:
@@ -36,9 +37,11 @@ def gathered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Without this every task writes a small file into every month it holds. The rebalance
     leaves the task sizes to adaptive execution: small months share a task, and a month with
-    a large share of all rows is split over as many tasks as its size calls for.
+    a large share of all rows is split over as many tasks as its size calls for. It starts from
+    ``MONTH_CUTS`` parts, whatever the session's reducers are: a part then seldom holds more than one
+    month, rows reach the writer in long runs of one month, and its sort by month has little to do.
     """
-    return df.hint("rebalance", *columns) if columns else df
+    return df.hint("rebalance", MONTH_CUTS, *columns) if columns else df
 
 
 def write_snapshot(df: DataFrame, path: str) -> None:

@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from lakeops.catalog.increments import _clean
+from lakeops.functions.numbers import units
 from lakeops.plans import bindings as B
 from lakeops.plans import exports
 from lakeops.sinks import versioned, writers
@@ -68,3 +69,18 @@ def test_stored_months_are_exported_where_they_lie(spark, path, monkeypatch):
     assert not shuffled and spark.table("moves.fact_gastos").count() == 2
     exports.export_gold(spark, {"fact_gastos": df}, path, "moves")
     assert shuffled
+
+
+def test_month_writes_start_from_many_parts(spark):
+    df = spark.range(10).withColumns({"y": F.col("id"), "m": F.lit("01")})
+    plan = writers.gathered(df, ["y", "m"])._jdf.queryExecution().executedPlan().toString()
+    assert f", {writers.MONTH_CUTS})" in plan and "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
+def test_whole_units_are_those_of_round_without_decimals(spark):
+    values = [None, float("nan"), float("inf"), 0.5, -0.5, 2.5, -2.5, 0.49999999999999994, -0.49999999999999994, 1.005, -7.125, 2.0**51 + 0.5, 2.0**63, -(2.0**63), 1e300]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    for scale in (0, 2):
+        got = rows.select(units(F.col("v"), scale).alias("got"), F.round(F.col("v") * F.lit(float(10**scale))).try_cast("long").alias("want"))
+        assert got.filter("NOT got <=> want").isEmpty()
+        assert "round(" not in rows.select(units(F.col("v"), scale))._jdf.queryExecution().analyzed().toString().lower()
