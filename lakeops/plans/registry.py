@@ -433,14 +433,22 @@ class _Run:
         self._put(table, self._scratch(rows, f"{name}-rows"), known)
 
     def load(self, table: Table, source: DataFrame | None, full: bool) -> None:
-        """A cleaned table from what changed since its mark; the new mark counts when the run is published."""
+        """A cleaned table from what changed since its mark; the new mark counts when the run is published.
+
+        The rows are copied, so that all that follows sees the same ones. The first load of a table whose source
+        is files does without: they are counted, and the mark is found, in front of the write, so a row that
+        comes later is read again by the next load.
+        """
         name = table.name.split(".")[1]
         policy, stored = POLICIES[name], table.name in self.base.tables
         if source is None:
             return self.clean(table, None)
         since = marks.parse_mark(self.marks[name]) if stored and name in self.marks else None
-        rows = self._scratch(extract(source, policy, since, full=full), f"{name}-raw")
-        n_raw = rows.count()
+        rows = extract(source, policy, since, full=full)
+        if stored or not source.inputFiles():
+            rows = self._scratch(rows, f"{name}-raw")
+        newest = marks.newest_change(rows, policy.change_column) if policy.change_column else F.lit(None)
+        n_raw, until = rows.agg(F.count(F.lit(1)), newest).first()
         if stored and not n_raw:
             return
         cleaned = table.build(self.spark, self.s, {table.inputs[0]: rows})
@@ -454,7 +462,7 @@ class _Run:
             self._done(table, at)
             if dq.ERRORS in cleaned.columns:
                 append_quarantine(cleaned, f"{self.root}/quarantine/{name}", self.run_id, table.name, once=True)
-        until = marks.latest_change(rows, policy.change_column) if policy.change_column else None
+        until = marks.from_micros(until)
         if until is not None and (since is None or until > since):
             self.marks[name] = until.isoformat()
 

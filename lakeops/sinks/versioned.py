@@ -142,8 +142,8 @@ def _path_of(columns: dict[str, Column]) -> Column:
     )
 
 
-def _partition_of_file() -> Column:
-    return F.regexp_extract(F.col("_metadata.file_path"), r"/table_version=\d+/(?:(.*)/)?[^/]+$", 1)
+def _partition_of_file(path: str = "_metadata.file_path") -> Column:
+    return F.regexp_extract(F.col(path), r"/table_version=\d+/(?:(.*)/)?[^/]+$", 1)
 
 
 def _changes(
@@ -152,12 +152,17 @@ def _changes(
     keys: Sequence[str],
     order: Sequence[str],
     partitions: dict[str, Column],
+    few: bool = False,
 ) -> DataFrame:
     """Partition names of the batch rows that are new or newer than the stored row of their key,
-    and of those stored rows. Reads the key and order columns of the table only."""
+    and of those stored rows. Reads the key and order columns of the table only. The keys of a batch of
+    ``few`` rows are looked up in a broadcast, and what is done by row is done for the stored rows of those keys."""
     if old is None:
         return batch.select(_path_of(partitions).alias("p")).distinct()
-    held = old.select(*keys, F.struct(*order).alias("__old"), _partition_of_file().alias("__at"))
+    held = old.select(*keys, F.struct(*order).alias("__old"), F.col("_metadata.file_path").alias("__file"))
+    if few:
+        held = held.join(F.broadcast(batch.select(*keys)), list(keys), "left_semi")
+    held = held.withColumn("__at", _partition_of_file("__file")).drop("__file")
     rows = batch.select(*keys, F.struct(*order).alias("__new"), _path_of(partitions).alias("__to"))
     both = rows.join(held, list(keys), "left")
     newer = both.filter(F.col("__old").isNull() | (F.col("__new") > F.col("__old")))
@@ -221,7 +226,8 @@ def upsert(
     batch = spark.read.schema(batch.schema).parquet(copy)
     near = may_hold(state, batch, keys)
     old = _scan(spark, root, state.ddl, near) if near else None
-    touched = {r["p"] for r in _changes(old, batch, keys, order, partitions).collect()}  # months
+    few = batch.count() <= FEW_KEYS
+    touched = {r["p"] for r in _changes(old, batch, keys, order, partitions, few).collect()}  # months
     if not touched:
         return state.number
     affected = {p: v for p, v in state.where.items() if p in touched}
@@ -233,7 +239,7 @@ def upsert(
         return commit(spark, root, new, partitions, lambda p: p in touched, base, **commit_options)
     stored = _scan(spark, root, state.ddl, affected)
     old = stored.drop(*names)
-    if batch.count() > FEW_KEYS:
+    if not few:
         sizes += _sizes(stored, {n: F.col(n) for n in names})
         new = latest_by_key(old.unionByName(into, allowMissingColumns=True), keys, order, tie_breakers)
         return commit(spark, root, _dealt(new, sizes, keys, partitions), partitions, lambda p: p in touched, base, **commit_options)
@@ -409,8 +415,10 @@ def commit(
     keep = {p: v for p, v in state.where.items() if not replaced(p) and p not in present}
     ranges = {p: r for p, r in state.ranges.items() if p in keep} if key == state.key else {}
     if key:
-        written = spark.read.schema(ddl).parquet(target).select(_partition_of_file().alias("p"), F.col(key).cast("bigint").alias("k"))
-        found = written.groupBy("p").agg(F.min("k").alias("low"), F.max("k").alias("high")).collect()  # months
+        # By file first: a file lies in one partition, so its name is taken apart once and not for each row.
+        written = spark.read.schema(ddl).parquet(target).select(F.col("_metadata.file_path").alias("f"), F.col(key).cast("bigint").alias("k"))
+        files = written.groupBy("f").agg(F.min("k").alias("low"), F.max("k").alias("high")).withColumn("p", _partition_of_file("f"))
+        found = files.groupBy("p").agg(F.min("low").alias("low"), F.max("high").alias("high")).collect()  # months
         ranges |= {r["p"]: (r["low"], r["high"]) for r in found if r["low"] is not None}
     where = sorted({**keep, **{p: version for p in present}}.items()) or [(None, version)]
     entries = pa.table(

@@ -5,10 +5,12 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from lakeops.catalog.increments import _clean
+from lakeops.catalog.layers import SETTINGS
 from lakeops.functions.numbers import units
 from lakeops.plans import bindings as B
-from lakeops.plans import exports
-from lakeops.sinks import versioned, writers
+from lakeops.plans import exports, registry
+from lakeops.sinks import runs, versioned, writers
+from lakeops.sources.paths import listed
 from lakeops.streaming import incremental, marks
 
 SF = "/root/testdata/sf0.001"
@@ -84,3 +86,30 @@ def test_whole_units_are_those_of_round_without_decimals(spark):
         got = rows.select(units(F.col("v"), scale).alias("got"), F.round(F.col("v") * F.lit(float(10**scale))).try_cast("long").alias("want"))
         assert got.filter("NOT got <=> want").isEmpty()
         assert "round(" not in rows.select(units(F.col("v"), scale))._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_first_load_of_files_copies_nothing(spark, path):
+    raw, name = {"gastos": B.expenses(spark, SF)}, "silver.gastos"
+    registry.run_increment(spark, raw, path, [name], SETTINGS)
+    assert not [p for p, _ in listed(spark, path, "scratch/*") if "-raw-" in p]
+    run = runs.current(spark, path)
+    newest = raw["gastos"].agg(F.max("last_modified_at")).first()[0]
+    assert marks.parse_mark(run.marks["gastos"]) == newest
+    assert registry.run_counts(spark, path).first()["raw"] == raw["gastos"].count()
+    registry.run_increment(spark, raw, path, [name], SETTINGS)
+    assert [p for p, _ in listed(spark, path, "scratch/*") if "-raw-" in p]
+    rows = spark.createDataFrame(raw["gastos"].limit(5).collect(), raw["gastos"].schema)  # no files: read once
+    registry.run_increment(spark, {"gastos": rows}, f"{path}-rows", [name], SETTINGS)
+    assert [p for p, _ in listed(spark, f"{path}-rows", "scratch/*") if "-raw-" in p]
+
+
+def test_small_batch_is_looked_up_where_the_table_lies(spark, path):
+    start = [(k, f"202{k % 3}-01-01", 1) for k in range(60)]
+    versioned.upsert(spark, path, spark.createDataFrame(start, "k long, day string, v long"), ["k"], ["v"], _by())
+    batch = spark.createDataFrame([(3, "2021-05-01", 2), (4, "2021-01-01", 0), (99, "2024-01-01", 1)], "k long, day string, v long")
+    old = versioned.read_current(spark, path)
+    for few in (False, True):
+        found = versioned._changes(old, batch, ["k"], ["v"], _by(), few)
+        assert {r["p"] for r in found.collect()} == {"y=2020", "y=2021", "y=2024"}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("regexp_extract") < plan.index("LeftSemi")
